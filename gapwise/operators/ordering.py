@@ -21,6 +21,7 @@ from gapwise.functions.scalars import epoch_micros, floor_div
 _EPOCH = datetime(1970, 1, 1)
 HOUR_US = 3_600_000_000
 SECOND_US = 1_000_000
+ALL = ("all",)
 
 
 def sort_full_key(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -32,8 +33,9 @@ def _ntz(us: int) -> Column:
     return F.lit((_EPOCH + timedelta(microseconds=int(us))).isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-def _boundary(df: DataFrame, t: Column, width: int, k: int, before: int) -> tuple[int, int]:
-    """Bucket (of ``width`` µs) holding the k-th row, and the number of rows before that bucket.
+def _boundary(df: DataFrame, t: Column, width: int, k: int, before: int) -> tuple[int, int] | None:
+    """Bucket (of ``width`` µs) holding the k-th row, and the number of rows before that bucket
+    (None if there are fewer than k rows).
 
     The window runs over the bucket histogram (≤ span / width rows), not over rows.
     """
@@ -41,15 +43,23 @@ def _boundary(df: DataFrame, t: Column, width: int, k: int, before: int) -> tupl
     w = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     row = (hist.withColumn("cum", F.sum("n").over(w) + F.lit(before))
                .filter(F.col("cum") >= F.lit(k)).orderBy("b").select("b", "cum", "n").first())
+    if row is None:
+        return None
     return int(row["b"]), int(row["cum"] - row["n"])
 
 
 def cut_key(df: DataFrame, k: int, time_col: str = "click_time", tiebreak: str = "click_id"):
-    """(time_us, id) of the k-th row (1-based) in (time, tiebreak) order; None if k <= 0."""
+    """(time_us, id) of the k-th row (1-based) in (time, tiebreak) order.
+
+    None if k <= 0 (no row is in the head); ``ALL`` if the table has at most k rows.
+    """
     if k <= 0:
         return None
     t = epoch_micros(time_col)
-    hour, before = _boundary(df, t, HOUR_US, k, 0)
+    found = _boundary(df, t, HOUR_US, k, 0)
+    if found is None:
+        return ALL
+    hour, before = found
     in_hour = df.filter((F.col(time_col) >= _ntz(hour * HOUR_US)) & (F.col(time_col) < _ntz((hour + 1) * HOUR_US)))
     sec, before = _boundary(in_hour, t, SECOND_US, k, before)
     in_sec = df.filter((F.col(time_col) >= _ntz(sec * SECOND_US)) & (F.col(time_col) < _ntz((sec + 1) * SECOND_US)))
@@ -65,6 +75,8 @@ def in_first_k(df: DataFrame, k: int, time_col: str = "click_time", tiebreak: st
     key = cut_key(df, k, time_col, tiebreak)
     if key is None:
         return df.withColumn(out, F.lit(False))
+    if key is ALL:
+        return df.withColumn(out, F.lit(True))
     t_cut, id_cut = key
     t = epoch_micros(time_col)
     flag = (t < F.lit(t_cut)) | ((t == F.lit(t_cut)) & (F.col(tiebreak) <= F.lit(id_cut)))
