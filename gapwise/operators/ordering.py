@@ -1,7 +1,8 @@
 """Ordering, exact ordered cuts (head-by-time, time-ordered hold-out), column order, unions.
 
 The ordered cut never ranks the whole table. It narrows the boundary with
-time histograms (hour, then second — each a small aggregate), and only the
+time histograms (hour, then second — each a small aggregate whose result is a
+bounded summary of at most span/3600 or 3600 rows), and only the
 rows of the single boundary second go through a distributed sort to find the
 exact cut key. Every row is then labelled by comparing its (time, id) key
 with the cut key: a projection, no join and no global window over rows.
@@ -13,7 +14,7 @@ import math
 from datetime import datetime, timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gapwise.functions.scalars import epoch_micros, floor_div
@@ -33,22 +34,28 @@ def _ntz(us: int) -> Column:
     return F.lit((_EPOCH + timedelta(microseconds=int(us))).isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-def _boundary(df: DataFrame, t: Column, width: int, k: int, before: int) -> tuple[int, int] | None:
-    """Bucket (of ``width`` µs) holding the k-th row, and the number of rows before that bucket
-    (None if there are fewer than k rows).
+def _histogram(df: DataFrame, t: Column, width: int) -> list[tuple[int, int]]:
+    """(bucket, rows) for ``width``-µs time buckets, ascending.
 
-    The window runs over the bucket histogram (≤ span / width rows), not over rows.
+    A bounded summary: at most span / width rows (8,760 hours per year; 3,600
+    seconds inside one hour), never the rows themselves.
     """
     hist = df.groupBy(floor_div(t, width).alias("b")).agg(F.count(F.lit(1)).alias("n"))
-    w = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    row = (hist.withColumn("cum", F.sum("n").over(w) + F.lit(before))
-               .filter(F.col("cum") >= F.lit(k)).orderBy("b").select("b", "cum", "n").first())
-    if row is None:
-        return None
-    return int(row["b"]), int(row["cum"] - row["n"])
+    return sorted((int(r["b"]), int(r["n"])) for r in hist.collect())
+
+
+def _locate(hist: list[tuple[int, int]], k: int, before: int) -> tuple[int, int] | None:
+    """Bucket holding the k-th row and the number of rows before it (None if fewer than k rows)."""
+    cum = before
+    for b, n in hist:
+        if cum + n >= k:
+            return b, cum
+        cum += n
+    return None
 
 
-def cut_key(df: DataFrame, k: int, time_col: str = "click_time", tiebreak: str = "click_id"):
+def cut_key(df: DataFrame, k: int, time_col: str = "click_time", tiebreak: str = "click_id",
+            hour_hist: list[tuple[int, int]] | None = None):
     """(time_us, id) of the k-th row (1-based) in (time, tiebreak) order.
 
     None if k <= 0 (no row is in the head); ``ALL`` if the table has at most k rows.
@@ -56,12 +63,12 @@ def cut_key(df: DataFrame, k: int, time_col: str = "click_time", tiebreak: str =
     if k <= 0:
         return None
     t = epoch_micros(time_col)
-    found = _boundary(df, t, HOUR_US, k, 0)
+    found = _locate(hour_hist if hour_hist is not None else _histogram(df, t, HOUR_US), k, 0)
     if found is None:
         return ALL
     hour, before = found
     in_hour = df.filter((F.col(time_col) >= _ntz(hour * HOUR_US)) & (F.col(time_col) < _ntz((hour + 1) * HOUR_US)))
-    sec, before = _boundary(in_hour, t, SECOND_US, k, before)
+    sec, before = _locate(_histogram(in_hour, t, SECOND_US), k, before)
     in_sec = df.filter((F.col(time_col) >= _ntz(sec * SECOND_US)) & (F.col(time_col) < _ntz((sec + 1) * SECOND_US)))
     # Rows of one second only; a range-partitioned sort, then skip to the cut row.
     row = (in_sec.select(t.alias("t"), F.col(tiebreak).alias("id")).orderBy("t", "id")
@@ -70,9 +77,9 @@ def cut_key(df: DataFrame, k: int, time_col: str = "click_time", tiebreak: str =
 
 
 def in_first_k(df: DataFrame, k: int, time_col: str = "click_time", tiebreak: str = "click_id",
-               out: str = "in_head") -> DataFrame:
+               out: str = "in_head", hour_hist: list[tuple[int, int]] | None = None) -> DataFrame:
     """Add a boolean column: is the row among the first ``k`` rows in (time, tiebreak) order."""
-    key = cut_key(df, k, time_col, tiebreak)
+    key = cut_key(df, k, time_col, tiebreak, hour_hist)
     if key is None:
         return df.withColumn(out, F.lit(False))
     if key is ALL:
@@ -96,9 +103,11 @@ def holdout_size(n: int, test_size: float) -> int:
 def temporal_split(df: DataFrame, test_size: float = 0.10, time_col: str = "click_time",
                    tiebreak: str = "click_id", out: str = "is_test") -> DataFrame:
     """Label the last ceil(test_size·n) rows by (time, tiebreak) as test; no shuffling of rows."""
-    n = df.count()
+    hour_hist = _histogram(df, epoch_micros(time_col), HOUR_US)  # also gives the row count
+    n = sum(c for _, c in hour_hist)
     k = n - holdout_size(n, test_size)
-    return in_first_k(df, k, time_col, tiebreak, out="_train").withColumn(out, ~F.col("_train")).drop("_train")
+    return (in_first_k(df, k, time_col, tiebreak, out="_train", hour_hist=hour_hist)
+            .withColumn(out, ~F.col("_train")).drop("_train"))
 
 
 def train_test(df: DataFrame, test_size: float = 0.10, time_col: str = "click_time",
