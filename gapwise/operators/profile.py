@@ -86,14 +86,134 @@ def profile_columns(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 DESCRIBE_STATS = ["count", "null_count", "mean", "std", "min", "25%", "50%", "75%", "max"]
 DESCRIBE_QUANTILES = {"25%": 0.25, "50%": 0.5, "75%": 0.75}
 
+_DIGIT_BITS = 16
+_LOW63 = 0x7FFFFFFFFFFFFFFF
 
-def _numeric(df: DataFrame, c: str) -> Column:
+
+def _kind(df: DataFrame, c: str) -> str:
     t = df.schema[c].dataType
-    if isinstance(t, T.BooleanType):
-        return F.col(c).cast("long")
+    if isinstance(t, (T.FloatType, T.DoubleType, T.DecimalType)):
+        return "float"
     if isinstance(t, (T.TimestampNTZType, T.TimestampType)):
+        return "time"
+    return "int"
+
+
+def _numeric(df: DataFrame, c: str) -> Column:
+    """The value describe works on: booleans as 0/1, timestamps as epoch µs."""
+    k = _kind(df, c)
+    if k == "time":
         return epoch_micros(c)
-    return F.col(c)
+    if k == "float":
+        return F.col(c).cast("double")
+    return F.col(c).cast("long")
+
+
+def _ordered_key(df: DataFrame, c: str) -> Column:
+    """A bigint with the same order as the column's values (doubles via their IEEE bits)."""
+    if _kind(df, c) != "float":
+        return _numeric(df, c)
+    bits = F.reflect(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), F.col(c).cast("double")).cast("long")
+    return F.when(bits < 0, bits.bitwiseXOR(F.lit(_LOW63))).otherwise(bits)
+
+
+def _decode(kind: str, key: int) -> float:
+    if kind != "float":
+        return float(key)
+    import struct
+    bits = key if key >= 0 else key ^ _LOW63
+    return struct.unpack(">d", bits.to_bytes(8, "big", signed=True))[0]
+
+
+def nearest_rank(n: int, q: float) -> int:
+    """0-based index of the q-quantile among n sorted values: round half up of (n-1)·q."""
+    import math
+    return int(math.floor((n - 1) * q + 0.5))
+
+
+def exact_quantiles(df: DataFrame, cols: list[str], qs: list[float]) -> dict[tuple[str, float], float | None]:
+    """Exact nearest-rank quantiles of several columns (see :func:`_radix_select`)."""
+    return _radix_select(df, cols, qs)[0]
+
+
+def _radix_select(df: DataFrame, cols: list[str], qs: list[float]):
+    """Exact nearest-rank quantiles of several columns, fully distributed (radix select).
+
+    Each value becomes an order-preserving integer key shifted by the column
+    minimum. Pass k groups the rows still inside the target's bucket by the
+    next 16-bit digit of the key: a hash aggregate whose output has at most
+    65,536 rows per target, so only those small histograms reach the driver.
+    At most four passes pin down a 64-bit key exactly; a column whose values
+    span fewer than 65,536 keys needs one. No window, sort or single task
+    ever holds the column's values.
+    """
+    # Keys are computed once in a projection (the double -> bits call cannot
+    # sit inside an aggregate); every pass then reads only these columns.
+    kdf = df.select(*[_ordered_key(df, c).alias(f"_k{i}") for i, c in enumerate(cols)])
+    keys = {c: F.col(f"_k{i}") for i, c in enumerate(cols)}
+    first = kdf.agg(*[x for c in cols for x in (F.count(keys[c]), F.min(keys[c]), F.max(keys[c]))]).first()
+    stats = {c: (first[3 * i], first[3 * i + 1], first[3 * i + 2]) for i, c in enumerate(cols)}
+    result: dict[tuple[str, float], float | None] = {}
+    # one target per distinct (column, rank); state: shift, prefix (bucket at that shift), rows before it
+    targets = {}
+    for c in cols:
+        n, lo, hi = stats[c]
+        for q in qs:
+            if not n:
+                result[(c, q)] = None
+                continue
+            targets.setdefault((c, nearest_rank(n, q)), []).append(q)
+    # Keys as unsigned 64-bit patterns: flipping the sign bit turns signed order
+    # into unsigned order, so digits come from unsigned shifts and no
+    # subtraction (hence no overflow) is needed. Bits above the highest bit in
+    # which min and max differ are common to all values and are skipped.
+    mask = (1 << 64) - 1
+    ukeys = {c: keys[c].bitwiseXOR(F.lit(-(1 << 63))) for c in cols}
+    state = {}
+    for (c, r) in targets:
+        n, lo, hi = stats[c]
+        ulo, uhi = (lo + (1 << 63)) & mask, (hi + (1 << 63)) & mask
+        width = (ulo ^ uhi).bit_length()
+        if width == 0:  # a single distinct value
+            for q in targets[(c, r)]:
+                result[(c, q)] = _decode(_kind(df, c), lo)
+            continue
+        state[(c, r)] = {"shift": width, "prefix": ulo >> width, "before": 0}
+    while state:
+        # Targets of one column that sit in the same bucket share one probe.
+        probes: dict[tuple, int] = {}
+        for (c, r), st in state.items():
+            st["next_shift"] = max(0, st["shift"] - _DIGIT_BITS)
+            st["probe"] = probes.setdefault((c, st["shift"], st["prefix"], st["next_shift"]), len(probes))
+        items = []
+        for (c, shift, prefix, new_shift), pid in probes.items():
+            # (a JVM shift distance is taken mod 64, so a 64-bit shift means "no digit fixed yet")
+            inside = F.lit(True) if shift >= 64 else F.shiftrightunsigned(ukeys[c], shift) == F.lit(prefix)
+            bucket = F.shiftrightunsigned(ukeys[c], new_shift)
+            items.append(F.when(inside, F.struct(F.lit(pid).alias("t"), bucket.alias("b"))))
+        hits = kdf.select(F.explode(F.filter(F.array(*items), lambda x: x.isNotNull())).alias("h"))
+        hist = hits.groupBy("h.t", "h.b").agg(F.count(F.lit(1)).alias("n")).collect()
+        per_probe: dict[int, list[tuple[int, int]]] = {}
+        for row in hist:
+            per_probe.setdefault(int(row["t"]), []).append((int(row["b"]) & mask, int(row["n"])))
+        for pid in per_probe:
+            per_probe[pid].sort()
+        for (c, r) in list(state):
+            st = state[(c, r)]
+            cum = st["before"]
+            for b, cnt in per_probe.get(st["probe"], []):
+                if cum + cnt > r:
+                    st["prefix"], st["before"] = b, cum
+                    break
+                cum += cnt
+            st["shift"] = st["next_shift"]
+            if st["shift"] == 0:
+                signed = st["prefix"] - (1 << 63)
+                value = _decode(_kind(df, c), signed)
+                for q in targets[(c, r)]:
+                    result[(c, q)] = value
+                del state[(c, r)]
+    return result, stats
 
 
 def describe(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
@@ -103,64 +223,50 @@ def describe(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     count as 0/1, timestamps as epoch microseconds. Quantiles are exact
     nearest-rank (index round((n-1)·q) of the sorted non-null values).
 
-    How: values are unpivoted to (column, value) and aggregated to a value
-    histogram (distributed, map-side combined). Moments come from the
-    histogram with exact integer sums for integer columns. The running count
-    per column is a window over that column's *distinct values*, so its size
-    is bounded by the column's domain, not by the row count.
+    How: quantiles come from :func:`exact_quantiles` (distributed radix
+    select); the moments from one aggregate over the table. Integer columns
+    use exact decimal sums, the variance from values shifted by the column
+    minimum (small squares); if even that overflows, the try_* arithmetic
+    yields null and the double formula is used.
     """
     cols = cols or df.columns
-    is_int = {c: isinstance(df.schema[c].dataType, (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType,
-                                                     T.LongType, T.TimestampNTZType, T.TimestampType)) for c in cols}
-    long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), _numeric(df, c).cast("double").alias("v"),
-                 _numeric(df, c).cast("long").alias("iv") if is_int[c] else F.lit(None).cast("long").alias("iv"))
-        for c in cols])).alias("_kv")).select("_kv.*")
-    hist = long.groupBy("column", "v", "iv").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy("column").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    nn = F.sum(F.when(F.col("v").isNotNull(), F.col("n"))).over(Window.partitionBy("column"))
-    hist = (hist.withColumn("_cum", F.sum(F.when(F.col("v").isNotNull(), F.col("n"))).over(w))
-                .withColumn("_nn", nn))
-    # Integer columns: exact sums in decimal(38,0), variance from values shifted
-    # by the column minimum (keeps squares small); on overflow the try_*
-    # arithmetic yields null and the double formula is used instead.
-    hist = hist.withColumn("_d", (F.col("iv") - F.min("iv").over(Window.partitionBy("column"))).cast("decimal(38,0)"))
-    nz = F.when(F.col("v").isNotNull(), F.col("n"))
-    aggs = [
-        F.sum(nz).cast("double").alias("count"),
-        F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).cast("double").alias("null_count"),
-        F.min("v").alias("min"),
-        F.max("v").alias("max"),
-        F.sum(F.col("iv").cast("decimal(38,0)") * F.col("n")).alias("_s1i"),
-        F.sum(F.col("_d") * F.col("n")).alias("_s1d"),
-        F.sum(F.try_multiply(F.try_multiply(F.col("_d"), F.col("_d")), F.col("n"))).alias("_s2d"),
-        F.sum(F.col("v") * F.col("n")).alias("_s1f"),
-        F.sum(F.col("v") * F.col("v") * F.col("n")).alias("_s2f"),
-        F.sum(nz).alias("_cnt"),
-    ]
-    for name, q in DESCRIBE_QUANTILES.items():
-        # nearest rank: 0-based index r = round((n-1) q); first value whose running count exceeds r
-        r = F.round((F.col("_nn") - 1) * F.lit(q), 0)
-        aggs.append(F.min(F.when(F.col("_cum") > r, F.col("v"))).alias(name))
-    per_col = hist.groupBy("column").agg(*aggs)
-    cnt = F.col("_cnt").cast("decimal(38,0)")
-    mean_i = F.try_divide(F.col("_s1i").cast("double"), F.col("_cnt").cast("double"))
-    num_i = F.try_subtract(F.try_multiply(cnt, F.col("_s2d")), F.try_multiply(F.col("_s1d"), F.col("_s1d")))
-    var_i = F.try_divide(num_i.cast("double"), (F.col("_cnt") * (F.col("_cnt") - 1)).cast("double"))
-    mean_f = F.try_divide(F.col("_s1f"), F.col("_cnt").cast("double"))
-    var_f = F.try_divide(F.col("_s2f") - F.col("_s1f") * F.col("_s1f") / F.col("_cnt"),
-                         (F.col("_cnt") - 1).cast("double"))
-    int_cols = [c for c in cols if is_int[c]]
-    isint = F.col("column").isin(int_cols) if int_cols else F.lit(False)
-    per_col = per_col.select(
-        "column", "count", "null_count",
-        F.when(isint, F.coalesce(mean_i, mean_f)).otherwise(mean_f).alias("mean"),
-        F.sqrt(F.when(isint & num_i.isNotNull(), var_i).otherwise(var_f)).alias("std"),
-        "min", *DESCRIBE_QUANTILES.keys(), "max")
-    # Transpose (column x statistic) -> (statistic x column): pivot over the
-    # fixed, known column list (no extra job to discover pivot values).
-    stacked = per_col.select("column", F.explode(F.array(*[
-        F.struct(F.lit(i).alias("_i"), F.lit(s).alias("statistic"), F.col(f"`{s}`").cast("double").alias("x"))
-        for i, s in enumerate(DESCRIBE_STATS)])).alias("_s")).select("column", "_s.*")
-    return (stacked.groupBy("_i", "statistic").pivot("column", cols).agg(F.first("x"))
-            .orderBy("_i").drop("_i"))
+    kinds = {c: _kind(df, c) for c in cols}
+    qs = list(DESCRIBE_QUANTILES.values())
+    quant, stats = _radix_select(df, cols, qs)
+    aggs = []
+    for i, c in enumerate(cols):
+        x = _numeric(df, c)
+        aggs += [F.count(x).alias(f"_n{i}"), F.count_if(x.isNull()).alias(f"_z{i}"),
+                 F.min(x).alias(f"_lo{i}"), F.max(x).alias(f"_hi{i}")]
+        if kinds[c] == "float":
+            aggs += [F.sum(x).alias(f"_s{i}"), F.sum(x * x).alias(f"_q{i}")]
+        else:
+            lo = stats[c][1] or 0  # the column minimum (integer kinds: the key is the value)
+            d = (x.cast("decimal(38,0)") - F.lit(lo).cast("decimal(38,0)"))
+            aggs += [F.sum(x.cast("decimal(38,0)")).alias(f"_s{i}"), F.sum(d).alias(f"_d{i}"),
+                     F.sum(F.try_multiply(d, d)).alias(f"_dd{i}")]
+    wide = df.agg(*aggs)
+    per_stat: dict[str, list[Column]] = {s: [] for s in DESCRIBE_STATS}
+    for i, c in enumerate(cols):
+        n = F.col(f"_n{i}")
+        per_stat["count"].append(n.cast("double"))
+        per_stat["null_count"].append(F.col(f"_z{i}").cast("double"))
+        per_stat["min"].append(F.col(f"_lo{i}").cast("double"))
+        per_stat["max"].append(F.col(f"_hi{i}").cast("double"))
+        if kinds[c] == "float":
+            s1, s2 = F.col(f"_s{i}"), F.col(f"_q{i}")
+            mean = F.try_divide(s1, n.cast("double"))
+            std = F.sqrt(F.try_divide(s2 - s1 * s1 / n, (n - 1).cast("double")))
+        else:
+            nd = n.cast("decimal(38,0)")
+            mean = F.try_divide(F.col(f"_s{i}").cast("double"), n.cast("double"))
+            num = F.try_subtract(F.try_multiply(nd, F.col(f"_dd{i}")), F.try_multiply(F.col(f"_d{i}"), F.col(f"_d{i}")))
+            std = F.sqrt(F.try_divide(num.cast("double"), (n * (n - 1)).cast("double")))
+        per_stat["mean"].append(mean)
+        per_stat["std"].append(std)
+        for name, q in DESCRIBE_QUANTILES.items():
+            per_stat[name].append(F.lit(quant[(c, q)]).cast("double"))
+    rows = F.array(*[F.struct(F.lit(k).alias("_i"), F.lit(s).alias("statistic"),
+                              *[v.cast("double").alias(c) for v, c in zip(per_stat[s], cols)])
+                     for k, s in enumerate(DESCRIBE_STATS)])
+    return wide.select(F.explode(rows).alias("_r")).select("_r.*").orderBy("_i").drop("_i")

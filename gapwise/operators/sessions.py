@@ -115,7 +115,12 @@ def session_features(df: DataFrame, gap: int = DEFAULT_GAP, key: str = "ip", tim
     info = stitch_chunks(session_chunks(rows, gap, key), gap, key).select(
         key, "_chunk", "previous_sessions", "total_sessions", "session_start",
         "current_session_duration", "avg_previous_sessions_duration")
-    out = rows.withColumn("_chunk", floor_div(F.col("click_timestamp"), gap)).join(info, [key, "_chunk"], "inner")
+    info = info.withColumnRenamed(key, "_k").withColumnRenamed("_chunk", "_c")
+    rows = rows.withColumn("_chunk", floor_div(F.col("click_timestamp"), gap))
+    # Null-safe keys: a click with a null key or time (a contract violation)
+    # still comes out, with the features of its own null group.
+    on = F.col(key).eqNullSafe(F.col("_k")) & F.col("_chunk").eqNullSafe(F.col("_c"))
+    out = rows.join(info, on, "inner")
     till = (F.col("click_timestamp") - F.col("session_start")).alias("current_session_duration_till_now")
     return out.select(*[F.col(c) for c in df.columns], "click_timestamp", "previous_sessions", "total_sessions",
                       till, "current_session_duration", "avg_previous_sessions_duration")
@@ -151,7 +156,8 @@ def gap_to_previous(df: DataFrame, key: str = "ip", ts: str = "click_timestamp",
     secs = df.groupBy(key, ts).agg(F.min(first).alias("_first_key"))
     w = Window.partitionBy(key).orderBy(ts)
     secs = secs.withColumn("_gap", F.coalesce(F.col(ts) - F.lag(ts).over(w), F.lit(0).cast("long")))
-    joined = df.join(secs, [key, ts], "inner")
+    secs = secs.withColumnRenamed(key, "_k").withColumnRenamed(ts, "_t")
+    joined = df.join(secs, F.col(key).eqNullSafe(F.col("_k")) & F.col(ts).eqNullSafe(F.col("_t")), "inner")
     return joined.select(*[F.col(c) for c in df.columns],
                          F.when(first == F.col("_first_key"), F.col("_gap")).otherwise(F.lit(0).cast("long")).alias(out))
 

@@ -122,3 +122,20 @@ def test_describe_nearest_rank(spark):
     assert stats["count"] == 4 and stats["null_count"] == 0 and stats["mean"] == 2.5
     assert stats["25%"] == 2 and stats["50%"] == 3 and stats["75%"] == 3  # round((n-1)q) indices 1, 2, 2
     assert stats["std"] == pytest.approx(1.2909944487358056)
+
+
+def test_exact_quantiles_high_cardinality(spark):
+    """Radix select on wide-range ints, negative values, doubles and timestamps vs sorted truth."""
+    import random
+
+    r = random.Random(3)
+    rows = [(r.randrange(-2**61, 2**61), r.uniform(-1e6, 1e6), datetime(2024, 1, 1) + __import__("datetime").timedelta(
+        microseconds=r.randrange(10**12))) for _ in range(3000)]
+    df = spark.createDataFrame(rows, "a long, b double, c timestamp_ntz")
+    got = profile.exact_quantiles(df, ["a", "b", "c"], [0.0, 0.25, 0.5, 0.999, 1.0])
+    epoch = datetime(1970, 1, 1)
+    truth = {"a": sorted(x[0] for x in rows), "b": sorted(x[1] for x in rows),
+             "c": sorted((x[2] - epoch) // __import__("datetime").timedelta(microseconds=1) for x in rows)}
+    for c, vals in truth.items():
+        for q in [0.0, 0.25, 0.5, 0.999, 1.0]:
+            assert got[(c, q)] == float(vals[profile.nearest_rank(len(vals), q)]), (c, q)

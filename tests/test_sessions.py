@@ -137,3 +137,13 @@ def test_no_window_over_raw_clicks(spark):
     assert "Window" in plan
     rows_side = sessions.add_click_timestamp(df)._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in rows_side
+
+
+def test_null_keys_and_times_are_kept(spark):
+    rows = [(1, 1, D("00:00:00")), (2, None, D("00:01:00")), (3, None, D("00:30:00")), (4, 2, None)]
+    df = spark.createDataFrame(rows, "click_id long, ip long, click_time timestamp_ntz")
+    out = {r["click_id"]: r for r in sessions.session_features(df, gap=900).collect()}
+    assert set(out) == {1, 2, 3, 4}
+    assert out[3]["previous_sessions"] == 1 and out[2]["total_sessions"] == 2
+    g = sessions.gap_to_previous(sessions.add_click_timestamp(df))
+    assert g.count() == 4
