@@ -174,6 +174,13 @@ def q_click_timestamp(spark, sf):
     return sessions.add_click_timestamp(clicks(spark, sf)).select("click_id", "ip", "click_time", "click_timestamp")
 
 
+def q_millis_clock(spark, sf):
+    from gapwise.functions.scalars import epoch_millis, truncate_millis
+    c = clicks(spark, sf)
+    return c.select("click_id", truncate_millis("click_time").alias("click_time_ms"),
+                    epoch_millis("click_time").alias("epoch_ms"))
+
+
 def q_gap_seconds(spark, sf):
     c = sessions.add_click_timestamp(clicks(spark, sf)).select("click_id", "ip", "click_time", "click_timestamp")
     return sessions.gap_to_previous(c).select("click_id", "ip", "click_timestamp", "gap_seconds")
@@ -395,6 +402,8 @@ ORACLE: dict[str, str] = {
         SELECT click_id, ip, CAST(click_timestamp AS BIGINT) AS click_timestamp,
           CAST(coalesce(click_timestamp - lag(click_timestamp) OVER (PARTITION BY ip ORDER BY click_time, click_id), 0)
                AS BIGINT) AS gap_seconds FROM t""",
+    "millis_clock": """SELECT event_id AS click_id, date_trunc('millisecond', ts) AS click_time_ms,
+        epoch_us(ts) // 1000 AS epoch_ms FROM events""",
     "previous_sessions": _features_sql(GAP_15_MIN) + " SELECT click_id, ip, click_timestamp, previous_sessions FROM f",
     "total_sessions": _features_sql(GAP_6_H) + " SELECT click_id, ip, total_sessions FROM f",
     "session_elapsed": _features_sql(GAP_6_H)
