@@ -144,19 +144,32 @@ def session_table(df: DataFrame, gap: int = DEFAULT_GAP, key: str = "ip", time_c
     return st.groupBy(key, "previous_sessions").agg(*aggs)
 
 
+GAP_BLOCK_SECONDS = 3600  # block width of the two-level previous-second lookup
+
+
 def gap_to_previous(df: DataFrame, key: str = "ip", ts: str = "click_timestamp",
                     order: tuple[str, ...] = ("click_time", "click_id"), out: str = "gap_seconds") -> DataFrame:
     """Seconds since the previous click of the same key (0 for the key's first click).
 
-    Clicks sharing a second all have gap 0 except the earliest one by ``order``,
-    which carries the gap to the previous second. So the only window runs on
-    the (key, second) table, never on raw clicks of one key.
+    Clicks sharing a second all have gap 0 except the earliest one by
+    ``order``, which carries the gap to the previous occupied second. The
+    previous second is found in two levels so no window holds more than one
+    block of one key: inside ``(key, hour block)`` by ``lag`` (≤ 3,600 rows),
+    and for a block's first second from the previous block's last second,
+    a window over the per-block table (≤ span / 3,600 rows per key).
     """
     first = F.struct(*[F.col(c) for c in order])
-    secs = df.groupBy(key, ts).agg(F.min(first).alias("_first_key"))
-    w = Window.partitionBy(key).orderBy(ts)
-    secs = secs.withColumn("_gap", F.coalesce(F.col(ts) - F.lag(ts).over(w), F.lit(0).cast("long")))
-    secs = secs.withColumnRenamed(key, "_k").withColumnRenamed(ts, "_t")
+    block = floor_div(F.col(ts), GAP_BLOCK_SECONDS)
+    secs = df.groupBy(F.col(key), F.col(ts)).agg(F.min(first).alias("_first_key")).withColumn("_b", block)
+    prev_in_block = F.lag(ts).over(Window.partitionBy(key, "_b").orderBy(ts))
+    blocks = secs.groupBy(key, "_b").agg(F.max(ts).alias("_block_last"))
+    blocks = blocks.withColumn("_prev_block_last", F.lag("_block_last").over(Window.partitionBy(key).orderBy("_b")))
+    blocks = blocks.select(F.col(key).alias("_bk"), F.col("_b").alias("_bb"), "_prev_block_last")
+    secs = (secs.withColumn("_prev", prev_in_block)
+                .join(blocks, F.col(key).eqNullSafe(F.col("_bk")) & F.col("_b").eqNullSafe(F.col("_bb")), "inner")
+                .select(F.col(key).alias("_k"), F.col(ts).alias("_t"), "_first_key",
+                        F.coalesce(F.col(ts) - F.coalesce("_prev", "_prev_block_last"),
+                                   F.lit(0).cast("long")).alias("_gap")))
     joined = df.join(secs, F.col(key).eqNullSafe(F.col("_k")) & F.col(ts).eqNullSafe(F.col("_t")), "inner")
     return joined.select(*[F.col(c) for c in df.columns],
                          F.when(first == F.col("_first_key"), F.col("_gap")).otherwise(F.lit(0).cast("long")).alias(out))

@@ -147,3 +147,16 @@ def test_null_keys_and_times_are_kept(spark):
     assert out[3]["previous_sessions"] == 1 and out[2]["total_sessions"] == 2
     g = sessions.gap_to_previous(sessions.add_click_timestamp(df))
     assert g.count() == 4
+
+
+def test_gap_to_previous_across_blocks(spark):
+    r = random.Random(12)
+    t0 = datetime(2024, 1, 1)
+    rows = [(i, r.randrange(3), t0 + timedelta(seconds=r.choice([0, 5, 3599, 3600, 3601, 7300, 20000, 20001, 86399]),
+                                                 microseconds=r.randrange(1_000_000))) for i in range(300)]
+    df = sessions.add_click_timestamp(
+        spark.createDataFrame(rows, "click_id long, ip long, click_time timestamp_ntz").repartition(3))
+    got = {r["click_id"]: r["gap_seconds"] for r in sessions.gap_to_previous(df).collect()}
+    w = Window.partitionBy("ip").orderBy("click_time", "click_id")
+    exp = df.withColumn("g", F.coalesce(F.col("click_timestamp") - F.lag("click_timestamp").over(w), F.lit(0)))
+    assert got == {r["click_id"]: r["g"] for r in exp.collect()}
