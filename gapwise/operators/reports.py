@@ -110,8 +110,8 @@ def first_session_share(sessions: DataFrame) -> DataFrame:
 def table_overview(df: DataFrame, time_col: str = "click_time", dedup_cols: list[str] | None = None) -> DataFrame:
     """Row count, nulls per nullable column, duplicates and time bounds, as one row.
 
-    The duplicate figure is its own grouping job, attached as scalar subqueries
-    (no join between one-row tables).
+    The distinct-row count is its own grouping job, attached as a scalar
+    subquery (no join between one-row tables).
     """
     dup = duplicate_count(df, dedup_cols)
     nullable = [f.name for f in df.schema.fields if f.nullable]
@@ -121,7 +121,7 @@ def table_overview(df: DataFrame, time_col: str = "click_time", dedup_cols: list
         F.min(time_col).alias(f"min_{time_col}"),
         F.max(time_col).alias(f"max_{time_col}"))
     return base.withColumn("n_unique_rows", dup.select("n_unique_rows").scalar()).withColumn(
-        "n_duplicates", dup.select("n_duplicates").scalar())
+        "n_duplicates", F.col("n_rows") - F.col("n_unique_rows"))
 
 
 def split_is_future(train: DataFrame, test: DataFrame, time_col: str = "click_time") -> DataFrame:
