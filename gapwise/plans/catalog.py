@@ -265,7 +265,10 @@ def q_time_bounds(spark, sf):
 
 
 def q_describe_table(spark, sf):
-    return profile.describe(clicks(spark, sf), ["ip", "channel", "is_attributed", "click_time"])
+    return profile.describe(clicks(spark, sf), DESCRIBE_COLS)
+
+
+DESCRIBE_COLS = ["click_id", "ip", "channel", "click_time", "attributed_time", "is_attributed"]
 
 
 def q_value_counts(spark, sf):
@@ -439,8 +442,9 @@ ORACLE: dict[str, str] = {
     "dedup_rows": f"SELECT DISTINCT ip, app, CAST(click_time AS DATE) AS click_date FROM ({CLICKS_SQL})",
     "time_bounds": "SELECT min(ts) AS min_click_time, max(ts) AS max_click_time FROM events",
     "describe_table": _describe_sql(
-        f"SELECT ip, channel, CAST(is_attributed AS BIGINT) AS is_attributed, epoch_us(click_time) AS click_time "
-        f"FROM ({CLICKS_SQL})", ["ip", "channel", "is_attributed", "click_time"]),
+        f"SELECT click_id, ip, channel, epoch_us(click_time) AS click_time, epoch_us(attributed_time) AS attributed_time, "
+        f"CAST(is_attributed AS BIGINT) AS is_attributed FROM ({CLICKS_SQL})",
+        ["click_id", "ip", "channel", "click_time", "attributed_time", "is_attributed"]),
     "value_counts": f"SELECT channel, count(*) AS count FROM ({CLICKS_SQL}) GROUP BY channel",
     "value_proportions": f"""SELECT app, CAST(count(*) AS DOUBLE) / CAST((SELECT count(*) FROM events) AS DOUBLE)
         AS proportion FROM ({CLICKS_SQL}) GROUP BY app""",

@@ -160,3 +160,18 @@ def test_gap_to_previous_across_blocks(spark):
     w = Window.partitionBy("ip").orderBy("click_time", "click_id")
     exp = df.withColumn("g", F.coalesce(F.col("click_timestamp") - F.lag("click_timestamp").over(w), F.lit(0)))
     assert got == {r["click_id"]: r["g"] for r in exp.collect()}
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_click = st.tuples(st.integers(0, 3), st.integers(0, 4000), st.integers(0, 999_999))
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(clicks=st.lists(_click, min_size=1, max_size=60), gap=st.integers(1, 1500), parts=st.integers(1, 4))
+def test_property_matches_brute_force(spark, clicks, gap, parts):
+    t0 = datetime(2024, 3, 1)
+    rows = [(i, ip, t0 + timedelta(seconds=s, microseconds=us)) for i, (ip, s, us) in enumerate(clicks)]
+    df = spark.createDataFrame(rows, "click_id long, ip long, click_time timestamp_ntz").repartition(parts)
+    assert _collect(sessions.session_features(df, gap=gap)) == _collect(_brute_force(df, gap))
