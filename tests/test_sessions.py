@@ -175,3 +175,11 @@ def test_property_matches_brute_force(spark, clicks, gap, parts):
     rows = [(i, ip, t0 + timedelta(seconds=s, microseconds=us)) for i, (ip, s, us) in enumerate(clicks)]
     df = spark.createDataFrame(rows, "click_id long, ip long, click_time timestamp_ntz").repartition(parts)
     assert _collect(sessions.session_features(df, gap=gap)) == _collect(_brute_force(df, gap))
+
+
+def test_new_key_does_not_change_other_keys(spark):
+    df = _random_clicks(spark, seed=21)
+    later = spark.createDataFrame([(10_000, 99, datetime(2024, 1, 1, 5))], "click_id long, ip long, click_time timestamp_ntz")
+    a = _collect(sessions.session_features(df, gap=7))
+    b = _collect(sessions.session_features(df.unionByName(later), gap=7))
+    assert {k: v for k, v in b.items() if k != 10_000} == a
