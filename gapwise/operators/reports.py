@@ -1,8 +1,9 @@
 """User-level reports built from the click table and its session features.
 
-Per-key reports first reduce clicks to one row per key with a hash aggregate
-(map-side combine), so a key that owns a third of the clicks never becomes a
-hot partition; everything after that works on the per-key table.
+Per-key reports work on one row per key: either a hash aggregate of clicks
+(map-side combine) or the session key summary, which comes from the chunk
+table without touching per-click rows. A key that owns a third of the clicks
+never becomes a hot partition.
 """
 
 from __future__ import annotations
@@ -54,7 +55,11 @@ def label_report(df: DataFrame, min_total: int, key: str = "ip", label: str = "i
 
 
 def per_key_sessions(features: DataFrame, key: str = "ip") -> DataFrame:
-    """(key, total_sessions, n_clicks, first/last click) from the session-feature table."""
+    """(key, total_sessions, n_clicks, first/last click) from a per-click session-feature table.
+
+    Prefer :func:`gapwise.operators.sessions.key_summary`, which gets the same
+    per-key figures from the chunk table without touching per-click rows.
+    """
     return features.groupBy(key).agg(
         F.max("total_sessions").alias("total_sessions"),
         F.count(F.lit(1)).alias("n_clicks"),
@@ -62,22 +67,20 @@ def per_key_sessions(features: DataFrame, key: str = "ip") -> DataFrame:
         F.max("click_time").alias("max_date"))
 
 
-def total_sessions_per_key(features: DataFrame, key: str = "ip") -> DataFrame:
-    """Distinct (key, total_sessions) pairs, ordered by key."""
-    return features.select(key, "total_sessions").distinct().orderBy(key)
+def total_sessions_per_key(summary: DataFrame, key: str = "ip") -> DataFrame:
+    """(key, total_sessions) per key, ordered by key (one row per key in the summary)."""
+    return summary.select(key, "total_sessions").orderBy(key)
 
 
-def high_session_labels(features: DataFrame, min_sessions: int, key: str = "ip",
-                        label: str = "is_attributed") -> DataFrame:
-    """Label pivot restricted to keys with at least ``min_sessions`` sessions."""
-    return label_pivot(features.filter(F.col("total_sessions") >= F.lit(min_sessions)), key, label)
+def high_session_labels(summary: DataFrame, min_sessions: int, key: str = "ip") -> DataFrame:
+    """(key, true, false) for keys with at least ``min_sessions`` sessions (from a key summary)."""
+    return summary.filter(F.col("total_sessions") >= F.lit(min_sessions)).select(key, "true", "false")
 
 
-def high_session_share(features: DataFrame, min_sessions: int, key: str = "ip") -> DataFrame:
+def high_session_share(summary: DataFrame, min_sessions: int) -> DataFrame:
     """How many keys have >= min_sessions sessions, and how many clicks they own (counts and shares)."""
-    per_key = per_key_sessions(features, key)
     heavy = F.col("total_sessions") >= F.lit(min_sessions)
-    agg = per_key.agg(
+    agg = summary.agg(
         F.count_if(heavy).alias("n_high_session_ips"),
         F.count(F.lit(1)).alias("n_ips"),
         F.sum(F.when(heavy, F.col("n_clicks")).otherwise(0)).cast("long").alias("n_high_session_clicks"),
@@ -89,14 +92,12 @@ def high_session_share(features: DataFrame, min_sessions: int, key: str = "ip")
         F.round(safe_div("n_high_session_clicks", "n_clicks"), 4).alias("high_session_clicks_rel"))
 
 
-def busiest_key(features: DataFrame, key: str = "ip") -> DataFrame:
+def busiest_key(summary: DataFrame, key: str = "ip") -> DataFrame:
     """The key with the most sessions (smallest key on ties) and its first / last click.
 
-    A top-1 report: the limit is the feature. The per-key table is reduced by
-    a partial top-k per task, never gathered whole.
+    A top-1 report: the limit is the feature (a partial top-1 per task).
     """
-    return (per_key_sessions(features, key)
-            .orderBy(F.desc("total_sessions"), F.asc(key)).limit(1)
+    return (summary.orderBy(F.desc("total_sessions"), F.asc(key)).limit(1)
             .select(key, "total_sessions", "min_date", "max_date"))
 
 

@@ -73,12 +73,18 @@ def add_click_timestamp(df: DataFrame, time_col: str = "click_time", out: str =
 
 
 def session_chunks(df: DataFrame, gap: int = DEFAULT_GAP, key: str = "ip", ts: str = "click_timestamp",
-                   label: str | None = None) -> DataFrame:
-    """Chunk table: one row per (key, ts div gap) with first/last second and click count."""
+                   label: str | None = None, time_col: str | None = None) -> DataFrame:
+    """Chunk table: one row per (key, ts div gap) with first/last second and click count.
+
+    Optionally also the label count (``_pos``) and the raw first/last click
+    time (``_tmin``/``_tmax``), for reports that never need per-click rows.
+    """
     gap = _check_gap(gap)
     aggs = [F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.count(F.lit(1)).alias("_n")]
     if label is not None:
         aggs.append(F.count_if(F.col(label)).alias("_pos"))
+    if time_col is not None:
+        aggs += [F.min(time_col).alias("_tmin"), F.max(time_col).alias("_tmax")]
     return df.groupBy(F.col(key), floor_div(F.col(ts), gap).alias("_chunk")).agg(*aggs)
 
 
@@ -147,6 +153,24 @@ def session_table(df: DataFrame, gap: int = DEFAULT_GAP, key: str = "ip", time_c
 GAP_BLOCK_SECONDS = 3600  # block width of the two-level previous-second lookup
 
 
+def key_summary(df: DataFrame, gap: int = DEFAULT_GAP, key: str = "ip", time_col: str = "click_time",
+                label: str = "is_attributed", epoch=None) -> DataFrame:
+    """One row per key: total_sessions, n_clicks, label counts (true/false), first and last click.
+
+    Built from the stitched chunk table alone: per-key reports never join
+    back to (or shuffle) the raw clicks.
+    """
+    rows = add_click_timestamp(df, time_col, epoch=epoch)
+    st = stitch_chunks(session_chunks(rows, gap, key, label=label, time_col=time_col), gap, key)
+    return st.groupBy(key).agg(
+        F.max("total_sessions").alias("total_sessions"),
+        F.sum("_n").cast("long").alias("n_clicks"),
+        F.sum("_pos").cast("long").alias("true"),
+        (F.sum("_n") - F.sum("_pos")).cast("long").alias("false"),
+        F.min("_tmin").alias("min_date"),
+        F.max("_tmax").alias("max_date"))
+
+
 def gap_to_previous(df: DataFrame, key: str = "ip", ts: str = "click_timestamp",
                     order: tuple[str, ...] = ("click_time", "click_id"), out: str = "gap_seconds") -> DataFrame:
     """Seconds since the previous click of the same key (0 for the key's first click).
