@@ -15,13 +15,18 @@ def _c(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _epoch_ntz() -> Column:
-    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-
-
 def epoch_micros(ts: ColumnOrName) -> Column:
-    """Microseconds since 1970-01-01 of a naive timestamp, independent of the session zone."""
-    return F.timestamp_diff("MICROSECOND", _epoch_ntz(), _c(ts).cast("timestamp_ntz"))
+    """Microseconds since 1970-01-01 of a naive timestamp, independent of the session zone.
+
+    Built from zone-free fields of the ``timestamp_ntz`` value (day number,
+    hour, minute, seconds with fraction), so no daylight-saving offset can
+    creep in whatever ``spark.sql.session.timeZone`` is.
+    """
+    v = _c(ts).cast("timestamp_ntz")
+    day = F.unix_date(F.to_date(v)).cast("long")
+    sec = (F.date_part(F.lit("SECOND"), v) * F.lit(1_000_000)).cast("long")
+    return (day * F.lit(86_400_000_000) + F.hour(v).cast("long") * F.lit(3_600_000_000)
+            + F.minute(v).cast("long") * F.lit(60_000_000) + sec)
 
 
 def floor_div(x: ColumnOrName, n: int) -> Column:

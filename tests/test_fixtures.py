@@ -139,3 +139,17 @@ def test_exact_quantiles_high_cardinality(spark):
     for c, vals in truth.items():
         for q in [0.0, 0.25, 0.5, 0.999, 1.0]:
             assert got[(c, q)] == float(vals[profile.nearest_rank(len(vals), q)]), (c, q)
+
+
+def test_epoch_micros_ignores_session_zone(spark):
+    from gapwise.functions.scalars import epoch_micros
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([("2024-07-01 12:34:56.123456",), ("1969-12-31 23:59:59.999999",),
+                                    ("2024-03-10 02:30:00",)], "s string")
+        got = [r[0] for r in df.select(epoch_micros(F.col("s").cast("timestamp_ntz"))).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == [1719837296123456, -1, 1710037800000000]
