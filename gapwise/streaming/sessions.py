@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gapwise.functions.scalars import epoch_micros
 from gapwise.sources.adapters import clicks_from_events
 
 
@@ -26,7 +27,8 @@ def stream_session_table(clicks: DataFrame, gap_seconds: int, watermark: str = "
             F.max(time_col).alias("last_click")]
     if label:
         aggs.append(F.count_if(F.col(label)).alias("n_attributed"))
-    ts = F.col(time_col).cast("timestamp")  # session_window needs a zoned timestamp; the session zone is UTC
+    # session_window needs an instant; the naive clock is UTC, converted exactly (no session-zone shift)
+    ts = F.timestamp_micros(epoch_micros(time_col))
     return (clicks.withColumn("_event_time", ts)
                   .withWatermark("_event_time", watermark)
                   .groupBy(F.col(key), F.session_window("_event_time", f"{int(gap_seconds)} seconds").alias("session"))

@@ -183,3 +183,24 @@ def test_new_key_does_not_change_other_keys(spark):
     a = _collect(sessions.session_features(df, gap=7))
     b = _collect(sessions.session_features(df.unionByName(later), gap=7))
     assert {k: v for k, v in b.items() if k != 10_000} == a
+
+
+def test_raw_clicks_shuffle_on_key_and_chunk(spark):
+    """Without a broadcast (large inputs), clicks are hash-partitioned on (key, chunk), never on the key alone."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = _random_clicks(spark, seed=3)
+        out = sessions.session_features(df, gap=60)
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan
+    import re
+    parts = re.findall(r"hashpartitioning\(([^)]*?), \d+\)", plan)
+    # the join inputs are partitioned on two expressions (key, chunk); the only single-key
+    # exchange feeds the window over the (small) chunk table
+    assert any(p.count(",") >= 1 for p in parts)
