@@ -153,3 +153,13 @@ def test_epoch_micros_ignores_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == [1719837296123456, -1, 1710037800000000]
+
+
+def test_encoder_large_table_path(spark):
+    """Code tables above maxBroadcastRows are checkpointed and joined without a broadcast hint."""
+    train = spark.createDataFrame([(v,) for v in [2, 2, 2, 10, 10, 10, 1, 7]], "c long")
+    model = encoders.RareOrdinalEncoder(inputCols=["c"], outputCols=["code"], minFrequency=0.25,
+                                        maxBroadcastRows=1).fit(train)
+    assert model.broadcast is False
+    test = spark.createDataFrame([(v,) for v in [2, 10, 1, 7, 99]], "c long")
+    assert {r["c"]: r["code"] for r in model.transform(test).collect()} == {2: 0, 10: 1, 1: 2, 7: 2, 99: -1}
