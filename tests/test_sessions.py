@@ -204,3 +204,18 @@ def test_raw_clicks_shuffle_on_key_and_chunk(spark):
     # the join inputs are partitioned on two expressions (key, chunk); the only single-key
     # exchange feeds the window over the (small) chunk table
     assert any(p.count(",") >= 1 for p in parts)
+
+
+def test_hot_key_owning_over_a_third_of_clicks(spark):
+    from gapwise.plans.catalog import clicks
+
+    c = clicks(spark, "/root/testdata/sf0.01").select("click_id", "ip", "app", "click_time")
+    # every 'view' and 'signup' click (about 40 % of all) moves to one hot key
+    hot = c.withColumn("ip", F.when(F.col("app").isin("view", "signup"), F.lit(-1)).otherwise(F.col("ip"))).drop("app")
+    gap = 900
+    assert _collect(sessions.session_features(hot, gap=gap)) == _collect(_brute_force(hot, gap))
+    rows = sessions.add_click_timestamp(hot)
+    chunks = sessions.session_chunks(rows, gap).filter("ip = -1")
+    span = rows.filter("ip = -1").agg(F.max("click_timestamp") - F.min("click_timestamp")).first()[0]
+    n_hot = rows.filter("ip = -1").count()
+    assert chunks.count() <= span // gap + 1 < n_hot  # the hot key's window input is bounded by span / gap
