@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. Timestamps in the click log are naive
 # (documented as UTC); pinning the session zone keeps display/cast identical
@@ -43,16 +45,53 @@ def get_spark(master: str | None = None, app: str = "gapwise", shuffle_partition
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; set a local one only if unset (tests)."""
+    """Use the cluster's ``spark.checkpoint.dir``; set a local one only if unset and the master is local.
+
+    Raises ValueError on any other master without the setting: a folder of the
+    driver's machine is not visible to executors.
+    """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        d = os.environ.get("GAPWISE_CHECKPOINT_DIR") or os.path.join("/tmp", f"gapwise-ckpt-{uuid.uuid4().hex[:8]}")
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        d = os.environ.get("GAPWISE_CHECKPOINT_DIR") or tempfile.mkdtemp(prefix="gapwise-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
 
 
+_SCRATCH: list[tuple[SparkSession, str]] = []
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder (never a machine-local temp dir on a cluster)."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/gapwise-{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh folder under the shared checkpoint folder; removed by :func:`drop_scratch` or at interpreter exit."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/gapwise-{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append((spark, path))
+    return path
+
+
+def drop_scratch(spark: SparkSession, *paths: str) -> None:
+    """Delete scratch folders through Spark's own file system layer."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+        _SCRATCH[:] = [x for x in _SCRATCH if x[1] != path]
+
+
+@atexit.register
+def _drop_all() -> None:
+    for spark, path in list(_SCRATCH):
+        try:
+            drop_scratch(spark, path)
+        except Exception:  # noqa: BLE001  the session may be gone already
+            return
+
+
+def materialize(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write ``df`` once to a scratch folder and read it back; cuts lineage and survives lost executors."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
