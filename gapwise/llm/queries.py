@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapwise.llm import embeddings, minhash
+from gapwise.llm import embeddings, language, minhash, pii, secrets, warc
+from gapwise.runtime import scratch_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,12 +23,64 @@ def op2_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def _span_text(spans: Column) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def _count(kind: str, base: Callable[[Column], Column]) -> Column:
+    return F.size(F.filter("spans", lambda s: (s["kind"] == kind) & base(s))).cast("long").alias(f"n_{kind}")
+
+
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = secrets.scan(docs, secrets.dictionary(docs))
+
+    def base(s: Column) -> Column:
+        return s["kind"] != "guess"
+    return found.select("doc_id", *[_count(k, base) for k in ("assign", "access", "hex")],
+                        F.sha2(_span_text(F.filter("spans", base)), 256).alias("base_sha256"),
+                        _span_text(F.col("spans")).alias("spans"))
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = pii.scan(docs, pii.learn(docs))
+
+    def base(s: Column) -> Column:
+        return s["base"]
+    return found.select("doc_id", *[_count(k, base) for k in pii.KINDS],
+                        F.sha2(_span_text(F.filter("spans", base)), 256).alias("base_sha256"),
+                        _span_text(F.col("spans")).alias("spans"))
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "warc")
+    warc.write_archives(_table(spark, sf_dir, "pages"), path)
+    return warc.page_captures(spark, path)
+
+
+def _remainder(mod: int) -> Column:
+    """crc32 of the id's text, modulo; null for a null id."""
+    return F.crc32(F.col("doc_id").cast("string")) % mod
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.coalesce(_remainder(3) == 1, F.lit(False))
+    found = language.predict(docs, language.learn(docs.where(_remainder(3) != 1)))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "margin", "rejected")
+
+
 _WORDS = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                '[^\\x20\\x09-\\x0D]+')"""
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
     "op2_embeddings": op2_embeddings,
+    "op4_secrets": op4_secrets,
+    "op6_warc": op6_warc,
+    "op8_pii": op8_pii,
+    "op9_language": op9_language,
 }
 
 ORACLE: dict[str, str] = {
