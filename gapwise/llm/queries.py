@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapwise.llm import embeddings, language, minhash, pii, secrets, warc
+from gapwise.llm import decontaminate, embeddings, language, minhash, packing, pii, secrets, warc
 from gapwise.runtime import scratch_dir
 
 
@@ -53,6 +53,14 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         _span_text(F.col("spans")).alias("spans"))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "warc")
     warc.write_archives(_table(spark, sf_dir, "pages"), path)
@@ -78,7 +86,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
     "op2_embeddings": op2_embeddings,
     "op4_secrets": op4_secrets,
+    "op5_packing": op5_packing,
     "op6_warc": op6_warc,
+    "op7_decontaminate": op7_decontaminate,
     "op8_pii": op8_pii,
     "op9_language": op9_language,
 }
@@ -115,4 +125,25 @@ m AS (SELECT vec_id, min(root) AS component_id FROM r GROUP BY vec_id),
 n AS (SELECT a AS vec_id, count(*) AS n_links FROM e GROUP BY a)
 SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
 FROM m LEFT JOIN n USING (vec_id)""",
+    "op7_decontaminate": f"""
+WITH w(d, id, ws) AS (
+  SELECT true, doc_id, list_filter(regexp_split_to_array(lower(text), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') FROM documents
+  UNION ALL
+  SELECT false, item_id, list_filter(regexp_split_to_array(lower(text), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') FROM benchmark),
+s AS ({" UNION ALL ".join(
+    f"SELECT d, id, {k} AS mask, i, concat_ws(' ', " + ", ".join(f"ws[i + {p}]" for p, c in enumerate(m) if c == "1")
+    + f") AS seed FROM (SELECT d, id, ws, unnest(range(1, len(ws) - {len(m) - 2})) AS i FROM w)"
+    for k, m in enumerate(decontaminate.MASKS))}),
+h AS (SELECT DISTINCT x.id AS doc_id, y.id AS item_id, x.i - y.i AS shift FROM s x JOIN s y USING (mask, seed)
+  WHERE x.d AND NOT y.d),
+e AS (
+  SELECT h.doc_id, h.item_id, shift, least(13, len(y.ws)) AS size,
+    list_transform(range(1, len(y.ws) + 1), lambda j: CASE WHEN j + shift >= 1 AND x.ws[j + shift] = y.ws[j] THEN 1 ELSE 0 END) AS eq
+  FROM h JOIN w x ON x.d AND x.id = h.doc_id JOIN w y ON NOT y.d AND y.id = h.item_id),
+v AS (
+  SELECT doc_id, item_id, size, shift, a, list_sum(eq[a:a + size - 1]) AS matched
+  FROM (SELECT *, unnest(range(1, len(eq) - size + 2)) AS a FROM e)),
+m AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY matched DESC, shift + a) AS k FROM v
+  WHERE matched * 13 >= 10 * size)
+SELECT doc_id, item_id, matched::BIGINT AS matched, (shift + a - 1)::BIGINT AS doc_start FROM m WHERE k = 1""",
 }
