@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapwise.llm import decontaminate, embeddings, language, minhash, packing, pii, secrets, warc
+from gapwise.llm import decontaminate, embeddings, language, minhash, packing, pii, quality, secrets, warc
 from gapwise.runtime import scratch_dir
 
 
@@ -57,6 +57,13 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    found = quality.score(docs, labels.where(_remainder(5) != 0))
+    return found.select("doc_id", F.coalesce(_remainder(5) == 0, F.lit(False)).alias("held_out"), "score",
+                        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
@@ -85,6 +92,7 @@ _WORDS = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQR
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
     "op2_embeddings": op2_embeddings,
+    "op3_quality": op3_quality,
     "op4_secrets": op4_secrets,
     "op5_packing": op5_packing,
     "op6_warc": op6_warc,
