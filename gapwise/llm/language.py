@@ -68,31 +68,31 @@ def choose(size: np.ndarray) -> tuple[int, float, float]:
     return best, float(1 / np.exp(-(size - size[best]) / (0.01 * size[best] + 1)).sum()), margin
 
 
+def _coders(dictionaries: dict[str, bytes]) -> list[zstd.ZstdCompressor]:
+    out = []
+    for lang in sorted(dictionaries):
+        d = zstd.ZstdCompressionDict(dictionaries[lang], dict_type=zstd.DICT_TYPE_RAWCONTENT)
+        d.precompute_compress(level=LEVEL)
+        out.append(zstd.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False, write_checksum=False,
+                                       write_dict_id=False))
+    return out
+
+
+def _classified(text: str | None, langs: list[str], coders: list[zstd.ZstdCompressor]) -> tuple[str, float, float]:
+    """(language, score, margin) of one text."""
+    if not langs or not text or not _has_letter(text):
+        return "und", 0.0, 0.0
+    best, score, margin = choose(sizes(text.lower(), coders))
+    return langs[best], score, margin
+
+
 def _predict(dictionaries: dict[str, bytes]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        langs = sorted(dictionaries)
-        coders = []
-        for lang in langs:
-            d = zstd.ZstdCompressionDict(dictionaries[lang], dict_type=zstd.DICT_TYPE_RAWCONTENT)
-            d.precompute_compress(level=LEVEL)
-            coders.append(zstd.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False, write_checksum=False,
-                                              write_dict_id=False))
+        langs, coders = sorted(dictionaries), _coders(dictionaries)
         for batch in batches:
-            pred, score, margin = [], [], []
-            for x in batch.column(1):
-                text = x.as_py()
-                if not langs or not text or not _has_letter(text):
-                    pred.append("und")
-                    score.append(0.0)
-                    margin.append(0.0)
-                    continue
-                best, s, m = choose(sizes(text.lower(), coders))
-                pred.append(langs[best])
-                score.append(s)
-                margin.append(m)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(pred, pa.string()), pa.array(score, pa.float64()),
-                                              pa.array(margin, pa.float64())],
-                                             names=["doc_id", "lang_pred", "score", "margin"])
+            found = [_classified(x.as_py(), langs, coders) for x in batch.column(1)]
+            cols = [pa.array([f[k] for f in found], t) for k, t in enumerate((pa.string(), pa.float64(), pa.float64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *cols], names=["doc_id", "lang_pred", "score", "margin"])
     return run
 
 
@@ -108,3 +108,15 @@ def predict(docs: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc_
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
         _predict(dictionaries), "doc_id long, lang_pred string, score double, margin double")
     return rows.withColumn("rejected", (F.col("lang_pred") == "und") | (F.col("margin") < MIN_MARGIN))
+
+
+def accepted(docs: DataFrame, dictionaries: dict[str, bytes], text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose text is not rejected by :func:`predict`'s rule."""
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        langs, coders = sorted(dictionaries), _coders(dictionaries)
+        for batch in batches:
+            found = [_classified(x.as_py(), langs, coders) for x in batch.column(at)]
+            yield batch.filter(pa.array([lang != "und" and margin >= MIN_MARGIN for lang, _, margin in found], pa.bool_()))
+    return docs.mapInArrow(run, docs.schema)

@@ -203,3 +203,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return (signed.select("doc_id", "n_shingles", "node").join(named, "node", "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())))
+
+
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, with one document of each group of near-duplicates.
+
+    Rows that repeat both id and text count as one document, of which one row
+    stays. Rows with a null id stay or go together.
+    """
+    kept = (near_duplicates(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("_kept")).distinct())
+    kept, _ = materialize(kept, "minhash-kept")
+    rows = docs.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("_kept")), "left_semi")
+    return rows.dropDuplicates([id_col, text_col])

@@ -320,3 +320,25 @@ def mask(text: str, w: Weights) -> str:
         out.append(f"[{label.upper()}]")
         at = stop
     return "".join(out) + text[at:]
+
+
+def masked(docs: DataFrame, weights: Weights, text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
+    """The rows of ``docs`` with every span in the text replaced by its kind, as in ``[EMAIL]``.
+
+    ``length_col``, if the table has it, follows a changed text's length. Null
+    texts, clean texts and all other columns stay as they are.
+    """
+    at = docs.columns.index(text_col)
+    size_at = docs.columns.index(length_col) if length_col in docs.columns else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            old = batch.column(at).to_pylist()
+            new = [x and mask(x, weights) for x in old]
+            cols = list(batch.columns)
+            cols[at] = pa.array(new, cols[at].type)
+            if size_at is not None:
+                sizes = cols[size_at].to_pylist()
+                cols[size_at] = pa.array([len(b) if a != b else n for a, b, n in zip(old, new, sizes)], cols[size_at].type)
+            yield pa.RecordBatch.from_arrays(cols, schema=batch.schema)
+    return docs.mapInArrow(run, docs.schema)

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapwise.llm import decontaminate, embeddings, language, minhash, packing, pii, quality, secrets, warc
+import corpus_pipeline
+from gapwise.llm import decontaminate, embeddings, language, minhash, ngram, packing, pii, quality, secrets, warc
+from gapwise.llm.folds import in_fold, remainder
 from gapwise.runtime import scratch_dir
 
 
@@ -59,8 +61,8 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
-    found = quality.score(docs, labels.where(_remainder(5) != 0))
-    return found.select("doc_id", F.coalesce(_remainder(5) == 0, F.lit(False)).alias("held_out"), "score",
+    found = quality.score(docs, labels.where(remainder(5) != 0))
+    return found.select("doc_id", in_fold(5, 0).alias("held_out"), "score",
                         (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
 
 
@@ -74,16 +76,18 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_captures(spark, path)
 
 
-def _remainder(mod: int) -> Column:
-    """crc32 of the id's text, modulo; null for a null id."""
-    return F.crc32(F.col("doc_id").cast("string")) % mod
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = language.predict(docs, language.learn(docs.where(remainder(3) != 1)))
+    return found.select("doc_id", in_fold(3, 1).alias("held_out"), "lang_pred", "score", "margin", "rejected")
 
 
-def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    held_out = F.coalesce(_remainder(3) == 1, F.lit(False))
-    found = language.predict(docs, language.learn(docs.where(_remainder(3) != 1)))
-    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "margin", "rejected")
+    model, _ = ngram.learn(docs.where(remainder(5) != 1))
+    found = ngram.score(docs, model)
+    return found.select("doc_id", in_fold(5, 1).alias("held_out"), "n_tokens", "n_known",
+                        "train_tokens", "base_score", "score")
 
 
 _WORDS = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -99,6 +103,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_decontaminate": op7_decontaminate,
     "op8_pii": op8_pii,
     "op9_language": op9_language,
+    "op10_lm": op10_lm,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE: dict[str, str] = {
