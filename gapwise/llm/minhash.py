@@ -120,7 +120,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     same = F.size(F.array_intersect("of_a", "of_b"))
     return (pairs.join(one, "b").join(two, "a")
             .where(100 * same >= THRESHOLD_PCT * (F.size("of_a") + F.size("of_b") - same))
-            .select("a", "b").distinct())
+            .select("a", "b"))
 
 
 def _linked(members: DataFrame, sets: DataFrame) -> DataFrame | None:
