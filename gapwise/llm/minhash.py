@@ -7,7 +7,10 @@ densification). Bands of the signature are bucket keys. Documents with equal
 shingle sets are one node from then on. In every bucket one node, the one met
 in most buckets' populations, is the centre of a star; only centre-member
 pairs are verified, on the full shingle sets. Members that stay outside the
-centre's component form new stars until a round links nothing more.
+centre's component form new stars until a round links nothing more. Buckets
+that still hold several components are then cut finer, by many keys of more
+rows each, so that a text whose few links are among thousands of less similar
+texts meets them in small buckets.
 """
 
 from __future__ import annotations
@@ -28,6 +31,8 @@ SHINGLE_WORDS = 5
 THRESHOLD_PCT = 75
 BANDS = 32
 ROWS = 4
+FINE_KEYS = 256            # for texts in buckets of several components
+FINE_ROWS = 12
 
 _PROBES: list[np.ndarray] = []
 
@@ -73,6 +78,25 @@ def _node(shingles: np.ndarray) -> int | None:
     return None
 
 
+def fine_keys(sig: np.ndarray) -> np.ndarray:
+    """Keys of FINE_ROWS signature values each, at fixed pseudo-random places."""
+    places = np.random.default_rng(7).integers(0, len(sig), (FINE_KEYS, FINE_ROWS))
+    key = np.arange(1, FINE_KEYS + 1, dtype=U64) * U64(0x9FB21C651E98DF25)
+    for j in range(FINE_ROWS):
+        key = mix(key + sig[places[:, j]])
+    return key
+
+
+def _fine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = [fine_keys(signature(np.asarray(s.values.to_numpy()).view(U64))).view(np.int64) for s in batch.column(1)]
+        bounds = np.arange(len(rows) + 1, dtype=np.int32) * FINE_KEYS
+        flat = np.concatenate(rows) if rows else np.zeros(0, np.int64)
+        size = pa.array([len(s.values) for s in batch.column(1)], pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column(0), size, pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat))],
+                                         names=["node", "size", "keys"])
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in slices(whole, 1):
@@ -123,21 +147,35 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             .select("a", "b"))
 
 
-def _linked(members: DataFrame, sets: DataFrame) -> DataFrame | None:
-    """(node, root) for every node with a verified link; None without any.
+def _members(rows: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """(key, node, size, weight) of the nodes in buckets of several; weight is the population of a node's buckets."""
+    crowded = rows.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
+    shared, at = materialize(rows.join(crowded, "key"), f"{name}-shared")
+    weight = shared.groupBy("node").agg(F.sum("members").alias("weight"))
+    out = materialize(shared.join(weight, "node").select("key", "node", "size", "weight"), name)
+    drop_scratch(rows.sparkSession, at)
+    return out
+
+
+def _rooted(members: DataFrame, roots: DataFrame | None) -> DataFrame:
+    if roots is None:
+        return members.withColumn("root", F.col("node"))
+    return members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def _linked(members: DataFrame, sets: DataFrame, links: DataFrame | None = None,
+            roots: DataFrame | None = None) -> tuple[DataFrame | None, DataFrame | None]:
+    """Links so far and more found in the buckets, and (node, root) of all nodes with one; None without any.
 
     In each round every bucket names a centre among its members whose component
     holds none of the bucket's earlier centres, and the centre is compared with
     all members of other components. It ends with a round that finds no link.
     """
     spark = members.sparkSession
-    roots, links, tried, centres, spent = None, None, None, None, []
+    tried, centres, spent = None, None, []
     while True:
-        if roots is None:
-            pool = members.withColumn("root", F.col("node"))
-            fresh = pool
-        else:
-            pool = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        pool = fresh = _rooted(members, roots)
+        if centres is not None:
             past = (centres.join(roots, F.col("centre") == F.col("node"), "left")
                     .select("key", F.coalesce("root", "centre").alias("root")).distinct())
             fresh = pool.join(past, ["key", "root"], "left_anti")
@@ -155,11 +193,10 @@ def _linked(members: DataFrame, sets: DataFrame) -> DataFrame | None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs, at = materialize(pairs, "minhash-pairs")
         spent.append(at)
-        found, at = materialize(_verified(pairs, sets), "minhash-links")
-        spent.append(at)
+        found, _ = materialize(_verified(pairs, sets), "minhash-links")
         if not found.limit(1).count():
             drop_scratch(spark, *spent)
-            return roots
+            return links, roots
         tried = pairs if tried is None else tried.union(pairs)
         links = found if links is None else links.union(found)
         roots = components(links)
@@ -184,17 +221,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              .agg(F.min("doc_id").alias("first_doc"), F.first("n_shingles").alias("size"), F.first("keys").alias("keys")))
     nodes, _ = materialize(nodes, "minhash-nodes")
     rows = nodes.select("node", "size", F.explode("keys").alias("key"))
-    crowded = rows.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
-    shared, shared_at = materialize(rows.join(crowded, "key"), "minhash-shared")
-    weight = shared.groupBy("node").agg(F.sum("members").alias("weight"))
-    members, members_at = materialize(shared.join(weight, "node").select("key", "node", "size", "weight"),
-                                      "minhash-members")
-    wanted = weight.join(nodes, "node").select("node", F.col("first_doc").alias("doc_id"))
+    members, members_at = _members(rows, "minhash-members")
+    wanted = members.select("node").distinct().join(nodes, "node").select("node", F.col("first_doc").alias("doc_id"))
     sets, sets_at = materialize(texts.join(wanted, "doc_id").select("node", "text")
                                 .mapInArrow(_sets, "node long, shingles array<long>"), "minhash-sets")
-    drop_scratch(spark, shared_at)
-    roots = _linked(members, sets)
-    drop_scratch(spark, members_at, sets_at)
+    links, roots = _linked(members, sets)
+    mixed = (_rooted(members, roots).groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"))
+             .where("a <> b").select("key"))
+    unsettled = members.join(mixed, "key").select("node").distinct()
+    finer = (sets.join(unsettled, "node").mapInArrow(_fine, "node long, size long, keys array<long>")
+             .select("node", "size", F.explode("keys").alias("key")))
+    members, fine_at = _members(finer, "minhash-fine")
+    _, roots = _linked(members, sets, links, roots)
+    drop_scratch(spark, members_at, fine_at, sets_at)
     named = nodes.select("node", F.col("first_doc").alias("component"))
     if roots is not None:
         placed = nodes.select("node", "first_doc").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
