@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,16 +35,12 @@ ROWS = 4
 FINE_KEYS = 256            # for texts in buckets of several components
 FINE_ROWS = 12
 
-_PROBES: list[np.ndarray] = []
-
-
+@cache
 def _probe(t: int, bins: int) -> np.ndarray:
     """The bin that each empty bin tries in its t-th attempt."""
-    while len(_PROBES) <= t:
-        i = np.arange(bins, dtype=U64)
-        _PROBES.append((mix(i * U64(0x9E3779B97F4A7C15) + U64(len(_PROBES) + 1) * U64(0xD1B54A32D192ED03))
-                        % U64(bins)).astype(np.int64))
-    return _PROBES[t]
+    i = np.arange(bins, dtype=U64) * U64(0x9E3779B97F4A7C15)
+    turn = mix(np.array([t + 1], U64))
+    return (mix(i + turn) % U64(bins)).astype(np.int64)
 
 
 def signature(hashes: np.ndarray, bins: int = BANDS * ROWS) -> np.ndarray:

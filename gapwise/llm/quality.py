@@ -23,7 +23,7 @@ SHAPES = ("log_words", "word_bytes", "upper", "digit", "stop", "mark", "odd", "w
           "twice", "fresh")
 CUTS = (0.1, 0.5, 0.9, 0.98)       # quantiles at which a shape's weight may change
 STEPS = 12
-RIDGE = 1e-3
+RIDGE = 5e-3
 THRESHOLD = 0.3
 
 _CLASS = np.full(256, 7, np.uint8)                       # marks of no other class
@@ -155,7 +155,11 @@ def _newton(basis: Basis, positives: DataFrame, unlabelled: DataFrame, n_pos: fl
 
 
 def _prior(basis: Basis, w: np.ndarray, positives: DataFrame, unlabelled: DataFrame, n_pos: float, n_unl: float) -> float:
-    """Share of positives in the unlabelled rows: the least ratio of the two sets' shares above a score."""
+    """Share of positives in the unlabelled rows: the least ratio of the two sets' shares above a score.
+
+    Half a standard error is added above and taken off below, so that the few
+    rows in the tails do not set the ratio.
+    """
     bins = 200
 
     def part(x: np.ndarray) -> np.ndarray:
@@ -163,8 +167,9 @@ def _prior(basis: Basis, w: np.ndarray, positives: DataFrame, unlabelled: DataFr
 
     above_p = np.cumsum((_summed(positives, part, bins) / n_pos)[::-1])
     above_u = np.cumsum((_summed(unlabelled, part, bins) / n_unl)[::-1])
-    enough = above_p >= 0.1
-    return float(np.clip((above_u[enough] / above_p[enough]).min(), 0.05, 0.99))
+    top, bottom = above_u + 0.5 / np.sqrt(n_unl), above_p - 0.5 / np.sqrt(n_pos)
+    enough = bottom >= 0.1
+    return float(np.clip((top[enough] / bottom[enough]).min() if enough.any() else 0.5, 0.05, 0.99))
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
