@@ -10,9 +10,10 @@ Pieces then take the places of their length by their rank among equal lengths.
 from __future__ import annotations
 
 import os
-import re
+import struct
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,56 +28,79 @@ from gapwise.runtime import materialize
 CAPACITY = 4096
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-_CACHED_WORDS = 500_000
-_CACHED_BYTES = 64         # longer words are encoded each time they occur
+_CACHED_WORDS = 400_000    # of one generation
+_CACHED_BYTES = 64          # longer words are encoded each time they occur
 _SALT_ROWS = 20_000
 
-_WORDS: dict[str, dict[bytes, bytes]] = {}
-_TOKENIZERS: dict[str, Tokenizer] = {}
-
-
-def _encoder(name: str) -> tuple[Tokenizer, dict[bytes, bytes]]:
-    """The tokenizer and what it has made of words so far; kept by a Python worker between tasks."""
-    if name not in _TOKENIZERS:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"       # Spark's tasks share the cores already
-        _TOKENIZERS[name] = Tokenizer.from_file(public_tokenizers.path(name))
-        _WORDS[name] = {}
-    return _TOKENIZERS[name], _WORDS[name]
-
-
-_MARK = re.compile(rb"(?<=[a-z0-9])([!-%*-.:;=?]+)(?=[ \n])")       # marks that end a word after a plain letter or digit
-
-
-def _encode(tok: Tokenizer, words: list[bytes]) -> list[bytes]:
-    return [np.array(e.ids, "<u4").tobytes() for e in tok.encode_batch_fast([w.decode() for w in words],
-                                                                            add_special_tokens=False)]
-
-
-def encode(texts: list[bytes], name: str = TOKENIZER) -> list[bytes]:
-    """Little-endian 32-bit ids of UTF-8 texts, END_ID added.
-
-    The tokenizer drops white space and letter case, and never merges across
-    white space or between a letter and a mark. So a text's ids are those of
-    its words and marks one after the other, each of which is encoded once.
-    """
-    tok, known = _encoder(name)
-    end = np.array([END_ID], "<u4").tobytes()
-    out = []
-    for text in texts:
-        if b"<|" not in text:                                # special tokens are spelt in lower case only
-            text = _MARK.sub(rb" \1", text.lower())
-        words = text.split()
-        try:
-            out.append(b"".join(map(known.get, words)) + end)
-        except TypeError:                                    # a word that is not known yet
-            fresh = [w for w in set(words) if w not in known]
-            if len(known) + len(fresh) > _CACHED_WORDS:
-                known.clear()
-                fresh = list(set(words))
-            codes = dict(zip(fresh, _encode(tok, fresh)))
-            out.append(b"".join([codes[w] if w in codes else known[w] for w in words]) + end)
-            known.update((w, c) for w, c in codes.items() if len(w) <= _CACHED_BYTES)
-    return out
+# Marks that may follow a letter or digit as a token of their own; < and > may be part of a special token.
+_MARKS = b"!#$%&*+,-./:;=?"
+# The byte-level alphabet of the tokenizer: printable bytes stand for themselves, the others are counted from 256.
+_PLAIN = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_ALPHABET = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PLAIN)}
+
+
+class WordEncoder:
+    """Ids of texts, word by word; words met lately are kept, in two generations of bounded size."""
+
+    def __init__(self, name: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"           # Spark's tasks share the cores already
+        self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+        self.model = self.tokenizer.model
+        self.known: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
+        self.end = struct.pack("<I", END_ID)
+
+    def word(self, w: bytes) -> bytes:
+        """Ids of a text without ASCII white space.
+
+        Letters below U+0250 are one token sequence of the model, as the
+        normaliser only folds their case; marks that end a word after an ASCII
+        letter or digit never merge with it. All else goes through the whole tokenizer.
+        """
+        u = w.decode()
+        if u.isalpha() and max(u) < "\u0250" and "\u0130" not in u:
+            return self._packed(self.model.tokenize(u.lower().encode().decode("latin-1").translate(_ALPHABET)))
+        stem = w.rstrip(_MARKS)
+        if b"<" not in w and "\u0130" not in u and 0 < len(stem) < len(w) and (
+                stem[-1:].isalnum() or stem.decode()[-1].isalpha()):
+            return self.ids(stem) + self.ids(w[len(stem):])
+        ids = self.tokenizer.encode(u, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    @staticmethod
+    def _packed(tokens: list) -> bytes:
+        return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+
+    def ids(self, w: bytes) -> bytes:
+        code = self.known.get(w)
+        if code is None:
+            code = self.before.get(w)
+            if code is None:
+                code = self.word(w)
+            if len(w) <= _CACHED_BYTES:
+                if len(self.known) >= _CACHED_WORDS:
+                    self.known, self.before = {}, self.known
+                self.known[w] = code
+        return code
+
+    def text(self, raw: bytes) -> bytes:
+        """Little-endian 32-bit ids of a UTF-8 text, END_ID added.
+
+        The tokenizer drops white space and letter case and never merges across
+        white space, so a text's ids are those of its words one after the other.
+        """
+        words = (raw if b"<|" in raw else raw.lower()).split()   # special tokens are spelt in lower case only
+        codes = list(map(self.known.get, words))
+        for i in [i for i, c in enumerate(codes) if c is None]:
+            codes[i] = self.ids(words[i])
+        codes.append(self.end)
+        return b"".join(codes)
+
+
+@cache
+def encoder(name: str = TOKENIZER) -> WordEncoder:
+    """Kept by a Python worker between tasks."""
+    return WordEncoder(name)
 
 
 def _pieces(name: str, capacity: int, with_ids: bool):
@@ -86,7 +110,7 @@ def _pieces(name: str, capacity: int, with_ids: bool):
                 texts = [x.as_py() or b"" for x in batch.column(1).cast(pa.binary())]
                 rows: list[tuple] = []
                 ids: list[np.ndarray] = []
-                for doc_id, data in zip(batch.column(0).to_pylist(), encode(texts, name)):
+                for doc_id, data in zip(batch.column(0).to_pylist(), map(encoder(name).text, texts)):
                     for k, at in enumerate(range(0, len(data), 4 * capacity)):
                         part = data[at: at + 4 * capacity]
                         rows.append((doc_id, k, at // 4, len(part) // 4, zlib.crc32(part)))

@@ -1,0 +1,56 @@
+"""Spaced-seed decontamination against its SQL form and planted passages."""
+
+import random
+
+from conftest import SF_SMALL
+from gapwise.llm import decontaminate
+from gapwise.llm.queries import op7_decontaminate
+
+R = random.Random(11)
+VOCAB = [f"w{i}" for i in range(400)]
+ITEM = [R.choice(VOCAB) for _ in range(40)]
+
+
+def noise(n):
+    return [R.choice(VOCAB) for _ in range(n)]
+
+
+def replaced(words, every):
+    return [f"new{i}" if i % every == every - 1 else w for i, w in enumerate(words)]
+
+
+def tables(spark):
+    docs = [(1, " ".join(noise(50) + ITEM + noise(30))), (2, "  ".join(noise(7) + replaced(ITEM, 8)).upper()), (3, " ".join(noise(200))),
+            (4, " ".join(noise(20) + ITEM[:6] + noise(20))), (5, None), (6, ""), (7, " ".join(ITEM[10:28])), (8, "\n".join(replaced(ITEM, 2))),
+            (9, " ".join(ITEM + ITEM)), (None, " ".join(ITEM)), (1, "another text")]
+    items = [(100, " ".join(ITEM)), (101, " ".join(noise(30))), (102, "too short"), (103, None), (None, " ".join(ITEM)), (104, "")]
+    return (spark.createDataFrame([(i, t, 1, "x") for i, t in docs], "doc_id long, text string, item_id int, seed string").repartition(3),
+            spark.createDataFrame(items, "item_id long, text string"))
+
+
+def test_planted_passages(spark):
+    docs, items = tables(spark)
+    got = {(r["doc_id"], r["item_id"]): (r["matched"], r["doc_start"]) for r in decontaminate.leaks(docs, items).collect()}
+    assert got.keys() == {(1, 100), (2, 100), (7, 100), (9, 100)}
+    assert got[1, 100] == (13, 50) and got[9, 100] == (13, 0) and got[7, 100] == (13, 0) and got[2, 100][0] >= 11
+
+
+def test_clean_keeps_other_rows(spark):
+    docs, items = tables(spark)
+    kept = decontaminate.clean(docs, items)
+    assert kept.columns == docs.columns
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(["3", "4", "5", "6", "8", "None"])
+    assert decontaminate.clean(docs, items.limit(0)).count() == docs.count()
+    assert decontaminate.leaks(docs.limit(0), items).count() == 0
+
+
+def test_same_rows_by_shuffle(spark, monkeypatch):
+    docs, items = tables(spark)
+    want = sorted(map(tuple, decontaminate.leaks(docs, items).collect()))
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", -1)
+    assert sorted(map(tuple, decontaminate.leaks(docs, items).collect())) == want
+
+
+def test_no_python_in_the_plan(spark):
+    plan = op7_decontaminate(spark, SF_SMALL)._jdf.queryExecution().toString()
+    assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))

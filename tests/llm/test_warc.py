@@ -1,0 +1,75 @@
+"""WARC: an exact round trip of payloads and the digests by plain Python."""
+
+import base64
+import gzip
+import hashlib
+
+import pytest
+
+from conftest import SF_SMALL
+from gapwise.llm import warc
+from gapwise.llm.queries import op6_warc
+from gapwise.runtime import scratch_dir
+
+
+def expected(pages, least=0):
+    largest = {}
+    for i, h in pages:
+        largest[h or ""] = max(largest.get(h or "", i), i)
+    out = []
+    for i, h in pages:
+        raw = (h or "").encode()
+        revisit = len(raw) >= least and largest[h or ""] != i
+        out.append((i, len(raw), base64.b32encode(hashlib.sha1(raw).digest()).decode(), "revisit" if revisit else "response",
+                    largest[h or ""] if revisit else None))
+    return sorted(out)
+
+
+def test_query_matches_plain_python(spark):
+    pages = [(r["page_id"], r["html"]) for r in spark.read.parquet(f"{SF_SMALL}/pages.parquet").collect()]
+    got = op6_warc(spark, SF_SMALL).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    assert sorted((tuple(r) for r in got.collect()), key=lambda r: r[0]) == expected(pages)
+
+
+TRICKY = [(1, "http://a.example/x?y#z", "<p>é\r\n\r\nWARC/1.1\r\nContent-Length: 3\r\n\r\nabc</p>\r\n\r\n"), (2, None, None), (3, "no scheme", ""),
+          (4, "http://b.example/a b\r\nEvil: 1", "same"), (5, "http://c.example", "same"), (6, "http://c.example/", "same"),
+          (7, "https://d.example/\t", "\n\n\r\n"), (8, "http://e.example/", "x" * 300_000)]
+
+
+@pytest.mark.parametrize("least", [0, 5])
+def test_round_trip_of_tricky_pages(spark, least):
+    df = spark.createDataFrame([(i, u, h, "d") for i, u, h in TRICKY], "page_id long, url string, html string, digest string").repartition(3)
+    path = scratch_dir(spark, "warc-test")
+    warc.write_archives(df, path, least_bytes=least)
+    got = warc.page_captures(spark, path).collect()
+    assert sorted((tuple(r) for r in got), key=lambda r: r[0]) == expected([(i, h) for i, _, h in TRICKY], least)
+    nested = warc.captures(warc.read_records(spark, path)).collect()
+    by_id = {int(r["metadata"]["page-id"]): r for r in nested}
+    assert len(nested) == len(TRICKY)
+    for i, _, h in TRICKY:
+        r = by_id[i]
+        assert r["request"] is not None
+        if r["type"] == "response":
+            assert bytes(r["payload"]) == (h or "").encode()
+    assert by_id[4]["target_uri"] == "http://b.example/a%20b%0D%0AEvil:%201" and by_id[2]["target_uri"] is None
+
+
+def test_repeated_rows_and_empty_table(spark):
+    df = spark.createDataFrame([(1, "u", "a"), (1, "u", "a"), (None, "u", "a"), (2, "v", "b")], "page_id long, url string, html string")
+    path = scratch_dir(spark, "warc-test")
+    warc.write_archives(df, path)
+    got = sorted(((r["page_id"], r["record_type"], r["refers_to"]) for r in warc.page_captures(spark, path).collect()), key=str)
+    assert got == sorted([(1, "response", None), (1, "response", None), (None, "revisit", 1), (2, "response", None)], key=str)
+    path = scratch_dir(spark, "warc-test")
+    warc.write_archives(df.limit(0), path)
+    assert warc.page_captures(spark, path).count() == 0
+
+
+def test_reader_takes_one_gzip_member_for_each_record_and_reports_damage():
+    records = [b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 5\r\n\r\nab\r\nc\r\n\r\n",
+               b"WARC/1.1\r\nWARC-Type: metadata\r\nContent-Length: 0\r\n\r\n\r\n\r\n"]
+    data = b"".join(map(gzip.compress, records))
+    assert [b for _, b in warc.records(data, "x.gz")] == [b"ab\r\nc", b""]
+    assert [h["warc-type"] for h, _ in warc.records(b"".join(records), "x")] == ["response", "metadata"]
+    with pytest.raises(ValueError):
+        list(warc.records(records[0][:-8], "x"))
