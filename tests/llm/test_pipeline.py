@@ -1,0 +1,107 @@
+"""The pipeline stage by stage against plain Python, and awkward rows through all stages."""
+
+import collections
+
+import corpus_pipeline
+from conftest import SF_SMALL
+from gapwise.llm import decontaminate, language, pii
+from gapwise.llm.folds import remainder
+from test_minhash import brute
+from test_packing import check
+from test_words import plain_words
+
+
+def seeds(words):
+    return {(k, tuple(words[i + p] for p, c in enumerate(m) if c == "1")): i
+            for k, m in enumerate(decontaminate.MASKS) for i in range(len(words) - len(m) + 1)}
+
+
+def leaked(text, items):
+    """Whether a seed hits and 10 of 13 aligned words agree, by trying all positions."""
+    words = text.lower().split()
+    for item in items:
+        for k, m in enumerate(decontaminate.MASKS):
+            for i in range(len(words) - len(m) + 1):
+                for j in range(len(item) - len(m) + 1):
+                    if all(c == "0" or words[i + p] == item[j + p] for p, c in enumerate(m)):
+                        same = [0 <= x + i - j < len(words) and words[x + i - j] == w for x, w in enumerate(item)]
+                        size = min(13, len(item))
+                        if max(sum(same[a:a + size]) for a in range(len(item) - size + 1)) * 13 >= 10 * size:
+                            return True
+    return False
+
+
+def test_stages_match_plain_python(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    frames, stage_in = {}, docs
+    for name, stage in corpus_pipeline.STAGES:
+        out = str(tmp_path / name)
+        stage(spark, stage_in, SF_SMALL).write.parquet(out)
+        frames[name] = stage_in = spark.read.parquet(out)
+        if name != "packing":
+            assert stage_in.columns == docs.columns and stage_in.dtypes == docs.dtypes
+    rows = {k: {r["doc_id"]: r for r in f.collect()} for k, f in frames.items() if k != "packing"}
+
+    known = language.learn(docs.where(remainder(3) != 1))
+    langs, coders = sorted(known), language._coders(known)
+    want = {r["doc_id"]: r for r in docs.collect()}
+    want = {i: r for i, r in want.items() if (f := language._classified(r["text"], langs, coders))[0] != "und" and f[2] >= language.MIN_MARGIN}
+    assert rows["language_id"] == want
+
+    want = {i: want[i] for i, (_, root) in brute([(i, r["text"]) for i, r in want.items()]).items() if root == i}
+    assert rows["minhash_dedup"] == want
+
+    items = [r["text"].lower().split() for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").collect()]
+    first = {w: 1 for item in items for w in item}
+    want = {i: r for i, r in want.items() if not (sum(w in first for w in plain_words(r["text"])) and leaked_fast(r["text"], items))}
+    assert rows["benchmark_decontamination"] == want
+
+    w = pii.learn(frames["benchmark_decontamination"])
+    masked = {i: pii.mask(r["text"], w) for i, r in want.items()}
+    assert {i: r["text"] for i, r in rows["pii"].items()} == masked
+    assert all(r["n_chars"] == (len(r["text"]) if masked[i] != want[i]["text"] else want[i]["n_chars"]) for i, r in rows["pii"].items())
+
+    check(frames["packing"].collect(), masked, 4096)
+    whole = corpus_pipeline.run(spark, SF_SMALL)
+    key = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    assert whole.select(key).exceptAll(frames["packing"].select(key)).count() == 0 and whole.count() == frames["packing"].count()
+
+
+def leaked_fast(text, items):
+    """As ``leaked``, trying only positions whose seeds are equal."""
+    words = text.lower().split()
+    own = collections.defaultdict(list)
+    for k, m in enumerate(decontaminate.MASKS):
+        for i in range(len(words) - len(m) + 1):
+            own[k, tuple(words[i + p] for p, c in enumerate(m) if c == "1")].append(i)
+    for item in items:
+        for key, j in seeds(item).items():
+            for i in own.get(key, ()):
+                same = [0 <= x + i - j < len(words) and words[x + i - j] == w for x, w in enumerate(item)]
+                size = min(13, len(item))
+                if max(sum(same[a:a + size]) for a in range(len(item) - size + 1)) * 13 >= 10 * size:
+                    return True
+    return False
+
+
+def test_fast_and_slow_leak_checks_agree():
+    item = "a b c d e f g h i j k l m n o p".split()
+    for text in ("x " + " ".join(item), "a b c d x f g h i x k l m", "a b c d e f g h", "z z z"):
+        assert leaked(text, [item]) == leaked_fast(text, [item])
+
+
+def test_awkward_rows_pass_all_stages(spark, tmp_path):
+    long = "Die Katze sitzt auf dem Dach und schaut in den Garten " * 3000
+    rows = [(1, "The cat sat on the mat and looked at the dog", "en", "a", 10), (1, "The cat sat on the mat and looked at the dog", "en", "a", 10),
+            (2, None, None, None, None), (3, "", "en", "a", 0), (4, long, "de", "b", len(long)), (5, "  \n ", "de", "b", 4),
+            (None, "Die Katze sitzt auf dem Dach und der Hund im Garten", "de", None, 1), (6, "Die Maus und der Hund im Garten mail a@b.cd", "de", "b", 2),
+            (7, "The dog and the mouse in the yard at night", "en", None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    df.write.parquet(str(tmp_path / "t" / "documents.parquet"))
+    spark.createDataFrame([(None, None), (1, "no such passage in any of the documents of this table here")], "item_id long, text string") \
+        .write.parquet(str(tmp_path / "t" / "benchmark.parquet"))
+    got = corpus_pipeline.run(spark, str(tmp_path / "t")).collect()
+    assert {r["doc_id"] for r in got} <= {1, 4, 6, 7, None} and len([r for r in got if r["doc_id"] == 1]) <= 1
+    df.limit(0).write.parquet(str(tmp_path / "e" / "documents.parquet"))
+    spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "e" / "benchmark.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path / "e")).count() == 0
