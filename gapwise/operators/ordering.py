@@ -1,11 +1,16 @@
 """Ordering, exact ordered cuts (head-by-time, time-ordered hold-out), column order, unions.
 
-The ordered cut never ranks the whole table. It narrows the boundary with
-time histograms (hour, then second — each a small aggregate whose result is a
-bounded summary of at most span/3600 or 3600 rows), and only the
-rows of the single boundary second go through a distributed sort to find the
-exact cut key. Every row is then labelled by comparing its (time, id) key
-with the cut key: a projection, no join and no global window over rows.
+The ordered cut never ranks the table. Time histograms (hour, second,
+millisecond, microsecond) narrow the boundary; each is a small aggregate of at
+most span / 3600, 3600, 1000 and 1000 rows, over a scan pruned to the bucket
+above. Rows of the boundary microsecond, if several, are told apart by the
+tie-break columns in turn (:func:`selection.kth_values`). Every row is then
+labelled by comparing its key with the cut key: a projection, no join and no
+window over rows.
+
+Rows with a null time come first; null tie-break values come before others.
+The full key (time and tie-break columns) must tell rows apart where the cut
+falls; ValueError otherwise. Remove repeated rows first.
 """
 
 from __future__ import annotations
@@ -18,10 +23,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gapwise.functions.scalars import epoch_micros, floor_div
+from gapwise.operators.selection import kth_values
 
 _EPOCH = datetime(1970, 1, 1)
 HOUR_US = 3_600_000_000
-SECOND_US = 1_000_000
+WIDTHS = (HOUR_US, 1_000_000, 1000, 1)
 ALL = ("all",)
 
 
@@ -34,65 +40,101 @@ def _ntz(us: int) -> Column:
     return F.lit((_EPOCH + timedelta(microseconds=int(us))).isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-def _histogram(df: DataFrame, t: Column, width: int) -> list[tuple[int, int]]:
-    """(bucket, rows) for ``width``-µs time buckets, ascending.
+def _histogram(df: DataFrame, t: Column, width: int) -> list[tuple[int | None, int]]:
+    """(bucket, rows) for ``width``-µs time buckets, ascending, a null time's bucket (None) first.
 
-    A bounded summary: at most span / width rows (8,760 hours per year; 3,600
-    seconds inside one hour), never the rows themselves.
+    A bounded summary: at most span / width rows of the frame given, never its rows.
     """
-    hist = df.groupBy(floor_div(t, width).alias("b")).agg(F.count(F.lit(1)).alias("n"))
-    return sorted((int(r["b"]), int(r["n"])) for r in hist.collect())
+    hist = df.groupBy(floor_div(t, width).alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()
+    return sorted(((r["b"], int(r["n"])) for r in hist), key=lambda x: (x[0] is not None, x[0] or 0))
 
 
-def _locate(hist: list[tuple[int, int]], k: int, before: int) -> tuple[int, int] | None:
-    """Bucket holding the k-th row and the number of rows before it (None if fewer than k rows)."""
-    cum = before
+def _locate(hist: list[tuple[int | None, int]], k: int, before: int) -> tuple[int | None, int, int] | None:
+    """(bucket, rows before it, rows in it) of the k-th row; None if there are fewer than k rows."""
     for b, n in hist:
-        if cum + n >= k:
-            return b, cum
-        cum += n
+        if before + n >= k:
+            return b, before, n
+        before += n
     return None
 
 
-def cut_key(df: DataFrame, k: int, time_col: str = "click_time", tiebreak: str = "click_id",
-            hour_hist: list[tuple[int, int]] | None = None):
-    """(time_us, id) of the k-th row (1-based) in (time, tiebreak) order.
+def _tiebreak(df: DataFrame, time_col: str, tiebreak: str | list[str] | None) -> list[str]:
+    """The tie-break columns: those given, else ``click_id`` if there is one, else all other columns."""
+    if tiebreak is None:
+        return ["click_id"] if "click_id" in df.columns else [c for c in df.columns if c != time_col]
+    return [tiebreak] if isinstance(tiebreak, str) else list(tiebreak)
 
-    None if k <= 0 (no row is in the head); ``ALL`` if the table has at most k rows.
+
+def cut_key(df: DataFrame, k: int, time_col: str = "click_time", tiebreak: str | list[str] | None = None,
+            hour_hist: list[tuple[int | None, int]] | None = None):
+    """Key of the k-th row (1-based): (epoch µs or None, [(column, value), ...]).
+
+    Only the tie-break columns that were needed are listed. None if k <= 0 (no
+    row is in the head); ``ALL`` if the table has at most k rows.
     """
     if k <= 0:
         return None
-    t = epoch_micros(time_col)
-    found = _locate(hour_hist if hour_hist is not None else _histogram(df, t, HOUR_US), k, 0)
-    if found is None:
-        return ALL
-    hour, before = found
-    in_hour = df.filter((F.col(time_col) >= _ntz(hour * HOUR_US)) & (F.col(time_col) < _ntz((hour + 1) * HOUR_US)))
-    sec, before = _locate(_histogram(in_hour, t, SECOND_US), k, before)
-    in_sec = df.filter((F.col(time_col) >= _ntz(sec * SECOND_US)) & (F.col(time_col) < _ntz((sec + 1) * SECOND_US)))
-    # Rows of one second only; a range-partitioned sort, then skip to the cut row.
-    row = (in_sec.select(t.alias("t"), F.col(tiebreak).alias("id")).orderBy("t", "id")
-                 .offset(k - before - 1).limit(1).first())
-    return int(row["t"]), row["id"]
-
-
-def in_first_k(df: DataFrame, k: int, time_col: str = "click_time", tiebreak: str = "click_id",
-               out: str = "in_head", hour_hist: list[tuple[int, int]] | None = None) -> DataFrame:
-    """Add a boolean column: is the row among the first ``k`` rows in (time, tiebreak) order."""
+    t, col = epoch_micros(time_col), F.col(time_col)
+    part, before, us = df, 0, None
+    for width in WIDTHS:
+        hist = hour_hist if width == HOUR_US and hour_hist is not None else _histogram(part, t, width)
+        found = _locate(hist, k, before)
+        if found is None:
+            return ALL
+        bucket, before, n = found
+        if bucket is None:
+            part, us = df.where(col.isNull()), None
+            break
+        us = bucket * width
+        part = df.where((col >= _ntz(us)) & (col < _ntz(us + width)))
+    ties = []
+    for c in _tiebreak(df, time_col, tiebreak):
+        if before + n == k:                 # all rows of this key belong to the head
+            break
+        value, less, n = kth_values(part, c, [k - before])[0]
+        before += less
+        part = part.where(F.col(c).eqNullSafe(F.lit(value)))
+        ties.append((c, value))
+    if before + n != k:
+        raise ValueError(f"rows equal in {time_col} and {[c for c, _ in ties]} straddle the cut; give a key that tells them apart")
+    return us, ties
+
+
+def _head_flag(key, time_col: str) -> Column:
+    """Whether a row's key is at or below the cut key."""
+    us, ties = key
+    flag = F.lit(True)
+    for c, value in reversed(ties):
+        col = F.col(c)
+        less = F.lit(False) if value is None else col.isNull() | (col < F.lit(value))
+        flag = less | (col.eqNullSafe(F.lit(value)) & flag)
+    t = F.col(time_col)
+    if us is None:
+        return t.isNull() & flag
+    return t.isNull() | (t < _ntz(us)) | ((t == _ntz(us)) & flag)
+
+
+def in_first_k(df: DataFrame, k: int, time_col: str = "click_time", tiebreak: str | list[str] | None = None,
+               out: str = "in_head", hour_hist: list[tuple[int | None, int]] | None = None) -> DataFrame:
+    """Add a boolean column: is the row among the first ``k`` rows in (time, tie-break) order."""
     key = cut_key(df, k, time_col, tiebreak, hour_hist)
     if key is None:
         return df.withColumn(out, F.lit(False))
     if key is ALL:
         return df.withColumn(out, F.lit(True))
-    t_cut, id_cut = key
-    t = epoch_micros(time_col)
-    flag = (t < F.lit(t_cut)) | ((t == F.lit(t_cut)) & (F.col(tiebreak) <= F.lit(id_cut)))
-    return df.withColumn(out, flag)
+    return df.withColumn(out, F.coalesce(_head_flag(key, time_col), F.lit(False)))
 
 
-def head_by_time(df: DataFrame, n: int, time_col: str = "click_time", tiebreak: str = "click_id") -> DataFrame:
-    """The earliest ``n`` rows by (time, tiebreak) — a deterministic "first n rows"."""
-    return in_first_k(df, n, time_col, tiebreak, out="_in_head").filter("_in_head").drop("_in_head")
+def head_by_time(df: DataFrame, n: int, time_col: str = "click_time",
+                 tiebreak: str | list[str] | None = None) -> DataFrame:
+    """The earliest ``n`` rows by (time, tie-break) — a deterministic "first n rows"; the time bound reaches the scan."""
+    key = cut_key(df, n, time_col, tiebreak)
+    if key is None:
+        return df.limit(0)
+    if key is ALL:
+        return df
+    t = F.col(time_col)
+    return df.where((t.isNull() | (t <= _ntz(key[0]))) if key[0] is not None else t.isNull()).where(_head_flag(key, time_col))
 
 
 def holdout_size(n: int, test_size: float) -> int:
@@ -100,20 +142,31 @@ def holdout_size(n: int, test_size: float) -> int:
     return int(math.ceil(test_size * n))
 
 
-def temporal_split(df: DataFrame, test_size: float = 0.10, time_col: str = "click_time",
-                   tiebreak: str = "click_id", out: str = "is_test") -> DataFrame:
-    """Label the last ceil(test_size·n) rows by (time, tiebreak) as test; no shuffling of rows."""
+def _train_key(df: DataFrame, test_size: float, time_col: str, tiebreak: str | list[str] | None):
     hour_hist = _histogram(df, epoch_micros(time_col), HOUR_US)  # also gives the row count
     n = sum(c for _, c in hour_hist)
-    k = n - holdout_size(n, test_size)
-    return (in_first_k(df, k, time_col, tiebreak, out="_train", hour_hist=hour_hist)
-            .withColumn(out, ~F.col("_train")).drop("_train"))
+    return cut_key(df, n - holdout_size(n, test_size), time_col, tiebreak, hour_hist)
+
+
+def temporal_split(df: DataFrame, test_size: float = 0.10, time_col: str = "click_time",
+                   tiebreak: str | list[str] | None = None, out: str = "is_test") -> DataFrame:
+    """Label the last ceil(test_size·n) rows by (time, tie-break) as test; no shuffling of rows."""
+    key = _train_key(df, test_size, time_col, tiebreak)
+    if key is None or key is ALL:
+        return df.withColumn(out, F.lit(key is None))
+    return df.withColumn(out, ~F.coalesce(_head_flag(key, time_col), F.lit(False)))
 
 
 def train_test(df: DataFrame, test_size: float = 0.10, time_col: str = "click_time",
-               tiebreak: str = "click_id") -> tuple[DataFrame, DataFrame]:
-    s = temporal_split(df, test_size, time_col, tiebreak)
-    return s.filter(~F.col("is_test")).drop("is_test"), s.filter(F.col("is_test")).drop("is_test")
+               tiebreak: str | list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """The two sides of :func:`temporal_split`; each side's time bound reaches its scan."""
+    key = _train_key(df, test_size, time_col, tiebreak)
+    if key is None or key is ALL:
+        return (df.limit(0), df) if key is None else (df, df.limit(0))
+    t, flag = F.col(time_col), F.coalesce(_head_flag(key, time_col), F.lit(False))
+    if key[0] is None:
+        return df.where(t.isNull() & flag), df.where(~flag)
+    return df.where((t.isNull() | (t <= _ntz(key[0]))) & flag), df.where((t >= _ntz(key[0])) & ~flag)
 
 
 def move_last(df: DataFrame, last: list[str]) -> DataFrame:
@@ -121,10 +174,6 @@ def move_last(df: DataFrame, last: list[str]) -> DataFrame:
     return df.select(*[c for c in df.columns if c not in last], *last)
 
 
-def move_first(df: DataFrame, first: list[str]) -> DataFrame:
-    return df.select(*first, *[c for c in df.columns if c not in first])
-
-
 def union_tagged(frames: dict[str, DataFrame], tag: str = "tag") -> DataFrame:
     """Vertical concat by column name (duplicates kept), each part tagged with its name."""
     parts = [f.withColumn(tag, F.lit(name)) for name, f in frames.items()]

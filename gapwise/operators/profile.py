@@ -8,11 +8,14 @@ costs one partial row per task, not a hot partition.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gapwise.functions.scalars import epoch_micros, safe_div
+from gapwise.functions.scalars import epoch_micros, floor_div, safe_div
+from gapwise.operators.selection import kth_values
 
 
 def row_count(df: DataFrame, out: str = "n_rows") -> DataFrame:
@@ -64,7 +67,8 @@ def value_proportions(df: DataFrame, col: str, sort: bool = True) -> DataFrame:
 
 
 def _as_text(df: DataFrame, c: str) -> Column:
-    return F.col(c).cast("string")
+    """The value as text; timestamps as epoch microseconds."""
+    return (epoch_micros(c) if _kind(df, c) == "time" else F.col(c)).cast("string")
 
 
 def profile_columns(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
@@ -87,7 +91,6 @@ DESCRIBE_STATS = ["count", "null_count", "mean", "std", "min", "25%", "50%", "75
 DESCRIBE_QUANTILES = {"25%": 0.25, "50%": 0.5, "75%": 0.75}
 
 _DIGIT_BITS = 16
-_LOW63 = 0x7FFFFFFFFFFFFFFF
 
 
 def _kind(df: DataFrame, c: str) -> str:
@@ -96,177 +99,141 @@ def _kind(df: DataFrame, c: str) -> str:
         return "float"
     if isinstance(t, (T.TimestampNTZType, T.TimestampType)):
         return "time"
-    return "int"
+    if isinstance(t, (T.IntegralType, T.BooleanType)):
+        return "int"
+    return "text"
 
 
 def _numeric(df: DataFrame, c: str) -> Column:
-    """The value describe works on: booleans as 0/1, timestamps as epoch µs."""
+    """The value describe works on: booleans as 0/1, timestamps as epoch µs, text as it is."""
     k = _kind(df, c)
     if k == "time":
         return epoch_micros(c)
-    if k == "float":
-        return F.col(c).cast("double")
-    return F.col(c).cast("long")
-
-
-def _ordered_key(df: DataFrame, c: str) -> Column:
-    """A bigint with the same order as the column's values (doubles via their IEEE bits)."""
-    if _kind(df, c) != "float":
-        return _numeric(df, c)
-    bits = F.reflect(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), F.col(c).cast("double")).cast("long")
-    return F.when(bits < 0, bits.bitwiseXOR(F.lit(_LOW63))).otherwise(bits)
-
-
-def _decode(kind: str, key: int) -> float:
-    if kind != "float":
-        return float(key)
-    import struct
-    bits = key if key >= 0 else key ^ _LOW63
-    return struct.unpack(">d", bits.to_bytes(8, "big", signed=True))[0]
+    return F.col(c).cast({"float": "double", "int": "long", "text": "string"}[k])
 
 
 def nearest_rank(n: int, q: float) -> int:
     """0-based index of the q-quantile among n sorted values: round half up of (n-1)·q."""
-    import math
     return int(math.floor((n - 1) * q + 0.5))
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], qs: list[float]) -> dict[tuple[str, float], float | None]:
-    """Exact nearest-rank quantiles of several columns (see :func:`_radix_select`)."""
-    return _radix_select(df, cols, qs)[0]
+    """Exact nearest-rank quantiles of several number, time or boolean columns; null for a column without values."""
+    keys = df.select(*[_numeric(df, c).alias(f"x{i}") for i, c in enumerate(cols)]).persist()
+    try:
+        bounds = keys.agg(*[x for i in range(len(cols)) for x in (F.count(f"x{i}"), F.min(f"x{i}"), F.max(f"x{i}"))]).first()
+        stats = {f"x{i}": tuple(bounds[3 * i: 3 * i + 3]) for i in range(len(cols))}
+        kinds = {f"x{i}": _kind(df, c) for i, c in enumerate(cols)}
+        found = _quantiles(keys, kinds, stats, qs)
+        return {(c, q): found[f"x{i}", q] for i, c in enumerate(cols) for q in qs}
+    finally:
+        keys.unpersist()
+
+
+def _quantiles(keys: DataFrame, kinds: dict[str, str], stats: dict[str, tuple], qs: list[float]):
+    """(column, q) -> value. Whole numbers by digit histograms, doubles by ranges of their distinct values."""
+    out: dict[tuple[str, float], float | None] = {(c, q): None for c in kinds for q in qs}
+    ranks = {c: [nearest_rank(stats[c][0], q) for q in qs] for c in kinds if stats[c][0]}
+    for c, rs in ranks.items():
+        if kinds[c] == "float":
+            found = kth_values(keys.where(F.col(c).isNotNull()), c, [r + 1 for r in rs])
+            out |= {(c, q): float(v[0]) for q, v in zip(qs, found)}
+    whole = {c: rs for c, rs in ranks.items() if kinds[c] != "float"}
+    values = _digit_select(keys, {(c, r): stats[c][1:] for c, rs in whole.items() for r in rs})
+    out |= {(c, q): float(values[c, r]) for c, rs in whole.items() for q, r in zip(qs, rs)}
+    return out
 
 
-def _radix_select(df: DataFrame, cols: list[str], qs: list[float]):
-    """Exact nearest-rank quantiles of several columns, fully distributed (radix select).
+def _digit_select(keys: DataFrame, targets: dict[tuple[str, int], tuple[int, int]]) -> dict[tuple[str, int], int]:
+    """The value at each (column, 0-based rank) of bigint columns; ``targets`` gives the column's least and largest value.
 
-    Each value becomes an order-preserving integer key shifted by the column
-    minimum. Pass k groups the rows still inside the target's bucket by the
-    next 16-bit digit of the key: a hash aggregate whose output has at most
-    65,536 rows per target, so only those small histograms reach the driver.
-    At most four passes pin down a 64-bit key exactly; a column whose values
-    span fewer than 65,536 keys needs one. No window, sort or single task
-    ever holds the column's values.
+    An interval that holds the value starts as the column's bounds. Each pass
+    cuts the intervals into at most 65,536 equal parts, counts the rows in
+    them (one hash aggregate for all columns) and keeps the part with the rank;
+    four passes suffice for 64 bits.
     """
-    # Keys are computed once in a projection (the double -> bits call cannot
-    # sit inside an aggregate); every pass then reads only these columns.
-    kdf = df.select(*[_ordered_key(df, c).alias(f"_k{i}") for i, c in enumerate(cols)])
-    keys = {c: F.col(f"_k{i}") for i, c in enumerate(cols)}
-    first = kdf.agg(*[x for c in cols for x in (F.count(keys[c]), F.min(keys[c]), F.max(keys[c]))]).first()
-    stats = {c: (first[3 * i], first[3 * i + 1], first[3 * i + 2]) for i, c in enumerate(cols)}
-    result: dict[tuple[str, float], float | None] = {}
-    # one target per distinct (column, rank); state: shift, prefix (bucket at that shift), rows before it
-    targets = {}
-    for c in cols:
-        n, lo, hi = stats[c]
-        for q in qs:
-            if not n:
-                result[(c, q)] = None
-                continue
-            targets.setdefault((c, nearest_rank(n, q)), []).append(q)
-    # Keys as unsigned 64-bit patterns: flipping the sign bit turns signed order
-    # into unsigned order, so digits come from unsigned shifts and no
-    # subtraction (hence no overflow) is needed. Bits above the highest bit in
-    # which min and max differ are common to all values and are skipped.
-    mask = (1 << 64) - 1
-    ukeys = {c: keys[c].bitwiseXOR(F.lit(-(1 << 63))) for c in cols}
-    state = {}
-    for (c, r) in targets:
-        n, lo, hi = stats[c]
-        ulo, uhi = (lo + (1 << 63)) & mask, (hi + (1 << 63)) & mask
-        width = (ulo ^ uhi).bit_length()
-        if width == 0:  # a single distinct value
-            for q in targets[(c, r)]:
-                result[(c, q)] = _decode(_kind(df, c), lo)
-            continue
-        state[(c, r)] = {"shift": width, "prefix": ulo >> width, "before": 0}
-    while state:
-        # Targets of one column that sit in the same bucket share one probe.
-        probes: dict[tuple, int] = {}
-        for (c, r), st in state.items():
-            st["next_shift"] = max(0, st["shift"] - _DIGIT_BITS)
-            st["probe"] = probes.setdefault((c, st["shift"], st["prefix"], st["next_shift"]), len(probes))
+    state = {t: [lo, hi, 0] for t, (lo, hi) in targets.items()}
+    while any(lo < hi for lo, hi, _ in state.values()):
+        probes = sorted({(c, lo, hi) for (c, _), (lo, hi, _) in state.items() if lo < hi})
         items = []
-        for (c, shift, prefix, new_shift), pid in probes.items():
-            # (a JVM shift distance is taken mod 64, so a 64-bit shift means "no digit fixed yet")
-            inside = F.lit(True) if shift >= 64 else F.shiftrightunsigned(ukeys[c], shift) == F.lit(prefix)
-            bucket = F.shiftrightunsigned(ukeys[c], new_shift)
-            items.append(F.when(inside, F.struct(F.lit(pid).alias("t"), bucket.alias("b"))))
-        hits = kdf.select(F.explode(F.filter(F.array(*items), lambda x: x.isNotNull())).alias("h"))
-        hist = hits.groupBy("h.t", "h.b").agg(F.count(F.lit(1)).alias("n")).collect()
-        per_probe: dict[int, list[tuple[int, int]]] = {}
-        for row in hist:
-            per_probe.setdefault(int(row["t"]), []).append((int(row["b"]) & mask, int(row["n"])))
-        for pid in per_probe:
-            per_probe[pid].sort()
-        for (c, r) in list(state):
-            st = state[(c, r)]
-            cum = st["before"]
-            for b, cnt in per_probe.get(st["probe"], []):
-                if cum + cnt > r:
-                    st["prefix"], st["before"] = b, cum
+        for k, (c, lo, hi) in enumerate(probes):
+            width = -(-(hi - lo + 1) // (1 << _DIGIT_BITS))
+            x = F.col(c).cast("decimal(20,0)")            # a difference of two bigints may need more than 64 bits
+            part = F.floor((x - F.lit(lo).cast("decimal(20,0)")) / F.lit(width).cast("decimal(20,0)")).cast("long") \
+                if hi - lo >= 1 << 62 else floor_div(F.col(c) - F.lit(lo), width)
+            items.append(F.when(F.col(c).between(lo, hi), F.struct(F.lit(k).alias("k"), part.alias("part"))))
+        hits = keys.select(F.explode(F.filter(F.array(*items), lambda x: x.isNotNull())).alias("h"))
+        counts: dict[int, list[tuple[int, int]]] = {}
+        for r in hits.groupBy("h.k", "h.part").agg(F.count(F.lit(1)).alias("n")).collect():
+            counts.setdefault(r["k"], []).append((r["part"], r["n"]))
+        for (c, rank), own in state.items():
+            lo, hi, before = own
+            if lo == hi:
+                continue
+            width = -(-(hi - lo + 1) // (1 << _DIGIT_BITS))
+            for part, n in sorted(counts[probes.index((c, lo, hi))]):
+                if before + n > rank:
+                    own[:] = [lo + part * width, min(hi, lo + (part + 1) * width - 1), before]
                     break
-                cum += cnt
-            st["shift"] = st["next_shift"]
-            if st["shift"] == 0:
-                signed = st["prefix"] - (1 << 63)
-                value = _decode(_kind(df, c), signed)
-                for q in targets[(c, r)]:
-                    result[(c, q)] = value
-                del state[(c, r)]
-    return result, stats
+                before += n
+    return {t: lo for t, (lo, _, _) in state.items()}
 
 
 def describe(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Long statistics table: one row per statistic, one double column per input column.
+    """Long statistics table: one row per statistic, one column per input column.
 
-    count, null_count, mean, std (sample), min, 25/50/75 % and max. Booleans
-    count as 0/1, timestamps as epoch microseconds. Quantiles are exact
-    nearest-rank (index round((n-1)·q) of the sorted non-null values).
+    count, null_count, mean, std (sample), min, 25/50/75 % and max, as doubles.
+    Booleans count as 0/1, timestamps as epoch microseconds. Quantiles are exact
+    nearest-rank (index round((n-1)·q) of the sorted non-null values). Text,
+    dates and other types have count, null_count, min and max, as text.
 
-    How: quantiles come from :func:`exact_quantiles` (distributed radix
-    select); the moments from one aggregate over the table. Integer columns
-    use exact decimal sums, the variance from values shifted by the column
-    minimum (small squares); if even that overflows, the try_* arithmetic
-    yields null and the double formula is used.
+    The columns are read once and kept while the few aggregates run. The mean
+    and deviation of whole numbers come from exact decimal sums of the distances
+    from the minimum; where 38 digits do not hold their squares, and for
+    doubles, from Spark's running (overflow-safe) deviation.
     """
     cols = cols or df.columns
-    kinds = {c: _kind(df, c) for c in cols}
-    qs = list(DESCRIBE_QUANTILES.values())
-    quant, stats = _radix_select(df, cols, qs)
-    aggs = []
-    for i, c in enumerate(cols):
-        x = _numeric(df, c)
-        aggs += [F.count(x).alias(f"_n{i}"), F.count_if(x.isNull()).alias(f"_z{i}"),
-                 F.min(x).alias(f"_lo{i}"), F.max(x).alias(f"_hi{i}")]
-        if kinds[c] == "float":
-            aggs += [F.sum(x).alias(f"_s{i}"), F.sum(x * x).alias(f"_q{i}")]
-        else:
-            lo = stats[c][1] or 0  # the column minimum (integer kinds: the key is the value)
-            d = (x.cast("decimal(38,0)") - F.lit(lo).cast("decimal(38,0)"))
-            aggs += [F.sum(x.cast("decimal(38,0)")).alias(f"_s{i}"), F.sum(d).alias(f"_d{i}"),
-                     F.sum(F.try_multiply(d, d)).alias(f"_dd{i}")]
-    wide = df.agg(*aggs)
-    per_stat: dict[str, list[Column]] = {s: [] for s in DESCRIBE_STATS}
-    for i, c in enumerate(cols):
-        n = F.col(f"_n{i}")
-        per_stat["count"].append(n.cast("double"))
-        per_stat["null_count"].append(F.col(f"_z{i}").cast("double"))
-        per_stat["min"].append(F.col(f"_lo{i}").cast("double"))
-        per_stat["max"].append(F.col(f"_hi{i}").cast("double"))
-        if kinds[c] == "float":
-            s1, s2 = F.col(f"_s{i}"), F.col(f"_q{i}")
-            mean = F.try_divide(s1, n.cast("double"))
-            std = F.sqrt(F.try_divide(s2 - s1 * s1 / n, (n - 1).cast("double")))
-        else:
-            nd = n.cast("decimal(38,0)")
-            mean = F.try_divide(F.col(f"_s{i}").cast("double"), n.cast("double"))
-            num = F.try_subtract(F.try_multiply(nd, F.col(f"_dd{i}")), F.try_multiply(F.col(f"_d{i}"), F.col(f"_d{i}")))
-            std = F.sqrt(F.try_divide(num.cast("double"), (n * (n - 1)).cast("double")))
-        per_stat["mean"].append(mean)
-        per_stat["std"].append(std)
-        for name, q in DESCRIBE_QUANTILES.items():
-            per_stat[name].append(F.lit(quant[(c, q)]).cast("double"))
-    rows = F.array(*[F.struct(F.lit(k).alias("_i"), F.lit(s).alias("statistic"),
-                              *[v.cast("double").alias(c) for v, c in zip(per_stat[s], cols)])
-                     for k, s in enumerate(DESCRIBE_STATS)])
-    return wide.select(F.explode(rows).alias("_r")).select("_r.*").orderBy("_i").drop("_i")
+    kinds = {f"x{i}": _kind(df, c) for i, c in enumerate(cols)}
+    keys = df.select(*[_numeric(df, c).alias(f"x{i}") for i, c in enumerate(cols)]).persist()
+    try:
+        first = keys.agg(F.count(F.lit(1)), *[x for c in kinds for x in (F.count(c), F.min(c), F.max(c))]).first()
+        rows = first[0]
+        stats = {c: tuple(first[3 * i + 1: 3 * i + 4]) for i, c in enumerate(kinds)}
+        aggs = []
+        for c, kind in kinds.items():
+            if kind == "text":
+                continue
+            if kind == "float":
+                aggs += [F.avg(c).alias(f"mean_{c}"), F.stddev_samp(c).alias(f"std_{c}")]
+                continue
+            big = F.col(c).cast("decimal(38,0)")
+            d = big - F.lit(stats[c][1] or 0).cast("decimal(38,0)")
+            n = F.count(c)
+            dec = n.cast("decimal(38,0)")
+            spread = F.try_subtract(F.try_multiply(dec, F.try_sum(F.try_multiply(d, d))), F.try_multiply(F.sum(d), F.sum(d)))
+            exact = F.sqrt(F.try_divide(spread.cast("double"), (n * (n - 1)).cast("double")))
+            aggs += [F.try_divide(F.sum(big).cast("double"), n.cast("double")).alias(f"mean_{c}"),
+                     F.coalesce(exact, F.stddev_samp(d.cast("double"))).alias(f"std_{c}")]
+        moments = keys.agg(*aggs).first().asDict() if aggs else {}
+        numbers = {c: k for c, k in kinds.items() if k != "text"}
+        quant = _quantiles(keys, numbers, {c: stats[c] for c in numbers}, list(DESCRIBE_QUANTILES.values()))
+    finally:
+        keys.unpersist()
+    table = []
+    for stat in DESCRIBE_STATS:
+        row: list = [stat]
+        for c, kind in kinds.items():
+            n, lo, hi = stats[c]
+            value = {"count": n, "null_count": rows - n, "min": lo, "max": hi}.get(stat)
+            if kind == "text":
+                row.append(None if value is None else str(value))
+                continue
+            if stat in ("mean", "std"):
+                value = moments[f"{stat}_{c}"]
+            elif stat in DESCRIBE_QUANTILES:
+                value = quant[c, DESCRIBE_QUANTILES[stat]]
+            row.append(None if value is None else float(value))
+        table.append(tuple(row))
+    schema = T.StructType([T.StructField("statistic", T.StringType())] + [
+        T.StructField(name, T.StringType() if kinds[f"x{i}"] == "text" else T.DoubleType()) for i, name in enumerate(cols)])
+    return df.sparkSession.createDataFrame(table, schema).coalesce(1)

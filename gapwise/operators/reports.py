@@ -54,19 +54,6 @@ def label_report(df: DataFrame, min_total: int, key: str = "ip", label: str = "i
              .select(label_string(key, "total").alias(key), "true", "false", "total", "true_rel"))
 
 
-def per_key_sessions(features: DataFrame, key: str = "ip") -> DataFrame:
-    """(key, total_sessions, n_clicks, first/last click) from a per-click session-feature table.
-
-    Prefer :func:`gapwise.operators.sessions.key_summary`, which gets the same
-    per-key figures from the chunk table without touching per-click rows.
-    """
-    return features.groupBy(key).agg(
-        F.max("total_sessions").alias("total_sessions"),
-        F.count(F.lit(1)).alias("n_clicks"),
-        F.min("click_time").alias("min_date"),
-        F.max("click_time").alias("max_date"))
-
-
 def total_sessions_per_key(summary: DataFrame, key: str = "ip") -> DataFrame:
     """(key, total_sessions) per key, ordered by key (one row per key in the summary)."""
     return summary.select(key, "total_sessions").orderBy(key)

@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gapwise.functions.scalars import epoch_millis, floor_div, safe_div
+from gapwise.runtime import materialize
 
 DEFAULT_GAP = 15 * 60  # seconds; a gap of exactly this long starts a new session
 
@@ -172,16 +173,25 @@ def key_summary(df: DataFrame, gap: int = DEFAULT_GAP, key: str = "ip", time_col
 
 
 def gap_to_previous(df: DataFrame, key: str = "ip", ts: str = "click_timestamp",
-                    order: tuple[str, ...] = ("click_time", "click_id"), out: str = "gap_seconds") -> DataFrame:
+                    order: tuple[str, ...] | None = None, out: str = "gap_seconds") -> DataFrame:
     """Seconds since the previous click of the same key (0 for the key's first click).
 
-    Clicks sharing a second all have gap 0 except the earliest one by
-    ``order``, which carries the gap to the previous occupied second. The
-    previous second is found in two levels so no window holds more than one
-    block of one key: inside ``(key, hour block)`` by ``lag`` (≤ 3,600 rows),
-    and for a block's first second from the previous block's last second,
-    a window over the per-block table (≤ span / 3,600 rows per key).
+    Of the clicks of a key that share a second exactly one, the earliest by
+    ``order``, carries the gap to the previous occupied second; the others have
+    0. ``order`` defaults to (click_time, click_id); without a ``click_id``, to
+    all columns and then a row number, given once and written with the rows, so
+    that equal rows are told apart too. The previous second is found in two
+    levels so no window holds more than one block of one key: inside ``(key,
+    hour block)`` by ``lag`` (≤ 3,600 rows), and for a block's first second from
+    the previous block's last second, a window over the per-block table
+    (≤ span / 3,600 rows per key).
     """
+    cols = df.columns
+    if order is None:
+        order = ("click_time", "click_id")
+        if "click_id" not in cols:
+            order = (*cols, "_row")
+            df, _ = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "gap-rows")
     first = F.struct(*[F.col(c) for c in order])
     block = floor_div(F.col(ts), GAP_BLOCK_SECONDS)
     secs = df.groupBy(F.col(key), F.col(ts)).agg(F.min(first).alias("_first_key")).withColumn("_b", block)
@@ -195,25 +205,13 @@ def gap_to_previous(df: DataFrame, key: str = "ip", ts: str = "click_timestamp",
                         F.coalesce(F.col(ts) - F.coalesce("_prev", "_prev_block_last"),
                                    F.lit(0).cast("long")).alias("_gap")))
     joined = df.join(secs, F.col(key).eqNullSafe(F.col("_k")) & F.col(ts).eqNullSafe(F.col("_t")), "inner")
-    return joined.select(*[F.col(c) for c in df.columns],
-                         F.when(first == F.col("_first_key"), F.col("_gap")).otherwise(F.lit(0).cast("long")).alias(out))
+    return joined.select(*[F.col(c) for c in cols],
+                         F.when(first.eqNullSafe(F.col("_first_key")), F.col("_gap")).otherwise(F.lit(0).cast("long")).alias(out))
 
 
-def avg_previous_sessions_by_join(df: DataFrame, key: str = "ip", session: str = "previous_sessions",
-                                  duration: str = "current_session_duration",
-                                  out: str = "avg_previous_sessions_duration") -> DataFrame:
-    """Literal session-table formulation of the last feature.
-
-    Group clicks by (key, session) taking the max duration, keep a running
-    sum over the key's sessions minus the current one, divide by the session
-    index (0/0 -> -1.0), then left-join back on (key, session). The grouped
-    table is one row per session; the hash aggregate pre-reduces before its
-    shuffle.
-    """
-    grouped = df.groupBy(key, session).agg(F.max(duration).alias("_dur"))
-    w = Window.partitionBy(key).orderBy(session).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    grouped = (grouped.withColumn("_cum_with_current", F.sum("_dur").over(w))
-                      .withColumn("_cum_prev", F.col("_cum_with_current") - F.col("_dur"))
-                      .select(key, session, F.coalesce(safe_div("_cum_prev", session), F.lit(-1.0)).alias(out)))
-    return df.drop(out).join(grouped, [key, session], "left")
-
+def join_session_means(clicks: DataFrame, table: DataFrame, key: str = "ip", session: str = "previous_sessions",
+                       out: str = "avg_previous_sessions_duration") -> DataFrame:
+    """Clicks with the mean length of their key's earlier sessions, looked up in :func:`session_table`."""
+    means = table.select(F.col(key).alias("_k"), F.col(session).alias("_s"), out)
+    return (clicks.drop(out).join(means, F.col(key).eqNullSafe(F.col("_k")) & (F.col(session) == F.col("_s")), "left")
+            .drop("_k", "_s"))

@@ -134,6 +134,27 @@ def _describe_sql(base: str, cols: list[str]) -> str:
     return f"WITH base AS ({base})\n" + "\nUNION ALL\n".join(selects)
 
 
+def _describe_all_sql() -> str:
+    """describe over whole numbers (exact arithmetic), a text column and a double column."""
+    whole = ["click_id", "ip", "channel", "click_time", "attributed_time", "is_attributed"]
+    base = (f"SELECT click_id, ip, app, channel, epoch_us(click_time) AS click_time, epoch_us(attributed_time) AS attributed_time, "
+            f"CAST(is_attributed AS BIGINT) AS is_attributed, e.value FROM ({CLICKS_SQL}) JOIN (SELECT event_id, value FROM events) e "
+            f"ON e.event_id = click_id")
+    numbers = _describe_sql(base, whole)
+    text = {"count": "CAST(count(app) AS VARCHAR)", "null_count": "CAST(count(*) - count(app) AS VARCHAR)", "min": "min(app)",
+            "max": "max(app)"}
+    double = {"count": "CAST(count(value) AS DOUBLE)", "null_count": "CAST(count(*) - count(value) AS DOUBLE)", "mean": "avg(value)",
+              "std": "stddev_samp(value)", "min": "min(value)", "max": "max(value)"}
+    more = []
+    for stat in profile.DESCRIBE_STATS:
+        q = profile.DESCRIBE_QUANTILES.get(stat)
+        x = double.get(stat) or ("list_sort(list(value) FILTER (WHERE value IS NOT NULL))"
+                                 f"[CAST(round((count(value) - 1) * {q}) AS BIGINT) + 1]")
+        more.append(f"SELECT '{stat}' AS statistic, {text.get(stat, 'CAST(NULL AS VARCHAR)')} AS app, round({x}, 6) AS value FROM base")
+    return (f"WITH base AS ({base}), m AS ({' UNION ALL '.join(more)}), w AS (SELECT * FROM ({numbers})) "
+            "SELECT w.*, m.app, m.value FROM w JOIN m USING (statistic)")
+
+
 def _split_sql(test_size: float = TEST_SIZE) -> str:
     return f"""WITH c AS ({CLICKS_SQL}),
 r AS (SELECT *, row_number() OVER (ORDER BY click_time, click_id) AS rn, count(*) OVER () AS n FROM c)
@@ -191,6 +212,12 @@ def q_gap_seconds(spark, sf):
     return sessions.gap_to_previous(c).select("click_id", "ip", "click_timestamp", "gap_seconds")
 
 
+def q_gap_multiset(spark, sf):
+    """Gaps on a clock of whole hours without click ids: many clicks of a key tie, many rows are equal."""
+    c = clicks(spark, sf).select("ip", "app", F.date_trunc("HOUR", "click_time").cast("timestamp_ntz").alias("click_time"))
+    return sessions.gap_to_previous(sessions.add_click_timestamp(c)).select("ip", "click_timestamp", "gap_seconds")
+
+
 def q_previous_sessions(spark, sf):
     return features(spark, sf, GAP_15_MIN).select("click_id", "ip", "click_timestamp", "previous_sessions")
 
@@ -235,9 +262,8 @@ def q_session_cumulative(spark, sf):
 
 
 def q_session_avg_join(spark, sf):
-    f = features(spark, sf, GAP_6_H).select("click_id", "ip", "previous_sessions", "current_session_duration")
-    return sessions.avg_previous_sessions_by_join(f).select("click_id", "ip", "previous_sessions",
-                                                            "avg_previous_sessions_duration")
+    f = features(spark, sf, GAP_6_H).select("click_id", "ip", "previous_sessions")
+    return sessions.join_session_means(f, sessions.session_table(clicks(spark, sf), gap=GAP_6_H))
 
 
 def q_split_is_future(spark, sf):
@@ -276,6 +302,14 @@ def q_describe_table(spark, sf):
 DESCRIBE_COLS = ["click_id", "ip", "channel", "click_time", "attributed_time", "is_attributed"]
 
 
+def q_describe_all(spark, sf):
+    """Every click column and the events' double ``value``; mean and deviation of ``value`` to six digits."""
+    ev = io.read_table(spark, sf, "events")
+    both = clicks(spark, sf).join(ev.select(F.col("event_id").alias("click_id"), "value"), "click_id")
+    return profile.describe(both, ["click_id", "ip", "app", "channel", "click_time", "attributed_time", "is_attributed", "value"]) \
+        .withColumn("value", F.round("value", 6))
+
+
 def q_value_counts(spark, sf):
     return profile.value_counts(clicks(spark, sf), "channel")
 
@@ -289,7 +323,7 @@ def q_clicks_per_second(spark, sf):
 
 
 def q_profile_columns(spark, sf):
-    return profile.profile_columns(clicks(spark, sf), ["ip", "app", "channel", "is_attributed"])
+    return profile.profile_columns(clicks(spark, sf))
 
 
 def q_label_counts_nested(spark, sf):
@@ -345,6 +379,42 @@ def q_temporal_split(spark, sf):
     return ordering.temporal_split(clicks(spark, sf), TEST_SIZE).select("click_id", "click_time", "is_test")
 
 
+def q_temporal_split_train(spark, sf):
+    """The hold-out cut on a frame without a click id: the other columns break ties."""
+    return ordering.temporal_split(clicks(spark, sf).drop("click_id"), TEST_SIZE)
+
+
+def q_merged_contract_scan(spark, sf):
+    """A scan conformed to the union of two contracts, one of which widens a type of the other."""
+    first = T.StructType([T.StructField("l_orderkey", T.LongType()), T.StructField("l_linenumber", T.IntegerType())])
+    second = T.StructType([T.StructField("l_linenumber", T.LongType()), T.StructField("l_shipdate", T.TimestampNTZType())])
+    return io.typed_scan(spark, f"{sf.rstrip('/')}/lineitem.parquet", contracts.merge(first, second))
+
+
+def q_csv_class_weights(spark, sf):
+    """A small result table through the CSV sink and back."""
+    path = io.write_csv(metrics.class_weights(io.read_table(spark, sf, "labels"), "quality"), scratch_dir(spark, "weights"),
+                        single_file=True)
+    return spark.read.schema("quality int, count long, weight double").option("header", True).csv(path)
+
+
+def q_pipeline_features(spark, sf):
+    """Encoder fitted on the train side, session features of the test side alone, assembled and taken apart again."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
+    from gapwise.plans.featurizer import SessionFeaturizer
+
+    train, test = ordering.train_test(clicks(spark, sf), TEST_SIZE)
+    names = ["ip", *sessions.FEATURES, "channel_code"]
+    model = Pipeline(stages=[
+        encoders.RareOrdinalEncoder(inputCols=["channel"], outputCols=["channel_code"], minFrequency=ENCODER_MIN_FREQUENCY),
+        SessionFeaturizer(gap=GAP_6_H), VectorAssembler(inputCols=names, outputCol="features")]).fit(train)
+    parts = vector_to_array("features")
+    return model.transform(test).select("click_id", *[parts[i].alias(n) for i, n in enumerate(names)])
+
+
 def q_union_tagged(spark, sf):
     return ordering.union_tagged({t: profile.row_count(io.read_table(spark, sf, t)) for t in TABLES}, tag="table")
 
@@ -359,6 +429,13 @@ def q_auc_exact(spark, sf):
     return metrics.auc_exact(ev.select((F.col("event_type") == "purchase").alias("y"), "value"), "y", "value")
 
 
+def q_auc_null_scores(spark, sf):
+    """Scores of one event type are null: those rows count on neither side."""
+    ev = io.read_table(spark, sf, "events")
+    score = F.when(F.col("event_type") != "click", F.col("value"))
+    return metrics.auc_exact(ev.select((F.col("event_type") == "purchase").alias("y"), score.alias("s")), "y", "s")
+
+
 def q_class_weights(spark, sf):
     return metrics.class_weights(io.read_table(spark, sf, "labels"), "quality")
 
@@ -393,10 +470,12 @@ ORACLE: dict[str, str] = {
     "parquet_roundtrip": f"SELECT DISTINCT ip, app, CAST(click_time AS DATE) AS click_date FROM ({CLICKS_SQL})",
     "contract_violations": f"""WITH c AS ({CLICKS_SQL}), n AS (SELECT count(*) AS n FROM c),
         v AS (SELECT 'ip' AS "column", 'not_null' AS rule, (SELECT count_if(ip IS NULL) FROM c) AS n_violations
+        UNION ALL SELECT 'ip', 'bounds', (SELECT count_if(ip NOT BETWEEN 0 AND 4294967295) FROM c)
         UNION ALL SELECT 'app', 'narrowing_type', (SELECT n FROM n)
         UNION ALL SELECT 'device', 'missing', (SELECT n FROM n)
         UNION ALL SELECT 'os', 'missing', (SELECT n FROM n)
         UNION ALL SELECT 'channel', 'not_null', (SELECT count_if(channel IS NULL) FROM c)
+        UNION ALL SELECT 'channel', 'bounds', (SELECT count_if(channel NOT BETWEEN 0 AND 65535) FROM c)
         UNION ALL SELECT 'click_time', 'not_null', (SELECT count_if(click_time IS NULL) FROM c)
         UNION ALL SELECT 'is_attributed', 'not_null', (SELECT count_if(is_attributed IS NULL) FROM c)
         UNION ALL SELECT '*', 'label_matches_attributed_time',
@@ -457,6 +536,9 @@ ORACLE: dict[str, str] = {
     + " SELECT click_timestamp, count(*) AS count FROM f GROUP BY click_timestamp",
     "profile_columns": f"""WITH c AS ({CLICKS_SQL}), n AS (SELECT count(*) AS n FROM c),
         l AS (SELECT 'ip' AS "column", CAST(ip AS VARCHAR) AS value FROM c
+              UNION ALL SELECT 'click_id', CAST(click_id AS VARCHAR) FROM c
+              UNION ALL SELECT 'click_time', CAST(epoch_us(click_time) AS VARCHAR) FROM c
+              UNION ALL SELECT 'attributed_time', CAST(epoch_us(attributed_time) AS VARCHAR) FROM c
               UNION ALL SELECT 'app', app FROM c
               UNION ALL SELECT 'channel', CAST(channel AS VARCHAR) FROM c
               UNION ALL SELECT 'is_attributed', CAST(is_attributed AS VARCHAR) FROM c)
@@ -507,7 +589,14 @@ ORACLE: dict[str, str] = {
           (SELECT n_unique_rows FROM u) AS n_unique_rows, count(*) - (SELECT n_unique_rows FROM u) AS n_duplicates
         FROM c""",
     "auc_exact": """WITH s AS (SELECT CAST(value AS DOUBLE) AS s, count_if(event_type = 'purchase') AS pos,
-            count_if(event_type <> 'purchase') AS neg FROM events GROUP BY 1),
+            count_if(event_type <> 'purchase') AS neg FROM events WHERE value IS NOT NULL GROUP BY 1),
+        r AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb
+              FROM s)
+        SELECT CAST(sum(CAST(pos AS HUGEINT) * (2 * nb + neg)) AS DOUBLE)
+                 / (2.0 * CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)) AS auc,
+               CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg FROM r""",
+    "auc_null_scores": """WITH s AS (SELECT CAST(value AS DOUBLE) AS s, count_if(event_type = 'purchase') AS pos,
+            count_if(event_type <> 'purchase') AS neg FROM events WHERE event_type <> 'click' AND value IS NOT NULL GROUP BY 1),
         r AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb
               FROM s)
         SELECT CAST(sum(CAST(pos AS HUGEINT) * (2 * nb + neg)) AS DOUBLE)
@@ -526,6 +615,36 @@ ORACLE: dict[str, str] = {
         FROM test t LEFT JOIN ca ON t.app = ca.value LEFT JOIN cc ON t.channel = cc.value""",
 }
 
+ORACLE |= {
+    "gap_multiset": f"""WITH c AS (SELECT ip, date_trunc('hour', click_time) AS click_time FROM ({CLICKS_SQL})),
+        t AS (SELECT ip, (epoch_us(click_time) - (SELECT min(epoch_us(click_time)) FROM c)) // 1000000 AS click_timestamp FROM c)
+        SELECT ip, CAST(click_timestamp AS BIGINT) AS click_timestamp,
+          CAST(coalesce(click_timestamp - lag(click_timestamp) OVER (PARTITION BY ip ORDER BY click_timestamp), 0) AS BIGINT)
+            AS gap_seconds FROM t""",
+    "temporal_split_train": f"""WITH c AS ({CLICKS_SQL}),
+        r AS (SELECT * EXCLUDE (click_id), row_number() OVER (ORDER BY click_time, ip, app, channel,
+                attributed_time NULLS FIRST, is_attributed) AS rn, count(*) OVER () AS n FROM c)
+        SELECT * EXCLUDE (rn, n), rn > n - CAST(ceil({TEST_SIZE} * n) AS BIGINT) AS is_test FROM r""",
+    "merged_contract_scan": "SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_shipdate FROM lineitem",
+    "csv_class_weights": ORACLE["class_weights"],
+    "pipeline_features": _train_cte() + f""", cc AS ({_codes_sql('channel', ENCODER_MIN_FREQUENCY)}),
+        o AS (SELECT min(epoch_us(click_time) // 1000) AS ms FROM test),
+        t AS (SELECT test.*, (epoch_us(click_time) // 1000 - o.ms) // 1000 AS ts FROM test, o),
+        g AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY ip ORDER BY click_time, click_id) >= {GAP_6_H}
+              THEN 1 ELSE 0 END AS brk FROM t),
+        s AS (SELECT *, sum(brk) OVER (PARTITION BY ip ORDER BY click_time, click_id ROWS UNBOUNDED PRECEDING) AS ps FROM g),
+        ss AS (SELECT ip, ps, min(ts) AS st, max(ts) AS en FROM s GROUP BY ip, ps),
+        sc AS (SELECT *, sum(en - st) OVER (PARTITION BY ip ORDER BY ps ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS cum,
+               count(*) OVER (PARTITION BY ip) AS total FROM ss)
+        SELECT click_id, CAST(s.ip AS DOUBLE) AS ip, CAST(ts AS DOUBLE) AS click_timestamp, CAST(ps AS DOUBLE) AS previous_sessions,
+          CAST(total AS DOUBLE) AS total_sessions, CAST(ts - st AS DOUBLE) AS current_session_duration_till_now,
+          CAST(en - st AS DOUBLE) AS current_session_duration,
+          CASE WHEN ps = 0 THEN CAST(-1 AS DOUBLE) ELSE CAST(cum AS DOUBLE) / CAST(ps AS DOUBLE) END
+            AS avg_previous_sessions_duration, CAST(coalesce(cc.code, -1) AS DOUBLE) AS channel_code
+        FROM s JOIN sc USING (ip, ps) LEFT JOIN cc ON s.channel = cc.value""",
+    "describe_all": _describe_all_sql(),
+}
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

@@ -11,31 +11,35 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _f(name: str, dtype: T.DataType, nullable: bool = False) -> T.StructField:
-    return T.StructField(name, dtype, nullable)
+UINT16, UINT32 = 2 ** 16 - 1, 2 ** 32 - 1
+
+
+def _f(name: str, dtype: T.DataType, nullable: bool = False, most: int | None = None) -> T.StructField:
+    """A field; ``most`` bounds an unsigned number, which Spark holds in a wider signed type."""
+    return T.StructField(name, dtype, nullable, {} if most is None else {"min": 0, "max": most})
 
 
 # Fixed column names and types of the click log (unsigned 32 -> bigint,
 # unsigned 16 -> int, naive µs datetime -> timestamp_ntz).
 BASE = T.StructType([
-    _f("ip", T.LongType()),
-    _f("app", T.LongType()),
-    _f("device", T.IntegerType()),
-    _f("os", T.IntegerType()),
-    _f("channel", T.IntegerType()),
+    _f("ip", T.LongType(), most=UINT32),
+    _f("app", T.LongType(), most=UINT32),
+    _f("device", T.IntegerType(), most=UINT16),
+    _f("os", T.IntegerType(), most=UINT16),
+    _f("channel", T.IntegerType(), most=UINT16),
     _f("click_time", T.TimestampNTZType()),
 ])
 TRAIN_EXTRA = T.StructType([
     _f("attributed_time", T.TimestampNTZType(), nullable=True),
     _f("is_attributed", T.BooleanType()),
 ])
-TEST_EXTRA = T.StructType([_f("click_id", T.LongType())])
+TEST_EXTRA = T.StructType([_f("click_id", T.LongType(), most=UINT32)])
 EXTENDED = T.StructType([
-    _f("click_timestamp", T.LongType()),
-    _f("previous_sessions", T.LongType()),
-    _f("total_sessions", T.LongType()),
-    _f("current_session_duration_till_now", T.LongType()),
-    _f("current_session_duration", T.LongType()),
+    _f("click_timestamp", T.LongType(), most=UINT32),
+    _f("previous_sessions", T.LongType(), most=UINT32),
+    _f("total_sessions", T.LongType(), most=UINT32),
+    _f("current_session_duration_till_now", T.LongType(), most=UINT32),
+    _f("current_session_duration", T.LongType(), most=UINT32),
     _f("avg_previous_sessions_duration", T.DoubleType()),
 ])
 
@@ -120,7 +124,8 @@ def violations(df: DataFrame, contract: T.StructType, rules: dict[str, Column] |
     """One row per check: (column, rule, n_violations, ok).
 
     Schema checks (missing / narrowing type) count every row as violating.
-    Null checks cover the non-nullable contract columns. ``rules`` adds
+    Null checks cover the non-nullable contract columns, bound checks the
+    unsigned ones (nulls are no bound violations). ``rules`` adds
     row predicates that must hold (counted where the predicate is false).
     All counts come from one aggregate; the result is unpivoted with ``stack``.
     """
@@ -130,11 +135,28 @@ def violations(df: DataFrame, contract: T.StructType, rules: dict[str, Column] |
     for f in contract.fields:
         if f.name in schema_problems:
             checks.append((f.name, schema_problems[f.name], total))
-        elif not f.nullable:
+            continue
+        if not f.nullable:
             checks.append((f.name, "not_null", F.count_if(F.col(f.name).isNull())))
+        if "max" in f.metadata:
+            outside = ~F.col(f.name).between(f.metadata["min"], f.metadata["max"])
+            checks.append((f.name, "bounds", F.count_if(F.coalesce(outside, F.lit(False)))))
     for name, pred in (rules or {}).items():
         checks.append(("*", name, F.count_if(~F.coalesce(pred, F.lit(False)))))
     agg = df.agg(*[c.cast("long").alias(f"_v{i}") for i, (_, _, c) in enumerate(checks)])
     args = ", ".join(f"'{col}', '{rule}', _v{i}" for i, (col, rule, _) in enumerate(checks))
     return (agg.selectExpr(f"stack({len(checks)}, {args}) AS (`column`, rule, n_violations)")
             .withColumn("ok", F.col("n_violations") == 0))
+
+
+def validate(df: DataFrame, contract: T.StructType, rules: dict[str, Column] | None = None) -> DataFrame:
+    """``df`` itself if it satisfies the contract; raises ContractError naming the broken checks otherwise."""
+    broken = [(r["column"], r["rule"], r["n_violations"]) for r in violations(df, contract, rules).where("not ok").collect()]
+    if broken:
+        raise ContractError(f"contract violated (column, rule, rows): {broken}")
+    return df
+
+
+def checked(df: DataFrame, transform, before: T.StructType, after: T.StructType) -> DataFrame:
+    """``transform(df)``, with a contract on what goes in and one on what comes out."""
+    return validate(transform(validate(df, before)), after)

@@ -1,5 +1,5 @@
 """Structured Streaming form of the sessionization."""
 
-from gapwise.streaming.sessions import run_to_memory, stream_session_table
+from gapwise.streaming.sessions import run_to_files, stream_session_table
 
-__all__ = ["run_to_memory", "stream_session_table"]
+__all__ = ["run_to_files", "stream_session_table"]

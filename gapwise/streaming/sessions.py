@@ -2,8 +2,9 @@
 
 This is the streaming counterpart of ``operators.sessions.session_table``.
 State is one open session per key (bounded), late clicks older than the
-watermark are dropped, and in ``append`` mode a session is emitted once,
-after the watermark passes its end plus the gap.
+watermark are dropped, and a session is emitted once, to files, after the
+watermark passes its end plus the gap. Sessions are merged inside each input
+task before the shuffle, so a hot key sends its sessions, not its clicks.
 
 Differences from the batch features (by design): the stream measures gaps
 on the raw clock, not on whole seconds counted from the frame's first click,
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gapwise.functions.scalars import epoch_micros
+from gapwise.runtime import scratch_dir
 from gapwise.sources.adapters import clicks_from_events
 
 
@@ -45,33 +47,44 @@ def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
                  .option("maxFilesPerTrigger", 1).parquet(sf_dir))
 
 
-def run_to_memory(sdf: DataFrame, name: str, mode: str = "complete", checkpoint: str | None = None) -> DataFrame:
-    """Drive a streaming query over finite input to completion; return the sink as a batch DataFrame.
+MERGE_FIRST = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
 
-    For finite input only (tests, the registered query): ``complete`` mode
-    emits every session, including those the watermark has not closed yet.
-    A long-running job uses ``append`` so that closed sessions leave the state.
+
+def run_to_files(sdf: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """Drive an append-mode query over the input available now into Parquet files; return them as a batch DataFrame.
+
+    Each session is written once, when the watermark has passed its end; open
+    ones stay in the state for the next run on the same checkpoint.
     """
-    w = sdf.writeStream.format("memory").queryName(name).outputMode(mode)
-    if checkpoint:
-        w = w.option("checkpointLocation", checkpoint)
-    q = w.trigger(availableNow=True).start()
+    spark = sdf.sparkSession
+    before = spark.conf.get(MERGE_FIRST, "false")
+    spark.conf.set(MERGE_FIRST, "true")
     try:
+        q = (sdf.writeStream.format("parquet").outputMode("append").option("path", path)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
         q.awaitTermination()
     finally:
-        q.stop()
-    return sdf.sparkSession.table(name)
+        spark.conf.set(MERGE_FIRST, before)
+    return spark.read.schema(sdf.schema).parquet(path)
 
 
-def q_stream_sessions(spark: SparkSession, sf: str) -> DataFrame:
-    """Registered (rows-only): 6-hour sessions of ``events`` computed by Structured Streaming."""
-    import uuid
+GAP, WATERMARK = 21_600, "1 hour"
 
-    from gapwise.runtime import scratch_dir
 
+def q_stream_sessions(spark: SparkSession, sf: str) -> DataFrame:
+    """6-hour sessions of ``events`` that the watermark has closed."""
     clicks = clicks_from_events(events_stream(spark, sf))
-    name = f"stream_sessions_{uuid.uuid4().hex[:8]}"
-    return run_to_memory(stream_session_table(clicks, 21_600), name, checkpoint=scratch_dir(spark, "stream"))
+    out = run_to_files(stream_session_table(clicks, GAP, WATERMARK), scratch_dir(spark, "stream"), scratch_dir(spark, "stream-state"))
+    return out.select("ip", "first_click", "last_click", "n_clicks", "n_attributed")
 
 
 QUERIES = {"stream_sessions": q_stream_sessions}
+
+ORACLE = {"stream_sessions": f"""
+WITH c AS (SELECT user_id AS ip, ts, event_type = 'purchase' AS y FROM events),
+g AS (SELECT *, CASE WHEN epoch_us(ts) - epoch_us(lag(ts) OVER w) > {GAP * 10**6} THEN 1 ELSE 0 END AS brk
+      FROM c WINDOW w AS (PARTITION BY ip ORDER BY ts)),
+s AS (SELECT *, sum(brk) OVER (PARTITION BY ip ORDER BY ts ROWS UNBOUNDED PRECEDING) AS n FROM g)
+SELECT ip, min(ts) AS first_click, max(ts) AS last_click, count(*) AS n_clicks, count_if(y) AS n_attributed
+FROM s GROUP BY ip, n
+HAVING epoch_us(max(ts)) + {GAP * 10**6} <= (SELECT max(epoch_us(ts)) FROM c) - 3600000000"""}

@@ -48,12 +48,16 @@ def test_auc_matches_evaluator_without_binning(spark):
     assert ours == pytest.approx(theirs, abs=1e-12)
 
 
-def test_auc_many_buckets_exact(spark):
+def test_auc_does_not_depend_on_the_number_of_ranges(spark):
     ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
     df = ev.select((F.col("event_type") == "click").alias("y"), "value")
-    a = metrics.auc_exact(df, "y", "value", n_buckets=3).first()["auc"]
-    b = metrics.auc_exact(df, "y", "value", n_buckets=500).first()["auc"]
-    assert a == b
+    odd = spark.createDataFrame([(y, s) for y in (True, False, None) for s in (None, float("nan"), float("inf"), float("-inf"), 0.0, -0.0, 1.5)],
+                                "y boolean, value double")
+    for frame in (df, odd, odd.where("value is null"), odd.where("y")):
+        rows = {tuple(metrics.auc_exact(frame, "y", "value", ranges=n).first()) for n in (1, 3, 500)}
+        assert len(rows) == 1
+    auc, n_pos, n_neg = metrics.auc_exact(odd, "y", "value").first()
+    assert (n_pos, n_neg, auc) == (6, 6, 0.5)      # null scores and labels count on neither side
 
 
 def test_ordered_split(spark):
@@ -66,6 +70,56 @@ def test_ordered_split(spark):
     assert out.filter("not is_test").count() == 9
 
 
+def _clicks_of_one_second(spark, n=3000):
+    import random
+
+    r = random.Random(5)
+    rows = [(r.randrange(40), datetime(2024, 1, 1, 0, 0, 3, r.choice([0, 7, 7, 7, 999_999])), r.choice(["a", "b", None]), i) for i in range(n)]
+    rows += [(1, None, "x", -1), (2, None, None, -2)]
+    return rows, spark.createDataFrame(rows, "ip int, click_time timestamp_ntz, app string, channel long").repartition(5)
+
+
+def _first(rows, k):
+    key = lambda r: tuple((v is not None, v if v is not None else 0) for v in (r[1], r[0], r[2], r[3]))
+    return sorted(map(repr, sorted(rows, key=key)[:k]))
+
+
+def test_cut_inside_one_second_without_an_id(spark):
+    rows, df = _clicks_of_one_second(spark)
+    for k in (1, 2, 3, 700, 1501, 2999, 3002):
+        assert sorted(repr(tuple(r)) for r in ordering.head_by_time(df, k).collect()) == _first(rows, k)
+    out = ordering.temporal_split(df, 0.25)
+    assert sorted(repr(tuple(r)[:4]) for r in out.where("not is_test").collect()) == _first(rows, 3002 - 751)
+    train, test = ordering.train_test(df, 0.25)
+    assert train.count() == 3002 - 751 and test.count() == 751
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" not in plan and "Window" not in plan and "Sort" not in plan
+
+
+def test_equal_rows_at_the_cut_are_refused(spark):
+    df = spark.createDataFrame([(1, datetime(2024, 1, 1))] * 4, "ip long, click_time timestamp_ntz")
+    with pytest.raises(ValueError, match="straddle"):
+        ordering.head_by_time(df, 2)
+    assert ordering.head_by_time(df, 4).count() == 4
+
+
+def test_train_contract_frame_splits_and_has_gaps(spark):
+    from gapwise.operators import sessions
+
+    rows = [(i % 3, 1, 2, 3, 4, datetime(2024, 1, 1, 0, i), None, i % 5 == 0) for i in range(20)]
+    df = contracts.conform(spark.createDataFrame(rows, contracts.TRAIN), contracts.TRAIN)
+    assert ordering.temporal_split(df).where("is_test").count() == 2
+    gaps = sessions.gap_to_previous(sessions.add_click_timestamp(df))
+    assert sorted(r["gap_seconds"] for r in gaps.collect()) == [0] * 3 + [180] * 17
+
+
+def test_time_bound_of_a_cut_reaches_the_scan(spark):
+    from gapwise.plans.catalog import clicks
+
+    plan = ordering.head_by_time(clicks(spark, "/root/testdata/sf0.01"), 50)._jdf.queryExecution().executedPlan().toString()
+    assert "LessThan" in plan.split("PushedFilters")[1].split("ReadSchema")[0]
+
+
 def test_head_by_time_bounds(spark):
     df = spark.createDataFrame([(i, datetime(2024, 1, 1, i % 3)) for i in range(10)], "click_id long, click_time timestamp_ntz")
     assert ordering.head_by_time(df, 0).count() == 0
@@ -110,6 +164,28 @@ def test_contract(spark):
     assert [f.name for f in contracts.merge(contracts.BASE, contracts.TEST_EXTRA).fields][-1] == "click_id"
 
 
+def test_contract_bounds_and_fail_fast(spark):
+    good = spark.createDataFrame([(1, 2, 3, 4, 5, datetime(2024, 1, 1))], contracts.BASE)
+    assert contracts.validate(good, contracts.BASE) is good
+    bad = spark.createDataFrame([(-1, 2, 70_000, 4, None, datetime(2024, 1, 1))],
+                                "ip long, app long, device int, os int, channel int, click_time timestamp_ntz")
+    with pytest.raises(contracts.ContractError) as e:
+        contracts.validate(bad, contracts.BASE)
+    assert all(x in str(e.value) for x in ("('ip', 'bounds', 1)", "('device', 'bounds', 1)", "('channel', 'not_null', 1)"))
+    from gapwise.operators.sessions import session_features
+
+    out = contracts.checked(good, session_features, contracts.BASE, contracts.EXTENDED)
+    assert out.count() == 1
+    with pytest.raises(contracts.ContractError):
+        contracts.checked(bad, session_features, contracts.BASE, contracts.EXTENDED)
+
+
+def test_null_category_is_unknown_and_moves_no_code(spark):
+    train = spark.createDataFrame([(v,) for v in [None, None, 2, 2, 10, 10]], "c long")
+    model = encoders.RareOrdinalEncoder(inputCols=["c"], outputCols=["code"]).fit(train)
+    assert {r["c"]: r["code"] for r in model.transform(train).collect()} == {None: -1, 2: 0, 10: 1}
+
+
 def test_class_weights(spark):
     df = spark.createDataFrame([(0,)] * 8 + [(1,)] * 2, "y int")
     got = {r["y"]: r["weight"] for r in metrics.class_weights(df, "y").collect()}
@@ -124,6 +200,30 @@ def test_describe_nearest_rank(spark):
     assert stats["std"] == pytest.approx(1.2909944487358056)
 
 
+def test_describe_deviation_is_stable(spark):
+    df = spark.createDataFrame([(1e9 + 1, -2 ** 63), (1e9 + 2, 2 ** 63 - 1), (1e9 + 3, 0)], "x double, y long")
+    stats = {r["statistic"]: r for r in profile.describe(df).collect()}
+    assert stats["std"]["x"] == pytest.approx(1.0) and stats["std"]["y"] == pytest.approx(9.223372036854775e18, rel=1e-9)
+    assert stats["50%"]["y"] == 0 and stats["50%"]["x"] == 1e9 + 2
+
+
+def test_describe_of_a_month_of_microseconds(spark):
+    df = spark.range(10_000_000).select(F.timestamp_micros(F.pmod(F.xxhash64("id"), F.lit(30 * 86_400_000_000)) + 1_700_000_000_000_000)
+                                        .cast("timestamp_ntz").alias("t"))
+    std = {r["statistic"]: r["t"] for r in profile.describe(df).collect()}["std"]
+    assert std == pytest.approx(30 * 86_400e6 / 12 ** 0.5, rel=1e-2)
+
+
+def test_describe_of_text_and_dates(spark):
+    from datetime import date
+
+    df = spark.createDataFrame([("b", date(2024, 1, 2), None), ("a", None, None)], "s string, d date, n long")
+    stats = {r["statistic"]: r for r in profile.describe(df).collect()}
+    assert (stats["min"]["s"], stats["max"]["s"], stats["count"]["s"], stats["mean"]["s"]) == ("a", "b", "2", None)
+    assert (stats["null_count"]["d"], stats["max"]["d"]) == ("1", "2024-01-02") and stats["count"]["n"] == 0 and stats["50%"]["n"] is None
+    assert profile.describe(df.limit(0)).count() == 9
+
+
 def test_exact_quantiles_high_cardinality(spark):
     """Radix select on wide-range ints, negative values, doubles and timestamps vs sorted truth."""
     import random
@@ -153,13 +253,3 @@ def test_epoch_micros_ignores_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == [1719837296123456, -1, 1710037800000000]
-
-
-def test_encoder_large_table_path(spark):
-    """Code tables above maxBroadcastRows are checkpointed and joined without a broadcast hint."""
-    train = spark.createDataFrame([(v,) for v in [2, 2, 2, 10, 10, 10, 1, 7]], "c long")
-    model = encoders.RareOrdinalEncoder(inputCols=["c"], outputCols=["code"], minFrequency=0.25,
-                                        maxBroadcastRows=1).fit(train)
-    assert model.broadcast is False
-    test = spark.createDataFrame([(v,) for v in [2, 10, 1, 7, 99]], "c long")
-    assert {r["c"]: r["code"] for r in model.transform(test).collect()} == {2: 0, 10: 1, 1: 2, 7: 2, 99: -1}

@@ -91,7 +91,7 @@ def test_matches_brute_force(spark, gap, seed):
 def test_join_formulation_agrees(spark):
     df = _random_clicks(spark, seed=9)
     f = sessions.session_features(df, gap=7)
-    j = sessions.avg_previous_sessions_by_join(f.drop("avg_previous_sessions_duration"))
+    j = sessions.join_session_means(f.drop("avg_previous_sessions_duration"), sessions.session_table(df, gap=7))
     a = {r["click_id"]: r["avg_previous_sessions_duration"] for r in f.collect()}
     b = {r["click_id"]: r["avg_previous_sessions_duration"] for r in j.collect()}
     assert a == b
@@ -130,13 +130,23 @@ def test_gap_to_previous(spark):
 
 
 def test_no_window_over_raw_clicks(spark):
-    """The row-level plan has no Window operator: windows run on the chunk table only."""
-    df = _fixture_df(spark)
-    plan = sessions.session_features(df, gap=900)._jdf.queryExecution().executedPlan().toString()
-    # every Window sits above the chunk aggregate, never directly above the raw scan
-    assert "Window" in plan
-    rows_side = sessions.add_click_timestamp(df)._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in rows_side
+    """Every Window of the optimized plan has the chunk aggregate below it."""
+    plan = sessions.session_features(_fixture_df(spark), gap=900)._jdf.queryExecution().optimizedPlan()
+
+    def below(node):
+        return [node, *[x for i in range(node.children().size()) for x in below(node.children().apply(i))]]
+
+    windows = [n for n in below(plan) if n.nodeName() == "Window"]
+    assert windows
+    for w in windows:
+        assert any(n.nodeName() == "Aggregate" and "_chunk" in n.toString() for n in below(w))
+
+
+def test_one_of_equal_clicks_carries_the_gap(spark):
+    rows = [(1, D("00:00:00")), (1, D("00:10:00")), (1, D("00:10:00")), (1, D("00:10:00")), (2, D("00:10:00")), (2, D("00:10:00"))]
+    df = sessions.add_click_timestamp(spark.createDataFrame(rows, "ip long, click_time timestamp_ntz").repartition(4))
+    got = sorted((r["ip"], r["click_timestamp"], r["gap_seconds"]) for r in sessions.gap_to_previous(df).collect())
+    assert got == [(1, 0, 0), (1, 600, 0), (1, 600, 0), (1, 600, 600), (2, 600, 0), (2, 600, 0)]
 
 
 def test_null_keys_and_times_are_kept(spark):
