@@ -5,33 +5,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gapwise.runtime import ensure_checkpoint_dir
+from gapwise.runtime import drop_scratch, materialize
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root) for every node with a link; root is the smallest node reachable.
 
     Each round a node takes the smallest label among itself and its neighbours,
-    then the label of its label, so labels travel in doubling steps. Rounds are
-    cut with ``checkpoint()``; only the count of changed labels reaches the
-    driver. Links may repeat and may be given in one direction. No links: no rows.
+    then the label of that label, so labels travel in growing steps. Every round
+    is written to the shared folder, which cuts its lineage; only whether a
+    label changed reaches the driver. Links may repeat and may be given in one
+    direction. No links: no rows.
     """
-    ensure_checkpoint_dir(edges.sparkSession)
-    both = (edges.select(F.col(a).alias("src"), F.col(b).alias("dst"))
-            .union(edges.select(F.col(b).alias("src"), F.col(a).alias("dst")))
-            .where("src <> dst").distinct().checkpoint())
-    labels = (both.groupBy(F.col("src").alias("node"))
-              .agg(F.min("dst").alias("least"))
-              .select("node", F.least("node", "least").alias("root")).checkpoint())
+    spark = edges.sparkSession
+    both, both_at = materialize(
+        edges.select(F.col(a).alias("src"), F.col(b).alias("dst"))
+        .union(edges.select(F.col(b).alias("src"), F.col(a).alias("dst"))).where("src <> dst").distinct(), "edges")
+    labels, at = materialize(
+        both.groupBy(F.col("src").alias("node")).agg(F.min("dst").alias("least"))
+        .select("node", F.least("node", "least").alias("root")), "labels")
     while True:
-        near = (both.join(labels, both.src == labels.node)
-                .groupBy("dst").agg(F.min("root").alias("near")))
-        step = (labels.join(near, labels.node == near.dst, "left")
-                .select("node", F.col("root").alias("old"), F.least("root", "near").alias("root"))).checkpoint()
-        jump = step.select(F.col("node").alias("via"), F.col("root").alias("next"))
-        moved = (step.join(jump, step.root == jump.via, "left")
-                 .select("node", "old", F.least("root", "next").alias("root"))).checkpoint()
-        changed = moved.where("root <> old").limit(1).count()
-        labels = moved.select("node", "root")
-        if not changed:
+        near = both.join(labels, both.src == labels.node).groupBy("dst").agg(F.min("root").alias("near"))
+        step = labels.join(near, labels.node == near.dst, "left").select(
+            "node", F.col("root").alias("old"), F.least("root", "near").alias("low"))
+        via = labels.select(F.col("node").alias("via"), F.col("root").alias("next"))
+        moved = step.join(via, step.low == via.via, "left").select("node", "old", F.least("low", "next").alias("root"))
+        moved, new = materialize(moved, "labels")
+        drop_scratch(spark, at)
+        labels, at = moved.select("node", "root"), new
+        if not moved.where("root <> old").limit(1).count():
+            drop_scratch(spark, both_at)
             return labels

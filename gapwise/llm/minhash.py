@@ -4,20 +4,19 @@ One pass hashes each document's shingles once: the 64-bit range is cut into
 bins and each bin keeps its smallest hash. Empty bins borrow from other bins
 of the same document along a fixed probe sequence per bin (optimal
 densification). Bands of the signature are bucket keys. Documents with equal
-shingle sets are one node from then on. In every bucket one node, the one met
-in most buckets' populations, is the centre of a star; only centre-member
-pairs are verified, on the full shingle sets. Members that stay outside the
-centre's component form new stars until a round links nothing more. Buckets
-that still hold several components are then cut finer, by many keys of more
+shingle sets are one node from then on. In every bucket three nodes are centres
+of stars, the one with most company in its buckets and two drawn by a hash;
+only centre-member pairs are verified, on the full shingle sets. Buckets of many
+texts that still hold several components are then cut finer, by keys of more
 rows each, so that a text whose few links are among thousands of less similar
-texts meets them in small buckets.
+texts meets them in small buckets, which get stars in the same way.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +31,9 @@ SHINGLE_WORDS = 5
 THRESHOLD_PCT = 75
 BANDS = 32
 ROWS = 4
-FINE_KEYS = 256            # for texts in buckets of several components
+FINE_KEYS = 128            # for texts in buckets of several components
 FINE_ROWS = 12
+CROWD = 32                 # and of more members than this
 
 @cache
 def _probe(t: int, bins: int) -> np.ndarray:
@@ -160,43 +160,29 @@ def _rooted(members: DataFrame, roots: DataFrame | None) -> DataFrame:
     return members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def _linked(members: DataFrame, sets: DataFrame, links: DataFrame | None = None,
-            roots: DataFrame | None = None) -> tuple[DataFrame | None, DataFrame | None]:
-    """Links so far and more found in the buckets, and (node, root) of all nodes with one; None without any.
+def _linked(members: DataFrame, sets: DataFrame, roots: DataFrame | None = None) -> DataFrame | None:
+    """(node, root) of all nodes with a link, those of ``roots`` included; None without any.
 
-    In each round every bucket names a centre among its members whose component
-    holds none of the bucket's earlier centres, and the centre is compared with
-    all members of other components. It ends with a round that finds no link.
+    Every bucket has three centres: the member of most weight and two drawn by a
+    hash. Each is compared with all members of other components.
     """
-    spark = members.sparkSession
-    tried, centres, spent = None, None, []
-    while True:
-        pool = fresh = _rooted(members, roots)
-        if centres is not None:
-            past = (centres.join(roots, F.col("centre") == F.col("node"), "left")
-                    .select("key", F.coalesce("root", "centre").alias("root")).distinct())
-            fresh = pool.join(past, ["key", "root"], "left_anti")
-        star = (fresh.groupBy("key").agg(F.max(F.struct("weight", "node", "size", "root")).alias("c"))
-                .select("key", F.col("c.node").alias("centre"), F.col("c.size").alias("centre_size"),
-                        F.col("c.root").alias("centre_root")))
-        star, at = materialize(star, "minhash-stars")
-        spent.append(at)
-        centres = star.select("key", "centre") if centres is None else centres.union(star.select("key", "centre"))
-        pairs = (pool.join(star, "key").where(
-            (F.col("root") != F.col("centre_root"))
-            & (100 * F.least("size", "centre_size") >= THRESHOLD_PCT * F.greatest("size", "centre_size")))
-            .select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct())
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs, at = materialize(pairs, "minhash-pairs")
-        spent.append(at)
-        found, _ = materialize(_verified(pairs, sets), "minhash-links")
-        if not found.limit(1).count():
-            drop_scratch(spark, *spent)
-            return links, roots
-        tried = pairs if tried is None else tried.union(pairs)
-        links = found if links is None else links.union(found)
-        roots = components(links)
+    pool = _rooted(members, roots)
+    picks = [F.max(F.struct(*order, "node", "size", "root")).alias(f"c{k}") for k, order in enumerate(
+        (["weight"], [F.xxhash64("node", "key").alias("h")], [F.xxhash64("key", "node").alias("h")]))]
+    stars = pool.groupBy("key").agg(*picks).select("key", F.array_distinct(F.array(*[
+        F.struct(F.col(f"c{k}.node").alias("node"), F.col(f"c{k}.size").alias("size"), F.col(f"c{k}.root").alias("root"))
+        for k in range(len(picks))])).alias("centres"))
+    fit = F.filter("centres", lambda c: (c["root"] != F.col("root")) & (
+        100 * F.least("size", c["size"]) >= THRESHOLD_PCT * F.greatest("size", c["size"])))
+    pairs = (pool.join(stars, "key").select("node", F.explode(F.transform(fit, lambda c: c["node"])).alias("centre"))
+             .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct())
+    found, at = materialize(_verified(pairs, sets), "minhash-links")
+    if found.limit(1).count():
+        # The components so far are as good as all their links.
+        known = [] if roots is None else [roots.select(F.col("root").alias("a"), F.col("node").alias("b"))]
+        roots = components(reduce(DataFrame.union, known, found))
+    drop_scratch(members.sparkSession, at)
+    return roots
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -222,15 +208,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     wanted = members.select("node").distinct().join(nodes, "node").select("node", F.col("first_doc").alias("doc_id"))
     sets, sets_at = materialize(texts.join(wanted, "doc_id").select("node", "text")
                                 .mapInArrow(_sets, "node long, shingles array<long>"), "minhash-sets")
-    links, roots = _linked(members, sets)
-    mixed = (_rooted(members, roots).groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"))
-             .where("a <> b").select("key"))
-    unsettled = members.join(mixed, "key").select("node").distinct()
-    finer = (sets.join(unsettled, "node").mapInArrow(_fine, "node long, size long, keys array<long>")
-             .select("node", "size", F.explode("keys").alias("key")))
-    members, fine_at = _members(finer, "minhash-fine")
-    _, roots = _linked(members, sets, links, roots)
-    drop_scratch(spark, members_at, fine_at, sets_at)
+    roots = _linked(members, sets)
+    crowds = (_rooted(members, roots).groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("n"))
+              .where(f"a <> b and n > {CROWD}").select("key"))
+    unsettled, unsettled_at = materialize(members.join(crowds, "key").select("node").distinct(), "minhash-unsettled")
+    if unsettled.limit(1).count():
+        finer = (sets.join(unsettled, "node").mapInArrow(_fine, "node long, size long, keys array<long>")
+                 .select("node", "size", F.explode("keys").alias("key")))
+        fine, fine_at = _members(finer, "minhash-fine")
+        roots = _linked(fine, sets, roots)
+        drop_scratch(spark, fine_at)
+    drop_scratch(spark, members_at, unsettled_at, sets_at)
     named = nodes.select("node", F.col("first_doc").alias("component"))
     if roots is not None:
         placed = nodes.select("node", "first_doc").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

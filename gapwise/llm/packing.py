@@ -28,7 +28,7 @@ from gapwise.runtime import materialize
 CAPACITY = 4096
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-_CACHED_WORDS = 400_000    # of one generation
+_CACHED_WORDS = 250_000    # of one generation
 _CACHED_BYTES = 64          # longer words are encoded each time they occur
 _SALT_ROWS = 20_000
 
