@@ -58,8 +58,9 @@ def main():
              "`scan cols` = columns read per parquet scan, `pushed` = filters handed to the parquet reader.", "",
              "Reading it: joins appear as `BroadcastHashJoin` here because AQE measured one side under the broadcast",
              "threshold at this scale; on large inputs the same plans run as sort-merge joins (with AQE skew",
-             "splitting) — the broadcast decision is made on measured sizes, never assumed. Session queries shuffle",
-             "only the 1-row minimum and the pre-aggregated chunk table; per-key reports never join back to clicks.",
+             "splitting) — the broadcast decision is made on measured sizes, never assumed. In session queries",
+             "the 1-row minimum and the pre-aggregated chunk table are always shuffled, raw clicks once with large inputs;",
+             "per-key reports never join back to clicks.",
              "Eager helper jobs (radix passes of `describe`, histograms of the ordered cut, encoder fitting) run",
              "before the final plan and are not counted.", "",
              "| query | shuffles | broadcasts | joins | windows | scan cols | pushed |",
