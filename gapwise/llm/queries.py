@@ -160,4 +160,13 @@ v AS (
 m AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY matched DESC, shift + a) AS k FROM v
   WHERE matched * 13 >= 10 * size)
 SELECT doc_id, item_id, matched::BIGINT AS matched, (shift + a - 1)::BIGINT AS doc_start FROM m WHERE k = 1""",
+    "op6_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+g AS (SELECT page_id, h, sha1(h) AS hx, max(page_id) OVER (PARTITION BY h) AS stored FROM p)
+SELECT page_id, strlen(h)::BIGINT AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    (((('0x' || substr(hx, (k // 4) * 5 + 1, 5))::BIGINT >> (5 * (3 - k % 4))) & 31) + 1)::BIGINT, 1)), '') AS payload_digest,
+  CASE WHEN page_id = stored THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> stored THEN stored END AS refers_to
+FROM g""",
 }
