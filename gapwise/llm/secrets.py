@@ -16,7 +16,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-WORDS = 20_000             # most frequent corpus words used as the dictionary
+from gapwise.runtime import drop_scratch, materialize
+
+LEAST_SHARE = 1 / 200_000  # of all words; at most 200,000 words can have it, they are the dictionary
 MIN_BITS = 32.0            # log2 of the guesses from which a value is a secret
 KINDS = ("assign", "access", "hex", "guess")
 
@@ -113,11 +115,19 @@ def _scan(words: dict[str, float], min_bits: float):
     return run
 
 
-def dictionary(docs: DataFrame, text_col: str = "text", words: int = WORDS) -> dict[str, float]:
-    """log2 rank of the most frequent lower-case words of the corpus (letters only, 3 to 20 of them)."""
-    top = (docs.select(F.explode(F.split(F.lower(text_col), "[^a-z]+")).alias("word")).groupBy("word")
-           .agg(F.count("*").alias("n")).where("length(word) between 3 and 20").orderBy(F.desc("n"), "word").limit(words))
-    return {r["word"]: math.log2(i + 2) for i, r in enumerate(top.collect())}
+def dictionary(docs: DataFrame, text_col: str = "text", least_share: float = LEAST_SHARE) -> dict[str, float]:
+    """log2 rank of the frequent lower-case words of the corpus (runs of letters a-z, 3 to 20 of them).
+
+    A word is frequent if it makes up ``least_share`` of all of them, so the
+    number of words that reach the driver has a bound whatever the corpus.
+    """
+    counts = (docs.select(F.explode(F.split(F.lower(text_col), "[^a-z]+")).alias("word")).where("length(word) between 3 and 20")
+              .groupBy("word").agg(F.count("*").alias("n")))
+    counts, at = materialize(counts, "secret-words")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    top = sorted(((-r["n"], r["word"]) for r in counts.where(F.col("n") >= least_share * total).collect()))
+    drop_scratch(docs.sparkSession, at)
+    return {word: math.log2(i + 2) for i, (_, word) in enumerate(top)}
 
 
 def scan(docs: DataFrame, words: dict[str, float], id_col: str = "doc_id", text_col: str = "text",
