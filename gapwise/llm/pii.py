@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gapwise.llm.words import slices
+
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE = 800               # stretches of text that the weights are fitted on
 SAMPLE_CHARS = 300         # longer stretches are not used for fitting
@@ -252,16 +254,22 @@ def _draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def learn(docs: DataFrame, text_col: str = "text") -> Weights:
-    """Fit the field on at most SAMPLE distinct stretches, drawn by hash, labelled by the base patterns."""
-    drawn = (docs.select(F.col(text_col).alias("text")).where(F.col("text").rlike("[0-9@]"))
-             .mapInArrow(_draw, "text string, start long, end long, spans array<string>"))
-    rows = (drawn.withColumn("h", F.xxhash64("text", "start")).orderBy("h", "text", "start", "end").limit(SAMPLE).collect())
-    seen, sample = set(), []
+    """Fit the field on at most SAMPLE distinct stretches, drawn by hash, labelled by the base patterns.
+
+    Stretches are cut from about 4 * SAMPLE of the texts with a digit or an at
+    sign, drawn by a hash of the text; copies of a text give theirs once.
+    """
+    texts = docs.select(F.col(text_col).alias("text")).where(F.col("text").rlike("[0-9@]"))
+    share = 4 * SAMPLE / max(texts.count(), 1)
+    buckets = 1 << 30
+    drawn = (texts.where(F.pmod(F.xxhash64("text"), F.lit(buckets)) < min(buckets, int(buckets * share) + 1))
+             .dropDuplicates(["text"]).mapInArrow(_draw, "text string, start long, end long, spans array<string>"))
+    rows = (drawn.withColumn("h", F.xxhash64("text", "start")).dropDuplicates(["text", "start"])
+            .orderBy("h", "text", "start", "end").limit(SAMPLE).collect())
+    sample = []
     for r in rows:
-        if (r["text"], r["start"]) not in seen:
-            seen.add((r["text"], r["start"]))
-            spans = [s.split(":") for s in r["spans"]]
-            sample.append((r["text"], r["start"], r["end"], [(k, int(a), int(b)) for k, a, b in spans]))
+        spans = [s.split(":") for s in r["spans"]]
+        sample.append((r["text"], r["start"], r["end"], [(k, int(a), int(b)) for k, a, b in spans]))
     return fit(sample)
 
 
@@ -286,10 +294,11 @@ _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end
 
 def _scan(w: Weights):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [[{"kind": k, "start": a, "end": b, "base": base} for k, a, b, base in find(x.as_py() or "", w)]
-                    for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, _SPANS)], names=["doc_id", "spans"])
+        for whole in batches:
+            for batch in slices(whole, 1):
+                rows = [[{"kind": k, "start": a, "end": b, "base": base} for k, a, b, base in find(x.as_py() or "", w)]
+                        for x in batch.column(1)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, _SPANS)], names=["doc_id", "spans"])
     return run
 
 
@@ -332,13 +341,14 @@ def masked(docs: DataFrame, weights: Weights, text_col: str = "text", length_col
     size_at = docs.columns.index(length_col) if length_col in docs.columns else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            old = batch.column(at).to_pylist()
-            new = [x and mask(x, weights) for x in old]
-            cols = list(batch.columns)
-            cols[at] = pa.array(new, cols[at].type)
-            if size_at is not None:
-                sizes = cols[size_at].to_pylist()
-                cols[size_at] = pa.array([len(b) if a != b else n for a, b, n in zip(old, new, sizes)], cols[size_at].type)
-            yield pa.RecordBatch.from_arrays(cols, schema=batch.schema)
+        for whole in batches:
+            for batch in slices(whole, at):
+                old = batch.column(at).to_pylist()
+                new = [x and mask(x, weights) for x in old]
+                cols = list(batch.columns)
+                cols[at] = pa.array(new, cols[at].type)
+                if size_at is not None:
+                    sizes = cols[size_at].to_pylist()
+                    cols[size_at] = pa.array([len(b) if a != b else n for a, b, n in zip(old, new, sizes)], cols[size_at].type)
+                yield pa.RecordBatch.from_arrays(cols, schema=batch.schema)
     return docs.mapInArrow(run, docs.schema)
