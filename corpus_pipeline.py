@@ -6,16 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gapwise.llm import decontaminate, language, minhash, packing, pii
 from gapwise.llm.folds import remainder
+from gapwise.llm.words import small_batches
 from gapwise.runtime import materialize
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is clear."""
+    small_batches(spark)
     return language.accepted(docs, language.learn(docs.where(remainder(3) != 1)))
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, the one with the smallest id."""
+    small_batches(spark)
     return minhash.deduplicated(docs)
 
 
@@ -26,11 +29,13 @@ def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by its kind."""
+    small_batches(spark)
     return pii.masked(docs, pii.learn(docs))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The place of every piece of the tokenised documents."""
+    small_batches(spark)
     return packing.pack(docs)
 
 

@@ -12,12 +12,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gapwise.llm import joins
 from gapwise.runtime import drop_scratch, materialize
 
 MASKS = ("110100111", "1011001101", "1100101011")     # 1: the word counts, 0: any word
 WINDOW = 13                # aligned words compared around a hit
 MATCHES = 10               # of them that must be equal
-BROADCAST_ROWS = 500_000   # a side is broadcast up to so many rows of two or three longs
 
 
 def words(text: Column) -> Column:
@@ -46,11 +46,6 @@ def _exploded(rows: DataFrame, key: str, text: str, pos: str) -> DataFrame:
     return each.select(key, F.posexplode("seeds").alias(pos, "seed"))
 
 
-def _sized(df: DataFrame) -> DataFrame:
-    """A written table, marked for broadcast if its row count allows it; else Spark joins it by shuffle."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """One row for each document and benchmark item with a shared passage.
@@ -69,12 +64,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).alias("item")).where(
         "item_id is not null")
     known, known_at = materialize(_exploded(items, "item_id", "item", "at").distinct(), "seeds")
-    hits = (_exploded(texts, "doc_id", "text", "pos").join(_sized(known), "seed")
+    hits = (_exploded(texts, "doc_id", "text", "pos").join(joins.sized(known), "seed")
             .select("doc_id", "item_id", (F.col("pos") - F.col("at")).alias("shift")).distinct())
     hits, hits_at = materialize(hits, "seed-hits")
     drop_scratch(spark, known_at)
     wanted, wanted_at = materialize(hits.select("doc_id").distinct(), "seed-docs")
-    held = texts.join(_sized(wanted), "doc_id").select("doc_id", words(F.col("text")).alias("here"))
+    held = texts.join(joins.sized(wanted), "doc_id").select("doc_id", words(F.col("text")).alias("here"))
     pairs = held.join(hits, "doc_id").join(items.select("item_id", words(F.col("item")).alias("there")), "item_id")
     equal = F.transform("there", lambda w, j: F.when(F.get("here", j + F.col("shift")) == w, 1).otherwise(0))
     size = F.least(F.lit(WINDOW), F.size("there"))
@@ -95,4 +90,4 @@ def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     """The rows of ``docs`` without a benchmark passage, all columns; rows with a null id stay."""
     found, _ = materialize(leaks(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias("_leaked")).distinct(),
                            "leaks")
-    return docs.join(_sized(found), F.col(id_col).cast("long") == F.col("_leaked"), "left_anti")
+    return docs.join(joins.sized(found), F.col(id_col).cast("long") == F.col("_leaked"), "left_anti")

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gapwise.llm import joins
 from gapwise.llm.graph import components
 from gapwise.llm.words import U64, mix, shingle_sets, slices, text_buffers, word_hashes
 from gapwise.runtime import drop_scratch, materialize
@@ -232,10 +233,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, with one document of each group of near-duplicates.
 
-    Rows that repeat both id and text count as one document, of which one row
-    stays. Rows with a null id stay or go together.
+    An id with several rows stays if one of them is kept; of its rows that repeat
+    the text, too, one stays. Rows with a null id are one such id.
     """
-    kept = (near_duplicates(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("_kept")).distinct())
-    kept, _ = materialize(kept, "minhash-kept")
-    rows = docs.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("_kept")), "left_semi")
-    return rows.dropDuplicates([id_col, text_col])
+    spark = docs.sparkSession
+    ids = (near_duplicates(docs, id_col, text_col).groupBy(F.col("doc_id").alias("_id"))
+           .agg(F.max("kept").alias("kept"), F.count("*").alias("rows")))
+    ids, at = materialize(ids, "minhash-ids")
+    gone, _ = materialize(ids.where("not kept").select("_id"), "minhash-gone")
+    twice, _ = materialize(ids.where("kept and rows > 1").select("_id"), "minhash-twice")
+    drop_scratch(spark, at)
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("_id"))
+    left = docs.join(joins.sized(gone), same, "left_anti")
+    if not twice.limit(1).count():
+        return left
+    twice = joins.sized(twice)
+    return left.join(twice, same, "left_anti").unionByName(
+        left.join(twice, same, "left_semi").dropDuplicates([id_col, text_col]))

@@ -28,7 +28,7 @@ from gapwise.runtime import materialize
 CAPACITY = 4096
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-_CACHED_WORDS = 250_000    # of one generation
+_CACHED_WORDS = 120_000    # of one generation
 _CACHED_BYTES = 64          # longer words are encoded each time they occur
 _SALT_ROWS = 20_000
 
@@ -106,7 +106,7 @@ def encoder(name: str = TOKENIZER) -> WordEncoder:
 def _pieces(name: str, capacity: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, 1, 2 << 20):
+            for batch in slices(whole, 1, 1 << 20):
                 texts = [x.as_py() or b"" for x in batch.column(1).cast(pa.binary())]
                 rows: list[tuple] = []
                 ids: list[np.ndarray] = []

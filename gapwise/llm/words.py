@@ -12,6 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 U64 = np.uint64
 _BLOCK = 1 << 20          # bytes hashed at once
@@ -54,6 +55,17 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return buf, bounds - bounds[0]
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of 2,000 rows from now on, unless the session already differs from Spark's 10,000.
+
+    A row is a whole text, so that a default batch of long texts would take
+    much of a Python worker's memory.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, "2000")
+
+
 def slices(batch: pa.RecordBatch, text: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Consecutive parts of a batch of about ``most`` bytes of text (one row at least)."""
     _, bounds = text_buffers(batch.column(text))
@@ -62,6 +74,7 @@ def slices(batch: pa.RecordBatch, text: int, most: int = 4 << 20) -> Iterator[pa
         to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + most, side="right")) - 1)
         yield batch.slice(at, to - at)
         at = to
+    pa.default_memory_pool().release_unused()
 
 
 def word_hashes(buf: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

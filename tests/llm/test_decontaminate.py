@@ -3,7 +3,7 @@
 import random
 
 from conftest import SF_SMALL
-from gapwise.llm import decontaminate
+from gapwise.llm import decontaminate, joins
 from gapwise.llm.queries import op7_decontaminate
 
 R = random.Random(11)
@@ -47,7 +47,7 @@ def test_clean_keeps_other_rows(spark):
 def test_same_rows_by_shuffle(spark, monkeypatch):
     docs, items = tables(spark)
     want = sorted(map(tuple, decontaminate.leaks(docs, items).collect()))
-    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", -1)
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", -1)
     assert sorted(map(tuple, decontaminate.leaks(docs, items).collect())) == want
 
 
