@@ -122,7 +122,7 @@ def shingle_sets(words: np.ndarray, first: np.ndarray, k: int = 5) -> Iterator[n
     """
     n = len(words)
     rows = np.zeros(n, U64)
-    for i in range(k):
+    for i in range(min(k, n)):
         rows[: n - i] += words[i:] * _STEP[i % 5] * U64(2 * (i // 5) + 1)
     rows = mix(rows)
     for a, b in zip(first[:-1], first[1:]):
