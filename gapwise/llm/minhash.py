@@ -6,10 +6,11 @@ of the same document along a fixed probe sequence per bin (optimal
 densification). Bands of the signature are bucket keys. Documents with equal
 shingle sets are one node from then on. In every bucket three nodes are centres
 of stars, the one with most company in its buckets and two drawn by a hash;
-only centre-member pairs are verified, on the full shingle sets. Buckets of many
-texts that still hold several components are then cut finer, by keys of more
-rows each, so that a text whose few links are among thousands of less similar
-texts meets them in small buckets, which get stars in the same way.
+only centre-member pairs are verified, on the full shingle sets. Buckets of
+several components get new centres until a round links nothing. Those of many
+texts are then cut finer, by keys of more rows each, and get stars in the same
+way. What still shares a bucket with another component is joined exactly, on
+the rarest shingles of each text.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ SHINGLE_WORDS = 5
 THRESHOLD_PCT = 75
 BANDS = 32
 ROWS = 4
-FINE_KEYS = 128            # for texts in buckets of several components
+FINE_KEYS = 128            # before the exact join, for texts in buckets of several components
 FINE_ROWS = 12
 CROWD = 32                 # and of more members than this
 
@@ -164,28 +165,85 @@ def _rooted(members: DataFrame, roots: DataFrame | None) -> DataFrame:
 def _linked(members: DataFrame, sets: DataFrame, roots: DataFrame | None = None) -> DataFrame | None:
     """(node, root) of all nodes with a link, those of ``roots`` included; None without any.
 
-    Every bucket has three centres: the member of most weight and two drawn by a
-    hash. Each is compared with all members of other components.
+    In each round every bucket of several components has three centres, which are
+    compared with all members of other components: first the member of most
+    weight and two drawn by a hash, later a member of a drawn component and two
+    drawn anew. It ends with a round that finds no link. Of a bucket of two the
+    first round compares the only pair.
     """
-    pool = _rooted(members, roots)
-    picks = [F.max(F.struct(*order, "node", "size", "root")).alias(f"c{k}") for k, order in enumerate(
-        (["weight"], [F.xxhash64("node", "key").alias("h")], [F.xxhash64("key", "node").alias("h")]))]
-    stars = pool.groupBy("key").agg(*picks).select("key", F.array_distinct(F.array(*[
-        F.struct(F.col(f"c{k}.node").alias("node"), F.col(f"c{k}.size").alias("size"), F.col(f"c{k}.root").alias("root"))
-        for k in range(len(picks))])).alias("centres"))
-    fit = F.filter("centres", lambda c: (c["root"] != F.col("root")) & (
-        100 * F.least("size", c["size"]) >= THRESHOLD_PCT * F.greatest("size", c["size"])))
-    pairs = (pool.join(stars, "key").select("node", F.explode(F.transform(fit, lambda c: c["node"])).alias("centre"))
-             .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct())
-    found, at = materialize(_verified(pairs, sets), "minhash-links")
+    spark, turn = members.sparkSession, 0
+    while True:
+        pool = _rooted(members, roots)
+        salt = F.lit(turn)
+        first = ["weight"] if not turn else [F.xxhash64(salt, "root", "key").alias("r"), F.xxhash64(salt, "node", "key").alias("h")]
+        picks = [F.max(F.struct(*order, "node", "size", "root")).alias(f"c{k}") for k, order in enumerate(
+            (first, [F.xxhash64("node", "key", salt).alias("h")], [F.xxhash64("key", "node", salt).alias("h")]))]
+        stars = (pool.groupBy("key").agg(*picks, F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("n"))
+                 .where("least <> most" + (" and n > 2" if turn else "")).select("key", F.array_distinct(F.array(*[
+                     F.struct(F.col(f"c{k}.node").alias("node"), F.col(f"c{k}.size").alias("size"), F.col(f"c{k}.root").alias("root"))
+                     for k in range(len(picks))])).alias("centres")))
+        fit = F.filter("centres", lambda c: (c["root"] != F.col("root")) & (
+            100 * F.least("size", c["size"]) >= THRESHOLD_PCT * F.greatest("size", c["size"])))
+        pairs = (pool.join(stars, "key").select("node", F.explode(F.transform(fit, lambda c: c["node"])).alias("centre"))
+                 .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct())
+        found, at = materialize(_verified(pairs, sets), "minhash-links")
+        more = found.limit(1).count()
+        if more:
+            roots = _joined(roots, found)
+        drop_scratch(spark, at)
+        if not more:
+            return roots
+        turn += 1
+
+
+def _joined(roots: DataFrame | None, found: DataFrame) -> DataFrame:
+    """The components after more links; those so far are as good as all their links."""
+    known = [] if roots is None else [roots.select(F.col("root").alias("a"), F.col("node").alias("b"))]
+    return components(reduce(DataFrame.union, known, found))
+
+
+def _settled(unsettled: DataFrame, sets: DataFrame, roots: DataFrame | None) -> DataFrame | None:
+    """``roots`` with every link between different components of the ``unsettled`` nodes (node).
+
+    Exact, by prefixes: shingles are ordered from rare to frequent. Of two sets
+    that share at least c of n and m shingles, the first shared one is among the
+    first n - c + 1 and m - c + 1. For each shingle only pairs with a node
+    outside its commonest component are formed.
+    """
+    spark = sets.sparkSession
+    each = sets.join(unsettled, "node").select("node", F.size("shingles").cast("long").alias("size"), F.explode("shingles").alias("token"))
+    shared = each.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
+    ranked = (each.join(shared, "token").groupBy("node", "size").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("tokens"))
+              .withColumn("alone", F.col("size") - F.size("tokens")))      # shingles of no other node come first
+    reach = F.floor(F.col("size") * (100 - THRESHOLD_PCT) / 100) + 1 - F.col("alone")
+    prefix = (_rooted(ranked, roots).where(reach > 0)
+              .select("node", "size", "root", "alone", F.posexplode(F.slice("tokens", F.lit(1), reach.cast("int"))).alias("pos", "of"))
+              .select("node", "size", "root", (F.col("alone") + F.col("pos")).alias("pos"), F.col("of.token").alias("token")))
+    prefix, prefix_at = materialize(prefix, "minhash-prefix")
+    mixed = (prefix.groupBy("token", "root").agg(F.count("*").alias("n")).groupBy("token")
+             .agg(F.max(F.struct("n", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1")
+             .select("token", F.col("main.root").alias("main")))
+    open_, open_at = materialize(prefix.join(mixed, "token"), "minhash-open")
+    one = open_.where("root <> main").select("token", *[F.col(c).alias(f"{c}_1") for c in ("node", "size", "root", "pos")])
+    sum_ = F.col("size") + F.col("size_1")
+    need = F.ceil(THRESHOLD_PCT * sum_ / (100 + THRESHOLD_PCT) - 1e-6)     # shingles that a link shares at least
+    pairs = (open_.join(one, "token").where((F.col("root") != F.col("root_1")) & (F.col("pos") + need <= F.col("size"))
+                                            & (F.col("pos_1") + need <= F.col("size_1")))
+             .select(F.least("node", "node_1").alias("a"), F.greatest("node", "node_1").alias("b")).distinct())
+    found, found_at = materialize(_verified(pairs, sets), "minhash-links")
     if found.limit(1).count():
-        # The components so far are as good as all their links.
-        known = [] if roots is None else [roots.select(F.col("root").alias("a"), F.col("node").alias("b"))]
-        roots = components(reduce(DataFrame.union, known, found))
-    drop_scratch(members.sparkSession, at)
+        roots = _joined(roots, found)
+    drop_scratch(spark, prefix_at, open_at, found_at)
     return roots
 
 
+def _mixed(members: DataFrame, roots: DataFrame | None, most: int) -> tuple[DataFrame, str]:
+    """The nodes (node) in buckets of several components and of more than ``most`` members, and the folder that holds them."""
+    keys = (_rooted(members, roots).groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("n"))
+            .where(f"a <> b and n > {most}").select("key"))
+    return materialize(members.join(keys, "key").select("node").distinct(), "minhash-unsettled")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per input row: doc_id, n_shingles, component_id, kept.
 
@@ -210,16 +268,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets, sets_at = materialize(texts.join(wanted, "doc_id").select("node", "text")
                                 .mapInArrow(_sets, "node long, shingles array<long>"), "minhash-sets")
     roots = _linked(members, sets)
-    crowds = (_rooted(members, roots).groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("n"))
-              .where(f"a <> b and n > {CROWD}").select("key"))
-    unsettled, unsettled_at = materialize(members.join(crowds, "key").select("node").distinct(), "minhash-unsettled")
-    if unsettled.limit(1).count():
-        finer = (sets.join(unsettled, "node").mapInArrow(_fine, "node long, size long, keys array<long>")
+    crowds, crowds_at = _mixed(members, roots, CROWD)
+    if crowds.limit(1).count():
+        finer = (sets.join(crowds, "node").mapInArrow(_fine, "node long, size long, keys array<long>")
                  .select("node", "size", F.explode("keys").alias("key")))
         fine, fine_at = _members(finer, "minhash-fine")
         roots = _linked(fine, sets, roots)
         drop_scratch(spark, fine_at)
-    drop_scratch(spark, members_at, unsettled_at, sets_at)
+    unsettled, unsettled_at = _mixed(members, roots, 2)
+    if unsettled.limit(1).count():
+        roots = _settled(unsettled, sets, roots)
+    drop_scratch(spark, members_at, crowds_at, unsettled_at, sets_at)
     named = nodes.select("node", F.col("first_doc").alias("component"))
     if roots is not None:
         placed = nodes.select("node", "first_doc").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

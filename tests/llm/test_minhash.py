@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from gapwise.llm import minhash
 from gapwise.llm.graph import components
@@ -86,3 +87,50 @@ def test_components_of_a_long_path(spark):
     got = {r["node"]: r["root"] for r in components(edges).collect()}
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
     assert components(edges.limit(0)).count() == 0
+
+
+def test_links_between_members_that_are_no_centres(spark, monkeypatch):
+    # Texts of one template in one bucket of 30, pairwise under the threshold; each has one near copy.
+    r = random.Random(5)
+    template = [f"t{i}" for i in range(200)]
+    rows = []
+    for g in range(15):
+        text = list(template)
+        for k in r.sample(range(0, 200, 5), 4):
+            text[k] = f"g{g}x{k}"
+        rows.append((2 * g, " ".join(text)))
+        text[r.choice([2, 52, 102, 152])] = f"copy{g}"
+        rows.append((2 * g + 1, " ".join(text)))
+    want = brute(rows)
+    assert len({c for _, c in want.values()}) > 10
+    signed = minhash.signatures
+    monkeypatch.setattr(minhash, "signatures", lambda *a: signed(*a).withColumn("keys", F.array(F.lit(1).cast("long"))))
+    got = {x["doc_id"]: x["component_id"] for x in minhash.near_duplicates(
+        spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert got == {i: c for i, (_, c) in want.items()}
+
+
+def test_exact_join_of_unsettled_sets(spark):
+    r = random.Random(9)
+    rows = [(k, s) for k, s in enumerate(sorted(r.sample(range(40), r.randrange(8, 24))) for _ in range(300))]
+    for k in range(300, 400):
+        base = rows[r.randrange(300)][1]
+        rows.append((k, sorted(set(base) - {r.choice(base)} | {r.randrange(40)})))
+    rows.append((400, rows[0][1] + [99]))
+    root = {k: k for k, _ in rows}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, x in rows:
+        for b, y in rows:
+            if a < b and 100 * len({*x} & {*y}) >= 75 * len({*x} | {*y}):
+                p, q = find(a), find(b)
+                root[max(p, q)] = min(p, q)
+    sets = spark.createDataFrame(rows, "node long, shingles array<long>").repartition(3)
+    start = spark.createDataFrame([(k, find(k)) for k in range(0, 100)], "node long, root long")
+    for roots in (None, start):
+        got = {x["node"]: x["root"] for x in minhash._settled(sets.select("node"), sets, roots).collect()}
+        assert {k: got.get(k, k) for k in root} == {k: find(k) for k in root}
