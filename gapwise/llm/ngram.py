@@ -1,12 +1,12 @@
 """Language model of words in an Elias-Fano n-gram trie.
 
-Level one holds every training word with its count. Longer n-grams are kept
-for frequent words: at each level a node is its parent's place and its own
-word, so keys ascend over the whole level and compress to a few bits, and a
-context's children are found by a successor search relative to the parent. The
+Level one holds every training word with its count; a word's id is its place
+there. On the levels above a node is its context's place one level below and its
+own word's id, so keys ascend over the whole level and compress to a few bits, and
+a context's children are found by a successor search relative to the context. The
 probabilities are interpolated absolute discounting, quantised to one byte.
-Every level is cut into key ranges; a range is a file that scoring tasks map
-into memory.
+Every level is cut into key ranges; a range is a file that the tasks which count
+the next level, and those that score, map into memory.
 """
 
 from __future__ import annotations
@@ -23,13 +23,12 @@ from gapwise.llm.eliasfano import EliasFano, encode
 from gapwise.llm.words import U64, mix, slices, text_buffers, word_hashes
 from gapwise.runtime import drop_scratch, materialize, scratch_dir
 
-HEAD_BITS = 14             # words that make up at least 2**-14 of all tokens have longer n-grams
+HEAD_BITS = 14             # of a word in codes of a small vocabulary; learn() takes as many as its words need
 DISCOUNT = 0.75
 LEAST = 2                  # occurrences of a kept longer n-gram
 SHARD_WORDS = 2_000_000    # keys in a file, about
 END = int(mix(np.array([0x656E64], U64))[0] >> U64(1))
 _PENDING = 3_000_000       # n-grams that a counting task holds before it sums them up
-_MASK = (1 << HEAD_BITS) - 1
 
 
 def _tokens(batch: pa.RecordBatch, column: int) -> tuple[np.ndarray, np.ndarray]:
@@ -100,18 +99,21 @@ def _counted(texts: DataFrame, of: Callable[[pa.RecordBatch], np.ndarray], name:
 
 
 def _written(rows: DataFrame, shards: int, key: str, columns: list[str], folder: str, name: str,
-             build: Callable[..., list[bytes]]) -> list[tuple[int, int, str]]:
-    """Write each key range as a file; (first key, last key, path) in order."""
+             build: Callable[..., list[bytes]]) -> list[tuple[int, int, int, str]]:
+    """Write each key range as a file; (first key, last key, place of the first key, path) in order."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if b.num_rows]
         if held:
             cols = [np.concatenate([b.column(c).to_numpy() for b in held]) for c in columns]
             path = mapped.write(folder, name, build(*cols))
-            yield pa.RecordBatch.from_arrays([pa.array([cols[0][0]]), pa.array([cols[0][-1]]), pa.array([path])],
-                                             names=["lo", "hi", "path"])
+            yield pa.RecordBatch.from_arrays([pa.array([cols[0][0]]), pa.array([cols[0][-1]]),
+                                              pa.array([len(cols[0])], pa.int64()), pa.array([path])],
+                                             names=["lo", "hi", "rows", "path"])
     files = (rows.select(*columns).repartitionByRange(shards, key).sortWithinPartitions(key)
-             .mapInArrow(run, "lo long, hi long, path string").collect())
-    return sorted((r["lo"], r["hi"], r["path"]) for r in files)
+             .mapInArrow(run, "lo long, hi long, rows long, path string").collect())
+    files = sorted((r["lo"], r["hi"], r["rows"], r["path"]) for r in files)
+    at = np.cumsum([0, *[f[2] for f in files]])
+    return [(lo, hi, int(a), path) for (lo, hi, _, path), a in zip(files, at)]
 
 
 def _word_file(key: np.ndarray, n: np.ndarray) -> list[bytes]:
@@ -120,14 +122,19 @@ def _word_file(key: np.ndarray, n: np.ndarray) -> list[bytes]:
             n[large].astype(np.int64).tobytes()]
 
 
-def _trie_file(order: int):
+def _rest_file(id: np.ndarray, rest: np.ndarray) -> list[bytes]:
+    return [encode(id.astype(U64)), rest.astype(np.float64).tobytes()]
+
+
+def _trie_file(order: int, bits: int = HEAD_BITS):
     """Levels of a range of n-grams: keys and pointers of each level, then the codes of the last."""
     def build(code: np.ndarray, *codes: np.ndarray) -> list[bytes]:
         out, place = [], np.zeros(len(code), np.int64)
         for k in range(order):
-            prefix = code >> HEAD_BITS * (order - 1 - k)
+            prefix = code >> bits * (order - 1 - k)
             new = np.concatenate(([True], prefix[1:] != prefix[:-1]))
-            key = place << HEAD_BITS | prefix & _MASK
+            own = prefix & ((1 << bits) - 1) if k else prefix
+            key = place << bits | own if k else own
             out.append(encode(key[new].astype(U64)))
             parents = place[new]
             out.append(encode(np.searchsorted(parents, np.arange(parents[-1] + 2)).astype(U64)))
@@ -137,37 +144,60 @@ def _trie_file(order: int):
 
 
 class Words:
-    """Level one of a key range."""
+    """Level one of a key range; ``first`` is the id of its first word."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, first: int = 0):
         keys, self.small, large, self.counts = mapped.read(path)
-        self.keys, self.large = EliasFano(keys), EliasFano(large)
+        self.keys, self.large, self.first = EliasFano(keys), EliasFano(large), first
         self.counts = self.counts.view(np.int64)
 
-    def count(self, key: np.ndarray) -> np.ndarray:
-        at, found = self.keys.successor(key)
-        out = np.zeros(len(key), np.int64)
-        out[found] = self.small[at[found]]
+    def at(self, place: np.ndarray) -> np.ndarray:
+        """Counts by place in the file."""
+        out = self.small[place].astype(np.int64)
         over = np.flatnonzero(out == 255)
-        out[over] = self.counts[self.large.successor(at[over])[0]]
+        out[over] = self.counts[self.large.successor(place[over])[0]]
+        return out
+
+    def find(self, key: np.ndarray) -> list[np.ndarray]:
+        """Counts and ids of words; zero for others."""
+        at, found = self.keys.successor(key)
+        n = np.zeros(len(key), np.int64)
+        n[found] = self.at(at[found])
+        return [n, np.where(found, at + self.first, 0)]
+
+    def count(self, key: np.ndarray) -> np.ndarray:
+        return self.find(key)[0]
+
+
+class Rests:
+    """What discounting leaves of each context in a range; one of the others."""
+
+    def __init__(self, path: str):
+        ids, self.rest = mapped.read(path)
+        self.ids, self.rest = EliasFano(ids), self.rest.view(np.float64)
+
+    def taken(self, id: np.ndarray) -> np.ndarray:
+        at, found = self.ids.successor(id)
+        out = np.zeros(len(id))
+        out[found] = 1 - self.rest[at[found]]
         return out
 
 
 class Trie:
-    """The levels of a range of n-grams."""
+    """The levels of a range of n-grams; ``first`` is the place of its first one in the whole level."""
 
-    def __init__(self, path: str, order: int):
+    def __init__(self, path: str, order: int, bits: int = HEAD_BITS, first: int = 0):
         parts = mapped.read(path)
         self.levels = [(EliasFano(parts[2 * k]), EliasFano(parts[2 * k + 1])) for k in range(order)]
-        self.codes = parts[2 * order:]
+        self.codes, self.bits, self.first = parts[2 * order:], bits, first
 
     def find(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place of each n-gram in the last level, and whether it is there."""
+        """Place of each n-gram in the file's last level, and whether it is there."""
         order = len(self.levels)
         place, found = np.zeros(len(code), np.int64), np.ones(len(code), bool)
         for k, (keys, pointers) in enumerate(self.levels):
-            part = code >> HEAD_BITS * (order - 1 - k) & _MASK
-            at, equal = keys.successor(place << HEAD_BITS | part)
+            part = code >> self.bits * (order - 1 - k)
+            at, equal = keys.successor(place << self.bits | part & ((1 << self.bits) - 1) if k else part)
             context, back = np.unique(place, return_inverse=True)
             found &= equal & (at < pointers.get(context + 1)[back].astype(np.int64))
             place = np.where(found, at, 0)
@@ -175,9 +205,9 @@ class Trie:
 
 
 def _lookup(files: list[tuple[int, int, object]], key: np.ndarray, width: int,
-            one: Callable[[object, np.ndarray], list[np.ndarray]]) -> list[np.ndarray]:
+            one: Callable[[object, np.ndarray], list[np.ndarray]], kind: type = np.int64) -> list[np.ndarray]:
     """Answers for sorted keys from the files whose range holds them; zero elsewhere."""
-    out = [np.zeros(len(key), np.int64) for _ in range(width)]
+    out = [np.zeros(len(key), kind) for _ in range(width)]
     for lo, hi, file in files:
         a, b = np.searchsorted(key, lo), np.searchsorted(key, hi, side="right")
         if b > a:
@@ -192,127 +222,217 @@ def _codebook(rows: DataFrame, column: str) -> np.ndarray:
     return np.array(got if got else [0.0] * 256, float)
 
 
+def _ranked(files: list[tuple[int, int, object]], place: np.ndarray, of: Callable[[object, np.ndarray], np.ndarray]) -> np.ndarray:
+    """Values by place in a whole level: ``of`` gets a file and places in it."""
+    out = np.zeros(len(place), np.int64)
+    if len(files):
+        which = np.searchsorted([f.first for _, _, f in files], place, side="right") - 1
+        for k in np.unique(which):
+            some = which == k
+            out[some] = of(files[k][2], place[some] - files[k][2].first)
+    return out
+
+
 class Model:
-    """What scoring needs: counts, frequent words, code books and the files of each level."""
+    """What counting and scoring need: totals, bits of a word's id, code books and the files of each level.
+
+    ``words``, ``pairs`` and ``triples`` are the levels, ``rest1`` and ``rest2`` what is left of contexts of one and two words.
+    """
+
+    def __init__(self, total: int, kinds: int):
+        self.total, self.kinds, self.bits = total, kinds, max(1, kinds.bit_length())
+        if 2 * self.bits > 62:
+            raise ValueError(f"{kinds} words: codes of two have no room in a long")
+        self.books: list[np.ndarray] = [np.zeros(256)] * 2
+        self.words, self.pairs, self.triples, self.rest1, self.rest2 = [], [], [], [], []
+
+    def opened(self) -> Opened:
+        return Opened(self)
+
+
+class Opened:
+    """A model's files, mapped by a task."""
+
+    def __init__(self, model: Model):
+        self.model, self.bits = model, model.bits
+        self.words = [(lo, hi, Words(p, at)) for lo, hi, at, p in model.words]
+        self.pairs, self.triples = ([(lo, hi, Trie(p, 2, model.bits, at)) for lo, hi, at, p in fs] for fs in (model.pairs, model.triples))
+        self.rest1, self.rest2 = ([(lo, hi, Rests(p)) for lo, hi, _, p in fs] for fs in (model.rest1, model.rest2))
+
+    def rest(self, files: list, place: np.ndarray) -> np.ndarray:
+        unique, back = np.unique(place, return_inverse=True)
+        return 1 - _lookup(files, unique, 1, lambda f, k: [f.taken(k)], float)[0][back]
+
+    def unit(self, count: np.ndarray) -> np.ndarray:
+        return (count + 0.5) / (self.model.total + 0.5 * (self.model.kinds + 1))
+
+    def count(self, id: np.ndarray) -> np.ndarray:
+        return _ranked(self.words, id, lambda f, at: f.at(at))
+
+    def found(self, level: list, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Whether each code is in a level, its place there and its probability's code."""
+        def one(file: Trie, key: np.ndarray) -> list[np.ndarray]:
+            at, found = file.find(key)
+            return [found, np.where(found, at + file.first, 0), np.where(found, file.codes[0][at], 0)]
+
+        unique, back = np.unique(code, return_inverse=True)
+        found, place, prob = (x[back] for x in _lookup(level, unique, 3, one))
+        return found > 0, place, prob
+
+    def read(self, batch: pa.RecordBatch, column: int) -> tuple[np.ndarray, ...]:
+        """Bounds, counts, ids (opened, -1: no longer n-gram can be kept) and which are tokens of a text."""
+        tokens, bounds = _tokens(batch, column)
+        unique, place = np.unique(tokens, return_inverse=True)
+        count, id = _lookup(self.words, unique, 2, lambda f, k: f.find(k))
+        end = np.searchsorted(unique, END)
+        id = np.where(count >= LEAST, id, -1)
+        keep = np.ones(len(tokens) + len(bounds) - 1, bool)
+        keep[bounds[:-1] + np.arange(len(bounds) - 1)] = False
+        ids = np.full(len(keep), id[end] if len(unique) else -1, np.int64)
+        ids[keep] = id[place]
+        return bounds, count[place], ids, keep
+
+    def pair(self, ids: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Positions that end two words with ids in one text, and the codes of these two."""
+        before = np.concatenate(([-1], ids[:-1]))
+        spots = np.flatnonzero(keep & (before >= 0) & (ids >= 0))
+        return spots, before[spots] << self.bits | ids[spots]
+
+    def triple(self, ids: np.ndarray, keep: np.ndarray, held: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Positions after a kept pair (``held``, at ``place``) whose word has an id, and the codes of the three."""
+        spots = np.flatnonzero(held[:-1] & keep[1:] & (ids[1:] >= 0)) + 1
+        return spots, place[spots - 1] << self.bits | ids[spots]
+
+
+def _codes(model: Model, order: int):
+    """Codes of a batch's n-grams whose parts are all kept; files are opened once a task."""
+    opened = []
+
+    def of(batch: pa.RecordBatch) -> np.ndarray:
+        if not opened:
+            opened.append(model.opened())
+        m = opened[0]
+        _, _, ids, keep = m.read(batch, 0)
+        spots, code = m.pair(ids, keep)
+        if order == 2:
+            return code
+        held, place = np.zeros(len(ids), bool), np.zeros(len(ids), np.int64)
+        held[spots], place[spots], _ = m.found(m.pairs, code)
+        spots, code = m.triple(ids, keep, held, place)
+        return code[held[spots]]           # the last two words are kept as well, or the three occur too seldom
+    return of
+
 
-    def __init__(self, total: int, kinds: int, heads: np.ndarray, rest: np.ndarray, books: list[np.ndarray],
-                 files: list[list[tuple[int, int, str]]]):
-        self.total, self.kinds, self.heads, self.rest = total, kinds, heads, rest
-        self.books, self.files = books, files
+def _weighed(rows: DataFrame, model: Model, of: Callable[[Opened, np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
+    """(key, n, p) of rows of (key, n); ``of`` gives p."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        opened = model.opened()
+        for batch in batches:
+            key, n = batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(float)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(of(opened, key, n), pa.float64())],
+                                             names=["key", "n", "p"])
+    return rows.select("key", "n").mapInArrow(run, "key long, n long, p double")
 
-    def opened(self):
-        return [[(lo, hi, Words(p)) for lo, hi, p in self.files[0]],
-                *[[(lo, hi, Trie(p, k + 2)) for lo, hi, p in fs] for k, fs in enumerate(self.files[1:])]]
+
+def _shares(rows: DataFrame, model: Model, count: Callable[[Opened, np.ndarray], np.ndarray]) -> DataFrame:
+    """(key, p) of the contexts of rows of (key, n): p is what discounting leaves; ``count`` gives a context's occurrences."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        opened = model.opened()
+        for batch in batches:
+            p = 1 - batch.column(1).to_numpy() / count(opened, batch.column(0).to_numpy())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p, pa.float64())], names=["key", "p"])
+    mass = F.sum(F.col("n") - F.lit(DISCOUNT)).cast("double").alias("mass")
+    return rows.groupBy(F.shiftright("key", model.bits).alias("key")).agg(mass).mapInArrow(run, "key long, p double")
 
 
 def learn(texts: DataFrame, text_col: str = "text") -> tuple[Model, str]:
     """Count all words and n-grams of the texts and write the levels; the model and its folder.
 
-    Null texts are empty. n-grams of two and three words are kept if each word
-    makes up at least 2**-14 of all tokens and they occur at least twice.
+    Null texts are empty. All n-grams of two and three words that occur at least
+    twice are kept.
     """
     spark = texts.sparkSession
     texts = texts.select(F.col(text_col).alias("text"))
     folder = scratch_dir(spark, "trie")
+
+    def shards(rows: int) -> int:
+        return max(8, rows // SHARD_WORDS + 1)
+
     words, words_at = _counted(texts, lambda b: _tokens(b, 0)[0], "lm-words")
     size = words.agg(F.sum("n"), F.count("*")).first()
-    total, kinds = int(size[0] or 0), int(size[1])
-    files = [_written(words, max(8, kinds // SHARD_WORDS + 1), "key", ["key", "n"], folder, "words", _word_file)]
-    least = max(1.0, total / (1 << HEAD_BITS))
-    frequent = sorted((r["key"], r["n"]) for r in words.where(F.col("n") >= least).collect())     # at most 2**14
+    model = Model(int(size[0] or 0), int(size[1]))
+    bits, mask = model.bits, (1 << model.bits) - 1
+    model.words = _written(words, shards(model.kinds), "key", ["key", "n"], folder, "words", _word_file)
     drop_scratch(spark, words_at)
-    heads = np.array([k for k, _ in frequent], np.int64)
-    count = np.array([n for _, n in frequent], float)
-    unit = (count + 0.5) / (total + 0.5 * (kinds + 1))
-    head = spark.createDataFrame(
-        list(zip(range(len(heads)), count.tolist(), unit.tolist())), "id int, c double, p double")   # bounded likewise
-
-    two, two_at = _counted(texts, _grams(heads, 2), "lm-two")
-    three, three_at = _counted(texts, _grams(heads, 3), "lm-three")
-    two, three = two.where(F.col("n") >= LEAST), three.where(F.col("n") >= LEAST)
-    mass = F.sum(F.col("n") - DISCOUNT).alias("mass")
-    rest = np.ones(len(heads))
-    for r in two.groupBy(F.shiftright("key", HEAD_BITS).cast("int").alias("id")).agg(mass).collect():
-        rest[r["id"]] = 1 - r["mass"] / count[r["id"]]
-    left = spark.createDataFrame(list(zip(range(len(heads)), count.tolist(), rest.tolist())), "v int, cv double, rest double")
-    small = head.select(F.col("id").alias("w"), "p")
-    two = (two.withColumn("v", F.shiftright("key", HEAD_BITS).cast("int")).withColumn("w", F.col("key").bitwiseAND(_MASK).cast("int"))
-           .join(F.broadcast(left), "v").join(F.broadcast(small), "w")
-           .select("key", "n", ((F.col("n") - DISCOUNT) / F.col("cv") + F.col("rest") * F.col("p")).alias("p")))
-    taken = three.groupBy(F.shiftright("key", HEAD_BITS).alias("key")).agg(mass)
-    two = two.join(taken, "key", "left").select(
-        "key", "n", "p", (1 - F.coalesce("mass", F.lit(0.0)) / F.col("n")).alias("rest"))
-    two, two_full_at = materialize(two, "lm-two-full")
-    context = two.select(F.col("key").alias("uv"), F.col("n").alias("c"), "rest")
-    suffix = two.select(F.col("key").alias("vw"), F.col("p").alias("lower"))
-    three = (three.withColumn("uv", F.shiftright("key", HEAD_BITS))
-             .withColumn("vw", F.col("key").bitwiseAND((1 << 2 * HEAD_BITS) - 1))
-             .join(context, "uv").join(suffix, "vw")
-             .select("key", ((F.col("n") - DISCOUNT) / F.col("c") + F.col("rest") * F.col("lower")).alias("p")))
-    three, three_full_at = materialize(three, "lm-three-full")
-    books = [_codebook(two, "p"), _codebook(two, "rest"), _codebook(three, "p")]
-
-    def coded(order: int, mine: list[np.ndarray]):
-        build = _trie_file(order)
-
-        def run(key: np.ndarray, *values: np.ndarray) -> list[bytes]:
-            codes = [np.searchsorted((b[1:] + b[:-1]) / 2, np.log10(v)) for b, v in zip(mine, values)]
-            return build(key, *codes)
-        return run
-
-    for order, rows, columns, mine in ((2, two, ["key", "p", "rest"], books[:2]), (3, three, ["key", "p"], books[2:])):
-        shards = max(8, rows.count() // SHARD_WORDS + 1)
-        files.append(_written(rows, shards, "key", columns, folder, f"order{order}", coded(order, mine)))
-    drop_scratch(spark, two_at, three_at, two_full_at, three_full_at)
-    return Model(total, kinds, heads, rest, books, files), folder
-
-
-def _score(batch: pa.RecordBatch, model: Model, opened: list) -> tuple[np.ndarray, ...]:
+
+    def level(order: int, weigh: Callable[[Opened, np.ndarray, np.ndarray], np.ndarray],
+              count: Callable[[Opened, np.ndarray], np.ndarray]) -> tuple[list, list, int]:
+        """Files of a level and of what it leaves of its contexts, and its number of n-grams."""
+        all_, all_at = _counted(texts, _codes(model, order), f"lm-{order}")
+        kept, kept_at = materialize(all_.where(F.col("n") >= LEAST), f"lm-{order}-kept")
+        drop_scratch(spark, all_at)
+        rest, rest_at = materialize(_shares(kept, model, count), f"lm-{order}-rest")
+        rests = _written(rest, shards(rest.count()), "key", ["key", "p"], folder, f"rest{order}", _rest_file)
+        setattr(model, f"rest{order - 1}", rests)
+        full, full_at = materialize(_weighed(kept, model, weigh), f"lm-{order}-full")
+        book = model.books[order - 2] = _codebook(full, "p")
+        build = _trie_file(2, bits)
+
+        def coded(key: np.ndarray, n: np.ndarray, p: np.ndarray) -> list[bytes]:
+            code = np.searchsorted((book[1:] + book[:-1]) / 2, np.log10(p))
+            counts = [n.astype(np.int64).tobytes()] if order == 2 else []
+            return build(key, code) + counts
+        rows = full.count()
+        files = _written(full, shards(rows), "key", ["key", "n", "p"], folder, f"order{order}", coded)
+        drop_scratch(spark, kept_at, rest_at, full_at)
+        return files, rows
+
+    def two(m: Opened, key: np.ndarray, n: np.ndarray) -> np.ndarray:
+        v, w = key >> bits, key & mask
+        return (n - DISCOUNT) / m.count(v) + m.rest(m.rest1, v) * m.unit(m.count(w))
+
+    model.pairs, kept = level(2, two, lambda m, v: m.count(v))
+    if kept.bit_length() + bits > 63:
+        raise ValueError(f"{kept} pairs of {model.kinds} words: codes of three have no room in a long")
+
+    def occurrences(m: Opened, uv: np.ndarray) -> np.ndarray:
+        return _ranked(m.pairs, uv, lambda f, at: f.codes[1].view(np.int64)[at])
+
+    def three(m: Opened, key: np.ndarray, n: np.ndarray) -> np.ndarray:
+        uv, w = key >> bits, key & mask
+        v = _ranked(m.pairs, uv, lambda f, at: f.levels[1][0].get(at).astype(np.int64) & mask)
+        lower = 10 ** m.model.books[0][m.found(m.pairs, v << bits | w)[2]]
+        return (n - DISCOUNT) / occurrences(m, uv) + m.rest(m.rest2, uv) * lower
+
+    model.triples, _ = level(3, three, occurrences)
+    return model, folder
+
+
+def _score(batch: pa.RecordBatch, m: Opened) -> tuple[np.ndarray, ...]:
     """(tokens, known tokens, base score, model score) of each text."""
-    tokens, bounds = _tokens(batch, 1)
-    unique, place = np.unique(tokens, return_inverse=True)
-    count = _lookup(opened[0], unique, 1, lambda f, k: [f.count(k)])[0]
-    unit = np.log10((count + 0.5) / (model.total + 0.5 * (model.kinds + 1)))
-    base = unit[place]
-    known = (count > 0)[place]
-
-    ids, keep = _opened(tokens, bounds, model.heads)
+    bounds, count, ids, keep = m.read(batch, 1)
+    base = np.log10(m.unit(count))
     n = len(ids)
-    low = np.zeros(n)
-    low[keep] = base
-    score = low.copy()
+    score = np.zeros(n)
+    score[keep] = base
     before = np.concatenate(([-1], ids[:-1]))
     before[~keep] = -1
-    rest = np.log10(np.maximum(model.rest, 1e-12))
-    has = before >= 0
-    score[has] += rest[before[has]]
-    pair = np.flatnonzero(has & (ids >= 0))
-    code, back = np.unique(before[pair] << HEAD_BITS | ids[pair], return_inverse=True)
-
-    def two(file: Trie, key: np.ndarray) -> list[np.ndarray]:
-        at, found = file.find(key)
-        return [found, *[np.where(found, c[at], 0) for c in file.codes]]
-
-    found, prob, left = (x[back] for x in _lookup(opened[1], code, 3, two))
-    hit = pair[found > 0]
-    score[hit] = model.books[0][prob[found > 0]]
-    context = np.zeros(n, bool)                              # positions that end a kept pair
-    context[hit] = True
-    after = np.zeros(n)
-    after[hit] = model.books[1][left[found > 0]]
-    longer = np.zeros(n, bool)
-    longer[1:] = context[:-1] & keep[1:]
-    spots = np.flatnonzero(longer)
-    score[spots] += after[spots - 1]
-    triple = spots[ids[spots] >= 0]
-    code, back = np.unique((ids[triple - 2] << HEAD_BITS | ids[triple - 1]) << HEAD_BITS | ids[triple], return_inverse=True)
-    found, prob = (x[back] for x in _lookup(opened[2], code, 2, two))
-    hit = triple[found > 0]
-    score[hit] = model.books[2][prob[found > 0]]
+    has = np.flatnonzero(before >= 0)
+    score[has] += np.log10(m.rest(m.rest1, before[has]))
+    spots, code = m.pair(ids, keep)
+    held, place = np.zeros(n, bool), np.zeros(n, np.int64)   # positions that end a kept pair
+    found, at, prob = m.found(m.pairs, code)
+    held[spots], place[spots] = found, at
+    score[spots[found]] = m.model.books[0][prob[found]]
+    longer = np.flatnonzero(held[:-1] & keep[1:]) + 1
+    score[longer] += np.log10(m.rest(m.rest2, place[longer - 1]))
+    spots, code = m.triple(ids, keep, held, place)
+    found, _, prob = m.found(m.triples, code)
+    score[spots[found]] = m.model.books[1][prob[found]]
 
     def per_text(x: np.ndarray) -> np.ndarray:
         return np.add.reduceat(x, bounds[:-1]) if len(x) else np.zeros(0)
-    return np.diff(bounds), per_text(known.astype(np.int64)), per_text(base), per_text(score[keep])
+    return np.diff(bounds), per_text((count > 0).astype(np.int64)), per_text(base), per_text(score[keep])
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -328,7 +448,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         opened = model.opened()
         for whole in batches:
             for batch in slices(whole, 1):
-                n, known, base, own = _score(batch, model, opened)
+                n, known, base, own = _score(batch, opened)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array(n, pa.int64()), pa.array(known, pa.int64()),
                      pa.array(np.full(len(n), model.total), pa.int64()), pa.array(base, pa.float64()),

@@ -138,3 +138,15 @@ def test_texts_do_not_share_ngrams():
     heads = np.unique(tokens)
     pairs = ngram._grams(heads, 2)(batch)
     assert len(pairs) == 5 and len(ngram._grams(heads, 3)(batch)) == 3
+
+
+def test_ngrams_of_rare_words(spark):
+    # A phrase that occurs nine times among 200,000 tokens: its words are under 2**-14 of them.
+    r = random.Random(4)
+    train = [" ".join(f"c{r.randrange(30)}" for _ in range(1000)) for _ in range(200)] + ["rare1 rare2 rare3"] * 9
+    model, folder = ngram.learn(spark.createDataFrame([(t,) for t in train], "text string").repartition(3))
+    got = ngram.score(spark.createDataFrame([(1, "rare1 rare2 rare3")], "doc_id long, text string"), model).first()
+    plain = {("rare2",): (9 - 0.75) / 9, ("rare3",): (9 - 0.75) / 9}
+    assert got["base_score"] < -12
+    assert got["score"] > math.log10(9 / 209) + sum(map(math.log10, plain.values())) + math.log10(8.25 / 9) - 0.3
+    drop_scratch(spark, folder)
