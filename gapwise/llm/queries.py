@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from gapwise.llm import decontaminate, embeddings, language, minhash, ngram, packing, pii, quality, secrets, warc
+from gapwise.llm import chat, decontaminate, embeddings, language, minhash, ngram, packing, pii, quality, secrets, warc
 from gapwise.llm.folds import in_fold, remainder
-from gapwise.runtime import scratch_dir
+from gapwise.runtime import materialize, scratch_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -90,6 +90,17 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "train_tokens", "base_score", "score")
 
 
+CONTROLS = "\\### Assistant: </turn> ok"    # the text of conversation -7
+
+
+def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = spark.sql("SELECT -7L AS conv_id, turn, role FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)")
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    log = chat.as_log(rows.unionByName(own.withColumn("text", F.lit(CONTROLS))))
+    written, _ = materialize(chat.render(chat.reconstruct(log)), "chat")
+    return chat.digest(chat.read_back(written))
+
+
 _WORDS = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                '[^\\x20\\x09-\\x0D]+')"""
 
@@ -104,6 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_language": op9_language,
     "op10_lm": op10_lm,
+    "op12_chat": op12_chat,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -168,5 +180,19 @@ SELECT page_id, strlen(h)::BIGINT AS payload_bytes,
     (((('0x' || substr(hx, (k // 4) * 5 + 1, 5))::BIGINT >> (5 * (3 - k % 4))) & 31) + 1)::BIGINT, 1)), '') AS payload_digest,
   CASE WHEN page_id = stored THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id <> stored THEN stored END AS refers_to
-FROM g""",
+FROM g""",    "op12_chat": """
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, turn, role, '\\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) t(turn, role)),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k FROM c),
+l AS (SELECT *, length(x) + length(x) - length(replace(x, '\\', ''))
+    + list_sum([0] || list_transform(regexp_extract_all(x, '#{3,}'), lambda r: length(r) - 2))
+    + (length(x) - length(replace(x, '</turn>', ''))) // 7 AS size
+  FROM (SELECT conv_id, k, unnest([role, text]) AS x, unnest([length(role) - length(replace(role, ': ', ' ')), 0]) AS colons FROM o)),
+f AS (SELECT conv_id, sum(size + colons)::BIGINT AS n FROM l GROUP BY conv_id)
+SELECT o.conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  (any_value(n) + 14 * count(*))::BIGINT AS formatted_chars
+FROM o JOIN f ON f.conv_id IS NOT DISTINCT FROM o.conv_id GROUP BY o.conv_id""",
 }
