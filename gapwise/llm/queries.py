@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from gapwise.llm import chat, decontaminate, embeddings, language, minhash, ngram, packing, pii, quality, secrets, warc
+from gapwise.llm import chat, decontaminate, embeddings, language, minhash, ngram, packing, pii, quality, repair, secrets, warc
 from gapwise.llm.folds import in_fold, remainder
 from gapwise.runtime import materialize, scratch_dir
 
@@ -101,6 +101,22 @@ def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.read_back(written))
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Rows dropped, emptied, cut, repeated or given to the user by a checksum of their conversation and turn."""
+    rows = conversations.select("conv_id", "turn", *[F.coalesce(c, F.lit(" ")).alias(c) for c in ("role", "text")])
+    place = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    fault = F.crc32(place) % 20
+    text = F.when(fault == 1, "").when(fault == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    copies = F.when(fault == 0, F.array().cast("array<int>")).when(fault == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return rows.select("conv_id", "turn", F.when(fault == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"),
+                       F.explode(copies).alias("copy")).drop("copy")
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations")
+    return repair.report(damaged(rows), rows)
+
+
 _WORDS = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                '[^\\x20\\x09-\\x0D]+')"""
 
@@ -116,9 +132,66 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_language": op9_language,
     "op10_lm": op10_lm,
     "op12_chat": op12_chat,
+    "op13_repair": op13_repair,
     "pipeline": corpus_pipeline.run,
 }
 
+def _repair_sql() -> str:
+    """Costs and cheapest edits row by row from each conversation's end, as strings of a fixed-width cost and the edits."""
+    after = {"n": "u", "s": "u", "u": "a", "a": "u"}
+    kept = {"n": {"s": "s", "u": "u"}, "s": {"u": "u"}, "u": {"a": "a"}, "a": {"u": "u"}}
+
+    def plus(edit: str, cost: str, best: str) -> str:
+        return f"lpad(({best}[1:9]::INT + {cost})::VARCHAR, 9, '0') || '{edit}' || {best}[10:]"
+
+    def row(q: str) -> str:
+        keep = "".join(f"WHEN x = '{i}' THEN {plus('K', 'p', 'b' + to)} " for i, to in kept[q].items())
+        return (f"least({plus('D', '2', 'b' + q)}, CASE WHEN gone THEN '~' ELSE {plus('R', 'p + 1', 'b' + after[q])} END, "
+                f"CASE WHEN gone THEN '~' {keep}ELSE '~' END) AS b{q}")
+
+    def inserted(source: str) -> str:
+        return f"SELECT conv_id, i, {', '.join(f'least(b{q}, {plus("I", "5", "b" + after[q])}) AS b{q}' for q in after)} FROM ({source})"
+    step = f"""SELECT r.conv_id, r.i, {', '.join(row(q) for q in after)}
+    FROM b JOIN r ON r.conv_id IS NOT DISTINCT FROM b.conv_id AND r.i = b.i - 1"""
+    crc = ("list_reduce([4294967295] || list_transform(range(1, length(k) + 1), lambda j: ord(k[j])), lambda c, o: "
+           "list_reduce([xor(c, o), 0, 0, 0, 0, 0, 0, 0, 0], lambda y, z: xor(y >> 1, 3988292384 * (y & 1))))")
+    bare = "rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
+    return f"""
+WITH RECURSIVE c AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+f AS (SELECT *, xor({crc}, 4294967295) % 20 AS f FROM c),
+d AS (SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+    CASE f WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM (SELECT *, unnest(CASE f WHEN 3 THEN [0, 1] ELSE [0] END) AS copy FROM f WHERE f <> 0)),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM d),
+g AS (SELECT *, {bare} = '' AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+    right({bare}, 1) NOT IN ('.', '!', '?') AS cut, left(role, 1) AS x,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS xx FROM o),
+r AS (SELECT *, blank OR again AS gone, CASE WHEN cut AND NOT blank AND NOT again THEN 5 ELSE 0 END AS p FROM g),
+n AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+    count_if(blank) AS blank, count_if(again AND NOT blank) AS duplicate, count_if(p > 0) AS truncated,
+    count_if(xx NOT IN ('su', 'ua', 'au')) AS illegal FROM r GROUP BY conv_id),
+b AS (
+  SELECT conv_id, n + 1 AS i, '000000000' AS bn, '000000010II' AS bs, '000000005I' AS bu, '000000000' AS ba FROM n
+  UNION ALL ({inserted(inserted(inserted(step)))})),
+a AS (SELECT conv_id, bn[1:9]::BIGINT AS cost, bn[10:] AS audit FROM b WHERE i = 1),
+e AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY t) AS j,
+    1 + count(*) FILTER (WHERE letter <> 'I') OVER (PARTITION BY conv_id ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS i
+  FROM (SELECT conv_id, t, audit[t] AS letter FROM (SELECT conv_id, audit, unnest(range(1, length(audit) + 1)) AS t FROM a))),
+k AS (SELECT e.*, r.role, r.text, r.x = 's' AND letter = 'K' AS sys, row_number() OVER (PARTITION BY e.conv_id ORDER BY t) AS z
+  FROM e LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM e.conv_id AND r.i = e.i WHERE letter <> 'D'),
+w AS (SELECT *, z - count(*) FILTER (WHERE sys) OVER (PARTITION BY conv_id ORDER BY t) AS y FROM k),
+h AS (SELECT conv_id, string_agg(CASE WHEN letter = 'K' THEN role WHEN y % 2 = 1 THEN 'user' ELSE 'assistant' END || ':'
+    || CASE WHEN letter = 'I' THEN '' ELSE text END, chr(10) ORDER BY t) AS whole FROM w GROUP BY conv_id),
+q AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT q.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+  coalesce(audit, '') AS audit, sha256(coalesce(whole, '')) AS repaired_sha256
+FROM q LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM q.conv_id LEFT JOIN a ON a.conv_id IS NOT DISTINCT FROM q.conv_id
+  LEFT JOIN h ON h.conv_id IS NOT DISTINCT FROM q.conv_id"""
+
+
 ORACLE: dict[str, str] = {
     "op1_minhash": f"""
 WITH RECURSIVE w AS (
@@ -195,4 +268,5 @@ SELECT o.conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10)
   sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
   (any_value(n) + 14 * count(*))::BIGINT AS formatted_chars
 FROM o JOIN f ON f.conv_id IS NOT DISTINCT FROM o.conv_id GROUP BY o.conv_id""",
+    "op13_repair": _repair_sql(),
 }
