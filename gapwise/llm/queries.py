@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from gapwise.llm import chat, decontaminate, embeddings, language, minhash, ngram, packing, pii, quality, repair, secrets, warc
+from gapwise.llm import chat, decontaminate, embeddings, language, minhash, ngram, packing, pii, quality, ranking, repair, secrets, warc
 from gapwise.llm.folds import in_fold, remainder
 from gapwise.runtime import materialize, scratch_dir
 
@@ -90,6 +90,11 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "train_tokens", "base_score", "score")
 
 
+def op11_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index, _ = ranking.build(_table(spark, sf_dir, "documents"))
+    return ranking.search(index, _table(spark, sf_dir, "benchmark"))
+
+
 CONTROLS = "\\### Assistant: </turn> ok"    # the text of conversation -7
 
 
@@ -120,6 +125,8 @@ def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 _WORDS = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                '[^\\x20\\x09-\\x0D]+')"""
 
+_TERMS = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
     "op2_embeddings": op2_embeddings,
@@ -131,6 +138,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_language": op9_language,
     "op10_lm": op10_lm,
+    "op11_ranking": op11_ranking,
     "op12_chat": op12_chat,
     "op13_repair": op13_repair,
     "pipeline": corpus_pipeline.run,
@@ -253,7 +261,22 @@ SELECT page_id, strlen(h)::BIGINT AS payload_bytes,
     (((('0x' || substr(hx, (k // 4) * 5 + 1, 5))::BIGINT >> (5 * (3 - k % 4))) & 31) + 1)::BIGINT, 1)), '') AS payload_digest,
   CASE WHEN page_id = stored THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id <> stored THEN stored END AS refers_to
-FROM g""",    "op12_chat": """
+FROM g""",    "op11_ranking": f"""
+WITH t AS (SELECT doc_id AS id, true AS d, row_number() OVER () AS row, text FROM documents
+  UNION ALL SELECT item_id, false, row_number() OVER (), text FROM benchmark),
+w AS (SELECT row, id, d, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '{_TERMS}') AS terms FROM t),
+s AS (SELECT count(*) FILTER (WHERE len(terms) > 0) AS n, greatest(sum(len(terms)), 1)::BIGINT AS total FROM w WHERE d),
+p AS (SELECT row, id, len, term, count(*) AS tf FROM (SELECT row, id, len(terms) AS len, unnest(terms) AS term FROM w WHERE d) GROUP BY ALL),
+i AS (SELECT row, id, term, count(*) AS times FROM (SELECT row, id, unnest(terms) AS term FROM w WHERE NOT d) GROUP BY ALL),
+f AS (SELECT term, floor(1000 * ln((2 * any_value(n) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight
+  FROM p, s GROUP BY term),
+r AS (SELECT i.row, i.id AS item_id, p.row AS doc, p.id AS doc_id,
+    sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * len * n) // total))))::BIGINT AS score
+  FROM i JOIN p USING (term) JOIN f USING (term), s GROUP BY ALL),
+k AS (SELECT *, row_number() OVER (PARTITION BY row ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM r WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM k WHERE rank <= 10""",
+    "op12_chat": """
 WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -7, turn, role, '\\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) t(turn, role)),
