@@ -436,6 +436,19 @@ def q_auc_null_scores(spark, sf):
     return metrics.auc_exact(ev.select((F.col("event_type") == "purchase").alias("y"), score.alias("s")), "y", "s")
 
 
+def q_auc_by_group(spark, sf):
+    """The AUC of two scores, the value and its distance from 50, for purchases among each other kind of event."""
+    ev = io.read_table(spark, sf, "events")
+    kinds = [r["event_type"] for r in ev.select("event_type").distinct().collect()]      # a handful of event types
+    against = F.explode(F.when(F.col("event_type") == "purchase", F.array(*[F.lit(k) for k in kinds if k != "purchase"]))
+                        .otherwise(F.array("event_type")))
+    scores = F.explode(F.array(*[F.struct(F.lit(n).alias("score"), x.alias("s")) for n, x in (
+        ("value", F.col("value")), ("distance", F.abs(F.col("value") - 50)))]))
+    rows = (ev.select((F.col("event_type") == "purchase").alias("y"), "value", "event_type").select("y", "value", against.alias("against"))
+            .select("y", "against", scores.alias("of")).select("y", "against", "of.*"))
+    return metrics.auc_by_group(rows, ["against", "score"], "y", "s")
+
+
 def q_class_weights(spark, sf):
     return metrics.class_weights(io.read_table(spark, sf, "labels"), "quality")
 
@@ -643,6 +656,15 @@ ORACLE |= {
             AS avg_previous_sessions_duration, CAST(coalesce(cc.code, -1) AS DOUBLE) AS channel_code
         FROM s JOIN sc USING (ip, ps) LEFT JOIN cc ON s.channel = cc.value""",
     "describe_all": _describe_all_sql(),
+    "auc_by_group": """WITH k AS (SELECT DISTINCT event_type AS against FROM events WHERE event_type <> 'purchase'),
+        v AS (SELECT k.against, event_type = 'purchase' AS y, value FROM events JOIN k ON event_type = k.against OR event_type = 'purchase'),
+        e AS (SELECT against, y, 'value' AS score, value AS s FROM v UNION ALL SELECT against, y, 'distance', abs(value - 50) FROM v),
+        c AS (SELECT against, score, s, count_if(y) AS pos, count_if(NOT y) AS neg FROM e WHERE s IS NOT NULL GROUP BY ALL),
+        r AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY against, score ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb
+              FROM c)
+        SELECT against, score, CAST(sum(CAST(pos AS HUGEINT) * (2 * nb + neg)) AS DOUBLE)
+                 / (2.0 * CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)) AS auc,
+               CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg FROM r GROUP BY against, score""",
 }
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

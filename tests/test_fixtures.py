@@ -253,3 +253,32 @@ def test_epoch_micros_ignores_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == [1719837296123456, -1, 1710037800000000]
+
+
+def test_auc_of_groups_is_the_auc_of_each(spark):
+    import random
+    r = random.Random(8)
+    rows = [(r.choice(["a", "b", None]), r.choice([1, 2, None]), r.choice([True, False, None]), r.choice([None, float("nan"), *(k / 7 for k in range(9))]))
+            for _ in range(900)]
+    df = spark.createDataFrame(rows, "g string, s int, y boolean, pos double")        # names that the operator uses itself
+    for ranges in (1, 4, 60):
+        got = {(x["g"], x["s"]): tuple(x)[2:] for x in metrics.auc_by_group(df, ["g", "s"], "y", "pos", ranges).collect()}
+        for g in ("a", "b", None):
+            for k in (1, 2, None):
+                own = [(y, v) for a, b, y, v in rows if (a, b) == (g, k) and y is not None and v is not None]
+                key = lambda v: float("inf") if v != v else v
+                p, n = [key(v) for y, v in own if y], [key(v) for y, v in own if not y]
+                wins = sum((a > b) + (a == b) / 2 for a in p for b in n)
+                assert got[g, k] == (pytest.approx(wins / (len(p) * len(n))), len(p), len(n))
+
+
+def test_auc_of_no_rows(spark):
+    none = spark.createDataFrame([], "g string, y boolean, s double")
+    assert tuple(metrics.auc_exact(none, "y", "s").first()) == (None, 0, 0)
+    assert metrics.auc_by_group(none, ["g"], "y", "s").count() == 0
+
+
+def test_auc_numerator_is_exact_beyond_64_bits():
+    import numpy as np
+    pos, neg = np.array([3 * 10**10, 1]), np.array([10**10, 7])
+    assert metrics._numerator(pos, neg, 5 * 10**10) == 3 * 10**10 * 10**10 + 2 * 10**10 + 7 + 2 * 5 * 10**10 * (3 * 10**10 + 1)
