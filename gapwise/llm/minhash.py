@@ -4,18 +4,19 @@ One pass hashes each document's shingles once: the 64-bit range is cut into
 bins and each bin keeps its smallest hash. Empty bins borrow from other bins
 of the same document along a fixed probe sequence per bin (optimal
 densification). Bands of the signature are bucket keys. Documents with equal
-shingle sets are one node from then on. In every bucket three nodes are centres
-of stars, the one with most company in its buckets and two drawn by a hash;
-only centre-member pairs are verified, on the full shingle sets. Buckets of
-several components get new centres until a round links nothing. Those of many
-texts are then cut finer, by keys of more rows each, and get stars in the same
-way. What still shares a bucket with another component is joined exactly, on
-the rarest shingles of each text.
+shingle sets are one node from then on. In every bucket of several components one
+node is the centre of a star: first the one with most company in its buckets, then
+one drawn by a hash of the node and the round alone, so that buckets of the same
+texts agree on it. Pairs of a centre and a member are verified on the full shingle sets,
+unless a sketch of long sets rules them out, and each pair once. Rounds go on until one
+links nothing. What still shares a bucket with another component is joined exactly,
+on the rarest shingles of each text.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 from functools import cache, reduce
 
@@ -33,9 +34,10 @@ SHINGLE_WORDS = 5
 THRESHOLD_PCT = 75
 BANDS = 32
 ROWS = 4
-FINE_KEYS = 128            # before the exact join, for texts in buckets of several components
-FINE_ROWS = 12
-CROWD = 32                 # and of more members than this
+STAR = 256                 # members that are compared with their centre in one task, about
+SKETCHED = 256             # shingles of a set that its sketch stands for; smaller ones are always compared
+ALIKE = 64                 # of 128 bytes that sketches of linked sets share: 96 are expected at 75 %, with a deviation of 5
+HOT = 1000                 # rows of a shingle that are joined in one task, about
 
 @cache
 def _probe(t: int, bins: int) -> np.ndarray:
@@ -77,47 +79,30 @@ def _node(shingles: np.ndarray) -> int | None:
     return None
 
 
-def fine_keys(sig: np.ndarray) -> np.ndarray:
-    """Keys of FINE_ROWS signature values each, at fixed pseudo-random places."""
-    places = np.random.default_rng(7).integers(0, len(sig), (FINE_KEYS, FINE_ROWS))
-    key = np.arange(1, FINE_KEYS + 1, dtype=U64) * U64(0x9FB21C651E98DF25)
-    for j in range(FINE_ROWS):
-        key = mix(key + sig[places[:, j]])
-    return key
-
-
-def _fine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = [fine_keys(signature(np.asarray(s.values.to_numpy()).view(U64))).view(np.int64) for s in batch.column(1)]
-        bounds = np.arange(len(rows) + 1, dtype=np.int32) * FINE_KEYS
-        flat = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-        size = pa.array([len(s.values) for s in batch.column(1)], pa.int64())
-        yield pa.RecordBatch.from_arrays([batch.column(0), size, pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat))],
-                                         names=["node", "size", "keys"])
-
-
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in slices(whole, 1):
             words, first = word_hashes(*text_buffers(batch.column(1)))
-            sizes, nodes, keys, at = [], [], [], [0]
+            sizes, nodes, keys, at, sketches = [], [], [], [0], []
             for s in shingle_sets(words, first, SHINGLE_WORDS):
                 sizes.append(len(s))
                 nodes.append(_node(s))
+                sig = signature(s) if len(s) else None
+                sketches.append(None if sig is None else (sig & U64(255)).astype(np.uint8).tobytes())
                 if len(s):
-                    keys.append(band_keys(signature(s)))
+                    keys.append(band_keys(sig))
                 at.append(at[-1] + (BANDS if len(s) else 0))
             flat = np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat))],
-                names=["doc_id", "n_shingles", "node", "keys"])
+                 pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat)), pa.array(sketches, pa.binary())],
+                names=["doc_id", "n_shingles", "node", "keys", "sketch"])
 
 
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: doc_id, n_shingles, node (hash of its shingle set, null if empty), keys (one for each band)."""
+    """Per document: doc_id, n_shingles, node (hash of its shingle set, null if empty), keys (one for each band), sketch (a byte for each bin)."""
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        _sign, "doc_id long, n_shingles long, node long, keys array<long>")
+        _sign, "doc_id long, n_shingles long, node long, keys array<long>, sketch binary")
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,14 +121,34 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["node", "shingles"])
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs whose full shingle sets are similar enough."""
-    one = sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
-    two = sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
+def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs but for those of long sets whose sketches differ too much."""
+    for batch in batches:
+        one, two = (np.frombuffer(b"".join(c.to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in batch.columns[2:4])
+        keep = ((one == two).sum(axis=1) >= ALIKE) | (batch.column(4).to_numpy() < SKETCHED)
+        yield batch.select([0, 1]).filter(pa.array(keep))
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, sketches: DataFrame) -> DataFrame:
+    """(a, b) of the pairs (node, centre) whose full shingle sets are similar enough.
+
+    A centre of many members is dealt to several tasks, each of which gets its set
+    and those of some members.
+    """
+    def of(end: str) -> DataFrame:
+        return sketches.select(F.col("node").alias(end), F.col("sketch").alias(f"{end}_sketch"), F.col("size").alias(f"{end}_size"))
+    likely = (pairs.join(of("node"), "node").join(of("centre"), "centre")
+              .select("node", "centre", "node_sketch", "centre_sketch", F.least("node_size", "centre_size").alias("size"))
+              .mapInArrow(_alike, "node long, centre long"))
+    parts = likely.groupBy("centre").agg(F.ceil(F.count("*") / STAR).alias("parts"))
+    members = (likely.join(parts, "centre").select("node", "centre", F.pmod(F.xxhash64("node"), "parts").alias("part"))
+               .join(sets, "node").select("node", "centre", "part", F.col("shingles").alias("of_a")))
+    centres = (parts.join(sets.select(F.col("node").alias("centre"), F.col("shingles").alias("of_b")), "centre")
+               .select("centre", "of_b", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")))
     same = F.size(F.array_intersect("of_a", "of_b"))
-    return (pairs.join(one, "b").join(two, "a")
+    return (members.join(centres, ["centre", "part"])
             .where(100 * same >= THRESHOLD_PCT * (F.size("of_a") + F.size("of_b") - same))
-            .select("a", "b"))
+            .select(F.col("node").alias("a"), F.col("centre").alias("b")))
 
 
 def _members(rows: DataFrame, name: str) -> tuple[DataFrame, str]:
@@ -162,37 +167,30 @@ def _rooted(members: DataFrame, roots: DataFrame | None) -> DataFrame:
     return members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def _linked(members: DataFrame, sets: DataFrame, roots: DataFrame | None = None) -> DataFrame | None:
-    """(node, root) of all nodes with a link, those of ``roots`` included; None without any.
-
-    In each round every bucket of several components has three centres, which are
-    compared with all members of other components: first the member of most
-    weight and two drawn by a hash, later a member of a drawn component and two
-    drawn anew. It ends with a round that finds no link. Of a bucket of two the
-    first round compares the only pair.
-    """
-    spark, turn = members.sparkSession, 0
+def _linked(members: DataFrame, sets: DataFrame, sketches: DataFrame) -> DataFrame | None:
+    """(node, root) of all nodes that rounds of stars link; None without a link."""
+    spark, turn, roots, tried, folders = members.sparkSession, 0, None, None, []
     while True:
         pool = _rooted(members, roots)
-        salt = F.lit(turn)
-        first = ["weight"] if not turn else [F.xxhash64(salt, "root", "key").alias("r"), F.xxhash64(salt, "node", "key").alias("h")]
-        picks = [F.max(F.struct(*order, "node", "size", "root")).alias(f"c{k}") for k, order in enumerate(
-            (first, [F.xxhash64("node", "key", salt).alias("h")], [F.xxhash64("key", "node", salt).alias("h")]))]
-        stars = (pool.groupBy("key").agg(*picks, F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("n"))
-                 .where("least <> most" + (" and n > 2" if turn else "")).select("key", F.array_distinct(F.array(*[
-                     F.struct(F.col(f"c{k}.node").alias("node"), F.col(f"c{k}.size").alias("size"), F.col(f"c{k}.root").alias("root"))
-                     for k in range(len(picks))])).alias("centres")))
-        fit = F.filter("centres", lambda c: (c["root"] != F.col("root")) & (
-            100 * F.least("size", c["size"]) >= THRESHOLD_PCT * F.greatest("size", c["size"])))
-        pairs = (pool.join(stars, "key").select("node", F.explode(F.transform(fit, lambda c: c["node"])).alias("centre"))
-                 .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct())
-        found, at = materialize(_verified(pairs, sets), "minhash-links")
+        order = [F.xxhash64(F.lit(turn), "node").alias("h")] if turn else [F.col("weight")]
+        stars = (pool.groupBy("key").agg(F.max(F.struct(*order, "node", "size", "root")).alias("c"), F.min("root").alias("least"), F.max("root").alias("most"))
+                 .where("least <> most").select("key", F.col("c.node").alias("centre"), F.col("c.size").alias("centre_size"), F.col("c.root").alias("centre_root")))
+        pairs = (pool.join(stars, "key").where((F.col("root") != F.col("centre_root")) & (
+            100 * F.least("size", "centre_size") >= THRESHOLD_PCT * F.greatest("size", "centre_size"))).select("node", "centre").distinct())
+        if tried is not None:
+            pairs = pairs.join(tried, ["node", "centre"], "left_anti")
+        pairs, pairs_at = materialize(pairs, "minhash-pairs")
+        found, at = materialize(_verified(pairs, sets, sketches), "minhash-links")
         more = found.limit(1).count()
         if more:
             roots = _joined(roots, found)
         drop_scratch(spark, at)
+        folders.append(pairs_at)
         if not more:
+            drop_scratch(spark, *folders)
             return roots
+        both = pairs.union(pairs.select("centre", "node"))
+        tried = both if tried is None else tried.union(both)
         turn += 1
 
 
@@ -202,13 +200,14 @@ def _joined(roots: DataFrame | None, found: DataFrame) -> DataFrame:
     return components(reduce(DataFrame.union, known, found))
 
 
-def _settled(unsettled: DataFrame, sets: DataFrame, roots: DataFrame | None) -> DataFrame | None:
+def _settled(unsettled: DataFrame, sets: DataFrame, sketches: DataFrame, roots: DataFrame | None) -> DataFrame | None:
     """``roots`` with every link between different components of the ``unsettled`` nodes (node).
 
     Exact, by prefixes: shingles are ordered from rare to frequent. Of two sets
     that share at least c of n and m shingles, the first shared one is among the
     first n - c + 1 and m - c + 1. For each shingle only pairs with a node
-    outside its commonest component are formed.
+    outside its commonest component are formed; those of a frequent shingle in several
+    tasks.
     """
     spark = sets.sparkSession
     each = sets.join(unsettled, "node").select("node", F.size("shingles").cast("long").alias("size"), F.explode("shingles").alias("token"))
@@ -221,26 +220,28 @@ def _settled(unsettled: DataFrame, sets: DataFrame, roots: DataFrame | None) ->
               .select("node", "size", "root", (F.col("alone") + F.col("pos")).alias("pos"), F.col("of.token").alias("token")))
     prefix, prefix_at = materialize(prefix, "minhash-prefix")
     mixed = (prefix.groupBy("token", "root").agg(F.count("*").alias("n")).groupBy("token")
-             .agg(F.max(F.struct("n", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1")
-             .select("token", F.col("main.root").alias("main")))
-    open_, open_at = materialize(prefix.join(mixed, "token"), "minhash-open")
-    one = open_.where("root <> main").select("token", *[F.col(c).alias(f"{c}_1") for c in ("node", "size", "root", "pos")])
+             .agg(F.max(F.struct("n", "root")).alias("main"), F.count("*").alias("roots"), F.ceil(F.sum("n") / HOT).alias("parts")).where("roots > 1")
+             .select("token", F.col("main.root").alias("main"), "parts"))
+    open_, open_at = materialize(prefix.join(mixed, "token").withColumn("part", F.pmod(F.xxhash64("node"), "parts")), "minhash-open")
+    one = open_.where("root <> main").select("token", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
+                                             *[F.col(c).alias(f"{c}_1") for c in ("node", "size", "root", "pos")])
     sum_ = F.col("size") + F.col("size_1")
     need = F.ceil(THRESHOLD_PCT * sum_ / (100 + THRESHOLD_PCT) - 1e-6)     # shingles that a link shares at least
-    pairs = (open_.join(one, "token").where((F.col("root") != F.col("root_1")) & (F.col("pos") + need <= F.col("size"))
+    pairs = (open_.join(one, ["token", "part"]).where((F.col("root") != F.col("root_1")) & (F.col("pos") + need <= F.col("size"))
                                             & (F.col("pos_1") + need <= F.col("size_1")))
-             .select(F.least("node", "node_1").alias("a"), F.greatest("node", "node_1").alias("b")).distinct())
-    found, found_at = materialize(_verified(pairs, sets), "minhash-links")
+             .select(F.least("node", "node_1").alias("node"), F.greatest("node", "node_1").alias("centre")).distinct())
+    pairs, pairs_at = materialize(pairs, "minhash-pairs")
+    found, found_at = materialize(_verified(pairs, sets, sketches), "minhash-links")
     if found.limit(1).count():
         roots = _joined(roots, found)
-    drop_scratch(spark, prefix_at, open_at, found_at)
+    drop_scratch(spark, prefix_at, open_at, pairs_at, found_at)
     return roots
 
 
-def _mixed(members: DataFrame, roots: DataFrame | None, most: int) -> tuple[DataFrame, str]:
-    """The nodes (node) in buckets of several components and of more than ``most`` members, and the folder that holds them."""
+def _mixed(members: DataFrame, roots: DataFrame | None) -> tuple[DataFrame, str]:
+    """The nodes (node) in buckets of several components and more than two members, and the folder that holds them."""
     keys = (_rooted(members, roots).groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("n"))
-            .where(f"a <> b and n > {most}").select("key"))
+            .where("a <> b and n > 2").select("key"))
     return materialize(members.join(keys, "key").select("node").distinct(), "minhash-unsettled")
 
 
@@ -260,25 +261,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     signed, _ = materialize(signatures(texts), "minhash")
     nodes = (signed.where("node is not null").groupBy("node")
-             .agg(F.min("doc_id").alias("first_doc"), F.first("n_shingles").alias("size"), F.first("keys").alias("keys")))
+             .agg(F.min("doc_id").alias("first_doc"), F.first("n_shingles").alias("size"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch")))
     nodes, _ = materialize(nodes, "minhash-nodes")
     rows = nodes.select("node", "size", F.explode("keys").alias("key"))
     members, members_at = _members(rows, "minhash-members")
-    wanted = members.select("node").distinct().join(nodes, "node").select("node", F.col("first_doc").alias("doc_id"))
-    sets, sets_at = materialize(texts.join(wanted, "doc_id").select("node", "text")
+    wanted = members.select("node").distinct().join(nodes, "node").select("node", F.col("first_doc").alias("doc_id"), "size", "sketch")
+    sketches, sketches_at = materialize(wanted, "minhash-sketches")
+    sets, sets_at = materialize(texts.join(sketches.select("node", "doc_id"), "doc_id").select("node", "text")
                                 .mapInArrow(_sets, "node long, shingles array<long>"), "minhash-sets")
-    roots = _linked(members, sets)
-    crowds, crowds_at = _mixed(members, roots, CROWD)
-    if crowds.limit(1).count():
-        finer = (sets.join(crowds, "node").mapInArrow(_fine, "node long, size long, keys array<long>")
-                 .select("node", "size", F.explode("keys").alias("key")))
-        fine, fine_at = _members(finer, "minhash-fine")
-        roots = _linked(fine, sets, roots)
-        drop_scratch(spark, fine_at)
-    unsettled, unsettled_at = _mixed(members, roots, 2)
+    roots = _linked(members, sets, sketches)
+    unsettled, unsettled_at = _mixed(members, roots)
     if unsettled.limit(1).count():
-        roots = _settled(unsettled, sets, roots)
-    drop_scratch(spark, members_at, crowds_at, unsettled_at, sets_at)
+        roots = _settled(unsettled, sets, sketches, roots)
+    drop_scratch(spark, members_at, unsettled_at, sketches_at, sets_at)
     named = nodes.select("node", F.col("first_doc").alias("component"))
     if roots is not None:
         placed = nodes.select("node", "first_doc").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -296,13 +291,14 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     the text, too, one stays. Rows with a null id are one such id.
     """
     spark = docs.sparkSession
-    ids = (near_duplicates(docs, id_col, text_col).groupBy(F.col("doc_id").alias("_id"))
+    own = f"id_{uuid.uuid4().hex}"              # no column of the documents
+    ids = (near_duplicates(docs, id_col, text_col).groupBy(F.col("doc_id").alias(own))
            .agg(F.max("kept").alias("kept"), F.count("*").alias("rows")))
     ids, at = materialize(ids, "minhash-ids")
-    gone, _ = materialize(ids.where("not kept").select("_id"), "minhash-gone")
-    twice, _ = materialize(ids.where("kept and rows > 1").select("_id"), "minhash-twice")
+    gone, _ = materialize(ids.where("not kept").select(own), "minhash-gone")
+    twice, _ = materialize(ids.where("kept and rows > 1").select(own), "minhash-twice")
     drop_scratch(spark, at)
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("_id"))
+    same = F.col(id_col).cast("long").eqNullSafe(F.col(own))
     left = docs.join(joins.sized(gone), same, "left_anti")
     if not twice.limit(1).count():
         return left

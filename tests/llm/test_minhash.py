@@ -131,6 +131,54 @@ def test_exact_join_of_unsettled_sets(spark):
                 root[max(p, q)] = min(p, q)
     sets = spark.createDataFrame(rows, "node long, shingles array<long>").repartition(3)
     start = spark.createDataFrame([(k, find(k)) for k in range(0, 100)], "node long, root long")
+    sketches = sets.select("node", F.size("shingles").cast("long").alias("size"), F.lit(bytes(128)).alias("sketch"))
     for roots in (None, start):
-        got = {x["node"]: x["root"] for x in minhash._settled(sets.select("node"), sets, roots).collect()}
+        got = {x["node"]: x["root"] for x in minhash._settled(sets.select("node"), sets, sketches, roots).collect()}
         assert {k: got.get(k, k) for k in root} == {k: find(k) for k in root}
+
+
+def test_hot_shingles_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "HOT", 20)
+    test_exact_join_of_unsettled_sets(spark)
+
+
+def test_one_group_of_near_copies(spark, monkeypatch):
+    """A group in which all texts are alike: few pairs a text, in several tasks, and all its links."""
+    seen = []
+    verified = minhash._verified
+    monkeypatch.setattr(minhash, "STAR", 50)
+    monkeypatch.setattr(minhash, "_verified", lambda pairs, *a: seen.append(pairs.count()) or verified(pairs, *a))
+    r = random.Random(12)
+    base = [f"w{r.randrange(3000)}" for _ in range(120)]
+    rows = []
+    for i in range(1500):
+        text = list(base)
+        for k in range(r.randrange(3)):
+            text[r.randrange(120)] = f"n{i}x{k}"
+        rows.append((i, " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {x["doc_id"]: x["component_id"] for x in minhash.near_duplicates(docs).collect()}
+    assert got == {i: c for i, (_, c) in brute(rows).items()}
+    assert sum(seen) < 12 * len(rows)
+
+
+def test_sketches_rule_out_only_what_differs(spark):
+    r = random.Random(13)
+    rows = []
+    for g in range(12):
+        base = [f"g{g}w{k}" for k in range(700)]
+        for c, edits in enumerate((0, 8, 16, 24, 60)):
+            text = list(base)
+            for k in r.sample(range(700), edits):
+                text[k] = f"e{g}x{c}x{k}"
+            rows.append((5 * g + c, " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {x["doc_id"]: x["component_id"] for x in minhash.near_duplicates(docs).collect()}
+    assert got == {i: c for i, (_, c) in brute(rows).items()}
+
+
+def test_columns_of_any_name_stay(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f", 7, "x", 1), (2, "a b c d e f", 8, "y", 2), (2, "a b c d e f", 8, "y", 2), (3, None, 9, "z", 3)],
+                                 "doc_id long, text string, _id int, kept string, rows int")
+    got = minhash.deduplicated(docs)
+    assert got.columns == docs.columns and sorted(map(tuple, got.collect())) == [(1, "a b c d e f", 7, "x", 1), (3, None, 9, "z", 3)]
