@@ -33,11 +33,14 @@ Nothing here depends on physical row order, so unsorted input is fine.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import uuid
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gapwise.functions.scalars import epoch_millis, floor_div, safe_div
-from gapwise.runtime import materialize
+from gapwise.runtime import drop_scratch, materialize
 
 DEFAULT_GAP = 15 * 60  # seconds; a gap of exactly this long starts a new session
 
@@ -51,6 +54,11 @@ FEATURES = [
 ]
 
 
+def _own_name() -> str:
+    """A column name that no input has."""
+    return f"x{uuid.uuid4().hex}"
+
+
 def _check_gap(gap: int) -> int:
     gap = int(gap)
     if gap <= 0:
@@ -119,18 +127,26 @@ def session_features(df: DataFrame, gap: int = DEFAULT_GAP, key: str = "ip", tim
     """Input columns + the six session features (``df.transform(session_features)``)."""
     gap = _check_gap(gap)
     rows = add_click_timestamp(df, time_col, epoch=epoch)
-    info = stitch_chunks(session_chunks(rows, gap, key), gap, key).select(
-        key, "_chunk", "previous_sessions", "total_sessions", "session_start",
-        "current_session_duration", "avg_previous_sessions_duration")
-    info = info.withColumnRenamed(key, "_k").withColumnRenamed("_chunk", "_c")
-    rows = rows.withColumn("_chunk", floor_div(F.col("click_timestamp"), gap))
-    # Null-safe keys: a click with a null key or time (a contract violation)
-    # still comes out, with the features of its own null group.
-    on = F.col(key).eqNullSafe(F.col("_k")) & F.col("_chunk").eqNullSafe(F.col("_c"))
-    out = rows.join(info, on, "inner")
-    till = (F.col("click_timestamp") - F.col("session_start")).alias("current_session_duration_till_now")
-    return out.select(*[F.col(c) for c in df.columns], "click_timestamp", "previous_sessions", "total_sessions",
-                      till, "current_session_duration", "avg_previous_sessions_duration")
+    return _with_chunks(df, rows, stitch_chunks(session_chunks(rows, gap, key), gap, key), gap, key)
+
+
+def _with_chunks(df: DataFrame, rows: DataFrame, chunks: DataFrame, gap: int, key: str) -> DataFrame:
+    """Columns of ``df`` (those called like a feature are replaced) and the features, from a stitched chunk table.
+
+    Null-safe keys: a click with a null key or time (a contract violation) still
+    comes out, with the features of its own null group.
+    """
+    k, c, at = _own_name(), _own_name(), _own_name()
+    wanted = ["previous_sessions", "total_sessions", "session_start", "current_session_duration", "avg_previous_sessions_duration"]
+    info = chunks.select(F.col(key).alias(k), F.col("_chunk").alias(c), *[F.col(x).alias(k + x) for x in wanted])
+    out = rows.withColumn(at, floor_div(F.col("click_timestamp"), gap)).join(
+        info, F.col(key).eqNullSafe(F.col(k)) & F.col(at).eqNullSafe(F.col(c)), "inner")
+
+    def of(name: str) -> Column:
+        return F.col(k + name).alias(name)
+    till = (F.col("click_timestamp") - F.col(k + "session_start")).alias("current_session_duration_till_now")
+    return out.select(*[F.col(x) for x in df.columns if x not in FEATURES], "click_timestamp", of("previous_sessions"), of("total_sessions"),
+                      till, of("current_session_duration"), of("avg_previous_sessions_duration"))
 
 
 def session_table(df: DataFrame, gap: int = DEFAULT_GAP, key: str = "ip", time_col: str = "click_time",
@@ -141,16 +157,87 @@ def session_table(df: DataFrame, gap: int = DEFAULT_GAP, key: str = "ip", time_c
     small even when one key owns a large share of the clicks.
     """
     rows = add_click_timestamp(df, time_col, epoch=epoch)
-    st = stitch_chunks(session_chunks(rows, gap, key, label=label), gap, key)
+    return table_of_chunks(stitch_chunks(session_chunks(rows, gap, key, label=label), gap, key), key)
+
+
+def table_of_chunks(st: DataFrame, key: str = "ip") -> DataFrame:
+    """The session table of a stitched chunk table."""
     aggs = [F.min("session_start").alias("session_start"), F.max("_last").alias("session_end"),
             F.sum("_n").alias("n_clicks"), F.max("current_session_duration").alias("current_session_duration"),
             F.max("total_sessions").alias("total_sessions"),
             F.max("avg_previous_sessions_duration").alias("avg_previous_sessions_duration")]
-    if label is not None:
+    if "_pos" in st.columns:
         aggs.append(F.sum("_pos").alias("n_attributed"))
     return st.groupBy(key, "previous_sessions").agg(*aggs)
 
 
+@dataclass
+class Sessions:
+    """Clicks and their stitched chunk table, which is built and written once for all that is asked of it."""
+
+    clicks: DataFrame
+    rows: DataFrame
+    chunks: DataFrame
+    folder: str
+    gap: int
+    key: str
+
+    def features(self) -> DataFrame:
+        """Input columns + the six session features."""
+        return _with_chunks(self.clicks, self.rows, self.chunks, self.gap, self.key)
+
+    def table(self) -> DataFrame:
+        """One row per (key, session)."""
+        return table_of_chunks(self.chunks, self.key)
+
+    def with_means(self) -> DataFrame:
+        """Input columns + the features, the mean of earlier sessions looked up in the session table.
+
+        The lookup happens chunk by chunk; clicks are joined once.
+        """
+        return _with_chunks(self.clicks, self.rows, join_session_means(self.chunks, self.table(), self.key), self.gap, self.key)
+
+    def release(self) -> None:
+        drop_scratch(self.clicks.sparkSession, self.folder)
+
+
+def sessionize(df: DataFrame, gap: int = DEFAULT_GAP, key: str = "ip", time_col: str = "click_time", label: str | None = None,
+               epoch=None) -> Sessions:
+    """Build the chunk table of ``df`` once; features, session table and session means are read off it."""
+    rows = add_click_timestamp(df, time_col, epoch=epoch)
+    chunks, folder = materialize(stitch_chunks(session_chunks(rows, gap, key, label=label), gap, key), "chunks")
+    return Sessions(df, rows, chunks, folder, gap, key)
+
+
+def merge_chunks(*tables: DataFrame, key: str = "ip") -> DataFrame:
+    """The chunk table of all clicks from chunk tables of parts of them (same gap and epoch), however the parts were cut."""
+    both = tables[0]
+    for more in tables[1:]:
+        both = both.unionByName(more)
+    least = [F.min(c).alias(c) for c in ("_first", "_tmin") if c in both.columns]
+    most = [F.max(c).alias(c) for c in ("_last", "_tmax") if c in both.columns]
+    return both.groupBy(key, "_chunk").agg(*least, *most, *[F.sum(c).cast("long").alias(c) for c in ("_n", "_pos") if c in both.columns])
+
+
+def append_clicks(store: DataFrame, clicks: DataFrame, epoch, gap: int = DEFAULT_GAP, key: str = "ip", time_col: str = "click_time",
+                  label: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(stitched chunk table with the new clicks in it, features of the new clicks).
+
+    ``store`` is the stitched chunk table of the clicks so far, with the same gap,
+    label and fixed ``epoch``. Only chunks of keys with new clicks are merged and
+    stitched again; earlier clicks are not read. The new clicks' features are those
+    of the whole log. Clicks may be late: they need not come after those so far.
+    """
+    rows = add_click_timestamp(clicks, time_col, epoch=epoch)
+    new = session_chunks(rows, gap, key, label=label)
+    k = _own_name()
+    same = F.col(key).eqNullSafe(F.col(k))
+    touched = clicks.select(F.col(key).alias(k)).distinct()
+    again = stitch_chunks(merge_chunks(store.join(touched, same, "left_semi").select(*new.columns), new, key=key), gap, key)
+    whole = store.join(touched, same, "left_anti").unionByName(again)
+    return whole, _with_chunks(clicks, rows, again, gap, key)
+
+
 GAP_BLOCK_SECONDS = 3600  # block width of the two-level previous-second lookup
 
 
@@ -190,8 +277,10 @@ def gap_to_previous(df: DataFrame, key: str = "ip", ts: str = "click_timestamp",
     if order is None:
         order = ("click_time", "click_id")
         if "click_id" not in cols:
-            order = (*cols, "_row")
-            df, _ = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "gap-rows")
+            row = _own_name()
+            order = (*cols, row)
+            df, _ = materialize(df.withColumn(row, F.monotonically_increasing_id()), "gap-rows")
+    k = _own_name()
     first = F.struct(*[F.col(c) for c in order])
     block = floor_div(F.col(ts), GAP_BLOCK_SECONDS)
     secs = df.groupBy(F.col(key), F.col(ts)).agg(F.min(first).alias("_first_key")).withColumn("_b", block)
@@ -201,17 +290,18 @@ def gap_to_previous(df: DataFrame, key: str = "ip", ts: str = "click_timestamp",
     blocks = blocks.select(F.col(key).alias("_bk"), F.col("_b").alias("_bb"), "_prev_block_last")
     secs = (secs.withColumn("_prev", prev_in_block)
                 .join(blocks, F.col(key).eqNullSafe(F.col("_bk")) & F.col("_b").eqNullSafe(F.col("_bb")), "inner")
-                .select(F.col(key).alias("_k"), F.col(ts).alias("_t"), "_first_key",
+                .select(F.col(key).alias(k), F.col(ts).alias(k + "t"), F.col("_first_key").alias(k + "first"),
                         F.coalesce(F.col(ts) - F.coalesce("_prev", "_prev_block_last"),
-                                   F.lit(0).cast("long")).alias("_gap")))
-    joined = df.join(secs, F.col(key).eqNullSafe(F.col("_k")) & F.col(ts).eqNullSafe(F.col("_t")), "inner")
+                                   F.lit(0).cast("long")).alias(k + "gap")))
+    joined = df.join(secs, F.col(key).eqNullSafe(F.col(k)) & F.col(ts).eqNullSafe(F.col(k + "t")), "inner")
     return joined.select(*[F.col(c) for c in cols],
-                         F.when(first.eqNullSafe(F.col("_first_key")), F.col("_gap")).otherwise(F.lit(0).cast("long")).alias(out))
+                         F.when(first.eqNullSafe(F.col(k + "first")), F.col(k + "gap")).otherwise(F.lit(0).cast("long")).alias(out))
 
 
 def join_session_means(clicks: DataFrame, table: DataFrame, key: str = "ip", session: str = "previous_sessions",
                        out: str = "avg_previous_sessions_duration") -> DataFrame:
     """Clicks with the mean length of their key's earlier sessions, looked up in :func:`session_table`."""
-    means = table.select(F.col(key).alias("_k"), F.col(session).alias("_s"), out)
-    return (clicks.drop(out).join(means, F.col(key).eqNullSafe(F.col("_k")) & (F.col(session) == F.col("_s")), "left")
-            .drop("_k", "_s"))
+    k = _own_name()
+    means = table.select(F.col(key).alias(k), F.col(session).alias(k + "s"), out)
+    return (clicks.drop(out).join(means, F.col(key).eqNullSafe(F.col(k)) & (F.col(session) == F.col(k + "s")), "left")
+            .drop(k, k + "s"))

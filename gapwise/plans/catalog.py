@@ -192,6 +192,36 @@ def q_contract_violations(spark, sf):
     return contracts.violations(clicks(spark, sf), contracts.TRAIN, rule)
 
 
+def q_observed_violations(spark, sf):
+    """The same checks, counted while the session features are written; nothing is read for them."""
+    rule = {"label_matches_attributed_time": F.col("is_attributed") == F.col("attributed_time").isNotNull()}
+    watch = contracts.Watch(clicks(spark, sf), contracts.TRAIN, rule)
+    io.write_parquet(watch.df, scratch_dir(spark, "observed"))
+    return spark.createDataFrame(watch.counts(), contracts.VIOLATIONS)
+
+
+def q_checked_features(spark, sf):
+    """Session features with a contract on the clicks and one on the features, both checked as the result is written."""
+    return contracts.checked(clicks(spark, sf), lambda d: sessions.session_features(d, gap=GAP_15_MIN), contracts.CLICK_EVENTS,
+                             contracts.merge(contracts.CLICK_EVENTS, contracts.EXTENDED))
+
+
+def q_csv_rejects(spark, sf):
+    """Events through CSV with spoilt values in every 40th line: good rows, and for rejected lines their event and the reason."""
+    ev = io.read_table(spark, sf, "events")
+    kind = F.col("event_id") % 160
+    text = ev.select(
+        F.when(kind == 0, F.concat(F.lit("no. "), F.col("event_id").cast("string"))).otherwise(F.col("event_id").cast("string")).alias("event_id"),
+        F.when(kind == 40, "yesterday").otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")).alias("ts"),
+        F.when(kind != 80, F.col("user_id").cast("string")).alias("user_id"), "event_type",
+        F.when(kind == 120, "much").otherwise(F.col("value").cast("string")).alias("value"), "props")
+    path = io.write_csv(text, scratch_dir(spark, "csv"))
+    found = io.ingest_csv(spark, path, EVENTS_CONTRACT, scratch_dir(spark, "ingested"))
+    good = found.good.withColumn("reason", F.lit(None).cast("string"))
+    bad = found.rejected.select(F.regexp_extract("line", "[0-9]+", 0).cast("long").alias("event_id"), "reason")
+    return good.unionByName(bad, allowMissingColumns=True).withColumn("n_rejected", F.lit(found.n_rejected))
+
+
 def q_reorder_columns(spark, sf):
     return ordering.move_last(clicks(spark, sf), ["attributed_time", "is_attributed"])
 
@@ -262,8 +292,40 @@ def q_session_cumulative(spark, sf):
 
 
 def q_session_avg_join(spark, sf):
-    f = features(spark, sf, GAP_6_H).select("click_id", "ip", "previous_sessions")
-    return sessions.join_session_means(f, sessions.session_table(clicks(spark, sf), gap=GAP_6_H))
+    """Features and session table from one chunk table; the table's means are looked up for every click."""
+    return sessions.sessionize(clicks(spark, sf), gap=GAP_6_H).with_means().select(
+        "click_id", "ip", "previous_sessions", "avg_previous_sessions_duration")
+
+
+def _store(spark, sf, cut):
+    """The log's earliest time, the chunk table of the clicks before ``cut`` (a share of the time span) and the clicks from there on."""
+    c = clicks(spark, sf)
+    lo, hi = c.agg(F.min("click_time"), F.max("click_time")).first()
+    if lo is None:
+        return None, sessions.sessionize(c, gap=GAP_6_H, label="is_attributed").chunks, c
+    day = (lo + (hi - lo) * cut).replace(hour=0, minute=0, second=0, microsecond=0)
+    before = c.where(F.col("click_time") < F.lit(day)) if day > lo else c.where(F.col("click_time") < F.lit(lo))
+    store = sessions.sessionize(before, gap=GAP_6_H, label="is_attributed", epoch=lo).chunks
+    return lo, store, c.where(F.col("click_time") >= F.lit(max(day, lo)))
+
+
+def q_appended_sessions(spark, sf):
+    """The session table of earlier days, to which the last days are appended: that of the whole log."""
+    epoch, store, late = _store(spark, sf, 0.9)
+    whole, _ = sessions.append_clicks(store, late, epoch, gap=GAP_6_H, label="is_attributed")
+    return sessions.table_of_chunks(whole)
+
+
+def q_appended_features(spark, sf):
+    """Features of all clicks when the last two days come one after the other; each day's are taken as it is appended."""
+    epoch, store, late = _store(spark, sf, 0.9)
+    day = F.date_trunc("DAY", "click_time")
+    first = late.agg(F.min(day)).scalar()
+    one, two = late.where(day == first), late.where(day > first)
+    store, _ = sessions.append_clicks(store, one, epoch, gap=GAP_6_H, label="is_attributed")
+    _, features_two = sessions.append_clicks(store, two, epoch, gap=GAP_6_H, label="is_attributed")
+    return features_two.select("click_id", "ip", "click_timestamp", "previous_sessions", "total_sessions", "current_session_duration_till_now",
+                               "current_session_duration", "avg_previous_sessions_duration")
 
 
 def q_split_is_future(spark, sf):
@@ -398,11 +460,10 @@ def q_csv_class_weights(spark, sf):
     return spark.read.schema("quality int, count long, weight double").option("header", True).csv(path)
 
 
-def q_pipeline_features(spark, sf):
-    """Encoder fitted on the train side, session features of the test side alone, assembled and taken apart again."""
+def _fitted_pipeline(spark, sf):
+    """Feature names, a pipeline with the encoder fitted on the train side, and the test side."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.functions import vector_to_array
 
     from gapwise.plans.featurizer import SessionFeaturizer
 
@@ -411,10 +472,30 @@ def q_pipeline_features(spark, sf):
     model = Pipeline(stages=[
         encoders.RareOrdinalEncoder(inputCols=["channel"], outputCols=["channel_code"], minFrequency=ENCODER_MIN_FREQUENCY),
         SessionFeaturizer(gap=GAP_6_H), VectorAssembler(inputCols=names, outputCol="features")]).fit(train)
+    return names, model, test
+
+
+def q_pipeline_features(spark, sf):
+    """Encoder fitted on the train side, session features of the test side alone, assembled and taken apart again."""
+    from pyspark.ml.functions import vector_to_array
+
+    names, model, test = _fitted_pipeline(spark, sf)
     parts = vector_to_array("features")
     return model.transform(test).select("click_id", *[parts[i].alias(n) for i, n in enumerate(names)])
 
 
+def q_pipeline_reloaded(spark, sf):
+    """The fitted pipeline of ``pipeline_features``, saved and loaded again."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.functions import vector_to_array
+
+    names, model, test = _fitted_pipeline(spark, sf)
+    path = scratch_dir(spark, "pipeline")
+    model.save(path)
+    parts = vector_to_array("features")
+    return PipelineModel.load(path).transform(test).select("click_id", *[parts[i].alias(n) for i, n in enumerate(names)])
+
+
 def q_union_tagged(spark, sf):
     return ordering.union_tagged({t: profile.row_count(io.read_table(spark, sf, t)) for t in TABLES}, tag="table")
 
@@ -667,6 +748,24 @@ ORACLE |= {
                CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg FROM r GROUP BY against, score""",
 }
 
+ORACLE |= {
+    "observed_violations": ORACLE["contract_violations"],
+    "checked_features": ORACLE["session_features"],
+    "pipeline_reloaded": ORACLE["pipeline_features"],
+    "appended_sessions": ORACLE["session_table"],
+    "appended_features": _features_sql(GAP_6_H) + """,
+        m AS (SELECT min(click_time) AS lo, max(click_time) AS hi FROM c),
+        d AS (SELECT greatest(lo, date_trunc('day', lo + to_microseconds(CAST(round(epoch_us(hi) - epoch_us(lo)) * 0.9 AS BIGINT)))) AS cut FROM m),
+        o AS (SELECT min(date_trunc('day', click_time)) AS first FROM c, d WHERE click_time >= cut)
+        SELECT click_id, ip, click_timestamp, previous_sessions, total_sessions, current_session_duration_till_now, current_session_duration,
+          avg_previous_sessions_duration FROM f, o WHERE date_trunc('day', click_time) > o.first""",
+    "csv_rejects": """WITH r AS (SELECT *, CASE event_id % 160 WHEN 0 THEN 'malformed' WHEN 40 THEN 'time: ts' WHEN 80 THEN 'null: user_id'
+            WHEN 120 THEN 'malformed' END AS reason FROM events)
+        SELECT event_id, CASE WHEN reason IS NULL THEN ts END AS ts, CASE WHEN reason IS NULL THEN user_id END AS user_id,
+          CASE WHEN reason IS NULL THEN event_type END AS event_type, CASE WHEN reason IS NULL THEN value END AS value,
+          CASE WHEN reason IS NULL THEN props END AS props, reason, count(reason) OVER () AS n_rejected FROM r""",
+}
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }
