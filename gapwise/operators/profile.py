@@ -14,8 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gapwise.functions.scalars import epoch_micros, floor_div, safe_div
-from gapwise.operators.selection import kth_values
+from gapwise.functions.scalars import epoch_micros, safe_div
 
 
 def row_count(df: DataFrame, out: str = "n_rows") -> DataFrame:
@@ -90,7 +89,8 @@ def profile_columns(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 DESCRIBE_STATS = ["count", "null_count", "mean", "std", "min", "25%", "50%", "75%", "max"]
 DESCRIBE_QUANTILES = {"25%": 0.25, "50%": 0.5, "75%": 0.75}
 
-_DIGIT_BITS = 16
+_ACCURACY = 10_000        # a sketch's rank is wrong by a part in so many, at most
+_GRID = 2_000             # values read off the sketch of a bracket
 
 
 def _kind(df: DataFrame, c: str) -> str:
@@ -121,62 +121,63 @@ def exact_quantiles(df: DataFrame, cols: list[str], qs: list[float]) -> dict[tup
     """Exact nearest-rank quantiles of several number, time or boolean columns; null for a column without values."""
     keys = df.select(*[_numeric(df, c).alias(f"x{i}") for i, c in enumerate(cols)]).persist()
     try:
-        bounds = keys.agg(*[x for i in range(len(cols)) for x in (F.count(f"x{i}"), F.min(f"x{i}"), F.max(f"x{i}"))]).first()
-        stats = {f"x{i}": tuple(bounds[3 * i: 3 * i + 3]) for i in range(len(cols))}
-        kinds = {f"x{i}": _kind(df, c) for i, c in enumerate(cols)}
-        found = _quantiles(keys, kinds, stats, qs)
-        return {(c, q): found[f"x{i}", q] for i, c in enumerate(cols) for q in qs}
+        names = [f"x{i}" for i in range(len(cols))]
+        row = keys.agg(*[x for c in names for x in (F.count(c), F.min(c), F.max(c), _brackets(c, qs))]).first()
+        found, _ = _quantiles(keys, {c: tuple(row[4 * i: 4 * i + 4]) for i, c in enumerate(names)}, qs)
+        return {(c, q): found[n, q] for n, c in zip(names, cols) for q in qs}
     finally:
         keys.unpersist()
 
 
-def _quantiles(keys: DataFrame, kinds: dict[str, str], stats: dict[str, tuple], qs: list[float]):
-    """(column, q) -> value. Whole numbers by digit histograms, doubles by ranges of their distinct values."""
-    out: dict[tuple[str, float], float | None] = {(c, q): None for c in kinds for q in qs}
-    ranks = {c: [nearest_rank(stats[c][0], q) for q in qs] for c in kinds if stats[c][0]}
-    for c, rs in ranks.items():
-        if kinds[c] == "float":
-            found = kth_values(keys.where(F.col(c).isNotNull()), c, [r + 1 for r in rs])
-            out |= {(c, q): float(v[0]) for q, v in zip(qs, found)}
-    whole = {c: rs for c, rs in ranks.items() if kinds[c] != "float"}
-    values = _digit_select(keys, {(c, r): stats[c][1:] for c, rs in whole.items() for r in rs})
-    out |= {(c, q): float(values[c, r]) for c, rs in whole.items() for q, r in zip(qs, rs)}
-    return out
+def _brackets(c: str, qs: list[float]) -> Column:
+    """Sketched values on both sides of each quantile, further from it than the sketch may be wrong."""
+    slack = 2 / _ACCURACY
+    return F.percentile_approx(c, [p for q in qs for p in (max(0.0, q - slack), min(1.0, q + slack))], _ACCURACY)
 
 
-def _digit_select(keys: DataFrame, targets: dict[tuple[str, int], tuple[int, int]]) -> dict[tuple[str, int], int]:
-    """The value at each (column, 0-based rank) of bigint columns; ``targets`` gives the column's least and largest value.
+def _nan_last(v):
+    return v != v, v
 
-    An interval that holds the value starts as the column's bounds. Each pass
-    cuts the intervals into at most 65,536 equal parts, counts the rows in
-    them (one hash aggregate for all columns) and keeps the part with the rank;
-    four passes suffice for 64 bits.
+
+def _quantiles(keys: DataFrame, stats: dict[str, tuple], qs: list[float], more: list[Column] | None = None) -> tuple[dict, dict]:
+    """(column, q) -> value, and the values of the aggregates ``more``, which share the first pass.
+
+    ``stats`` has (count, least, largest, brackets) of each column. A pass counts the
+    rows below, inside and at the ends of every bracket, which settles whether it holds the rank, and
+    sketches the values inside. Up to ``_GRID / 2`` of them the sketch is exact; else it gives the
+    next, hundreds of times narrower bracket. A bracket that turns out wrong,
+    as may happen with few rows, becomes the column's bounds.
     """
-    state = {t: [lo, hi, 0] for t, (lo, hi) in targets.items()}
-    while any(lo < hi for lo, hi, _ in state.values()):
-        probes = sorted({(c, lo, hi) for (c, _), (lo, hi, _) in state.items() if lo < hi})
-        items = []
-        for k, (c, lo, hi) in enumerate(probes):
-            width = -(-(hi - lo + 1) // (1 << _DIGIT_BITS))
-            x = F.col(c).cast("decimal(20,0)")            # a difference of two bigints may need more than 64 bits
-            part = F.floor((x - F.lit(lo).cast("decimal(20,0)")) / F.lit(width).cast("decimal(20,0)")).cast("long") \
-                if hi - lo >= 1 << 62 else floor_div(F.col(c) - F.lit(lo), width)
-            items.append(F.when(F.col(c).between(lo, hi), F.struct(F.lit(k).alias("k"), part.alias("part"))))
-        hits = keys.select(F.explode(F.filter(F.array(*items), lambda x: x.isNotNull())).alias("h"))
-        counts: dict[int, list[tuple[int, int]]] = {}
-        for r in hits.groupBy("h.k", "h.part").agg(F.count(F.lit(1)).alias("n")).collect():
-            counts.setdefault(r["k"], []).append((r["part"], r["n"]))
-        for (c, rank), own in state.items():
-            lo, hi, before = own
-            if lo == hi:
-                continue
-            width = -(-(hi - lo + 1) // (1 << _DIGIT_BITS))
-            for part, n in sorted(counts[probes.index((c, lo, hi))]):
-                if before + n > rank:
-                    own[:] = [lo + part * width, min(hi, lo + (part + 1) * width - 1), before]
-                    break
-                before += n
-    return {t: lo for t, (lo, _, _) in state.items()}
+    out: dict[tuple[str, float], float | None] = {(c, q): None for c in stats for q in qs}
+    open_ = {(c, q): (stats[c][3][2 * i], stats[c][3][2 * i + 1]) for c in stats if stats[c][0] for i, q in enumerate(qs)}
+    extra: dict = {}
+    while open_ or more:
+        brackets = sorted({(c, *b) for (c, _), b in open_.items()}, key=repr)
+        aggs = []
+        for c, lo, hi in brackets:
+            x, kind = F.col(c), keys.schema[c].dataType
+            lo, hi = F.lit(lo).cast(kind), F.lit(hi).cast(kind)
+            inside = (x >= lo) & (x <= hi)
+            grid = F.percentile_approx(F.when(inside, x), [i / _GRID for i in range(_GRID + 1)], _ACCURACY)
+            aggs += [F.count_if(x < lo), F.count_if(inside), F.count_if(x == lo), F.count_if(x == hi), F.min(F.when(inside & (x > lo), x)),
+                     F.max(F.when(inside & (x < hi), x)), grid]
+        row = keys.agg(*[a.alias(f"a{i}") for i, a in enumerate(aggs)], *(more or [])).first()
+        if more:
+            extra, more = {k: v for k, v in row.asDict().items() if k not in {f"a{i}" for i in range(len(aggs))}}, None
+        for (c, q), (lo, hi) in list(open_.items()):
+            at = 7 * brackets.index((c, lo, hi))
+            below, inside, least, most, following, preceding, grid = row[at: at + 7]
+            rank = nearest_rank(stats[c][0], q) - below
+            if not 0 <= rank < inside:
+                open_[c, q] = stats[c][1:3]
+            elif rank < least or rank >= inside - most or inside <= _GRID // 2:
+                out[c, q] = float(lo if rank < least else hi if rank >= inside - most else grid[math.floor((rank + 0.5) / inside * _GRID)])
+                del open_[c, q]
+            else:        # both ends are ruled out, so that the next bracket is narrower in any case
+                slack, mid = 2 + math.ceil(2 * _GRID / _ACCURACY), (rank + 1) / inside * _GRID
+                open_[c, q] = (max(following, grid[max(0, math.floor(mid) - slack)], key=_nan_last),
+                               min(preceding, grid[min(_GRID, math.ceil(mid) + slack)], key=_nan_last))
+    return out, extra
 
 
 def describe(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
@@ -187,7 +188,7 @@ def describe(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     nearest-rank (index round((n-1)·q) of the sorted non-null values). Text,
     dates and other types have count, null_count, min and max, as text.
 
-    The columns are read once and kept while the few aggregates run. The mean
+    The columns are read once and kept while two or three aggregates run. The mean
     and deviation of whole numbers come from exact decimal sums of the distances
     from the minimum; where 38 digits do not hold their squares, and for
     doubles, from Spark's running (overflow-safe) deviation.
@@ -196,9 +197,11 @@ def describe(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     kinds = {f"x{i}": _kind(df, c) for i, c in enumerate(cols)}
     keys = df.select(*[_numeric(df, c).alias(f"x{i}") for i, c in enumerate(cols)]).persist()
     try:
-        first = keys.agg(F.count(F.lit(1)), *[x for c in kinds for x in (F.count(c), F.min(c), F.max(c))]).first()
+        qs = list(DESCRIBE_QUANTILES.values())
+        first = keys.agg(F.count(F.lit(1)), *[x for c, k in kinds.items() for x in (
+            F.count(c), F.min(c), F.max(c), F.lit(None) if k == "text" else _brackets(c, qs))]).first()
         rows = first[0]
-        stats = {c: tuple(first[3 * i + 1: 3 * i + 4]) for i, c in enumerate(kinds)}
+        stats = {c: tuple(first[4 * i + 1: 4 * i + 5]) for i, c in enumerate(kinds)}
         aggs = []
         for c, kind in kinds.items():
             if kind == "text":
@@ -214,16 +217,14 @@ def describe(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
             exact = F.sqrt(F.try_divide(spread.cast("double"), (n * (n - 1)).cast("double")))
             aggs += [F.try_divide(F.sum(big).cast("double"), n.cast("double")).alias(f"mean_{c}"),
                      F.coalesce(exact, F.stddev_samp(d.cast("double"))).alias(f"std_{c}")]
-        moments = keys.agg(*aggs).first().asDict() if aggs else {}
-        numbers = {c: k for c, k in kinds.items() if k != "text"}
-        quant = _quantiles(keys, numbers, {c: stats[c] for c in numbers}, list(DESCRIBE_QUANTILES.values()))
+        quant, moments = _quantiles(keys, {c: stats[c] for c, k in kinds.items() if k != "text"}, qs, aggs)
     finally:
         keys.unpersist()
     table = []
     for stat in DESCRIBE_STATS:
         row: list = [stat]
         for c, kind in kinds.items():
-            n, lo, hi = stats[c]
+            n, lo, hi, _ = stats[c]
             value = {"count": n, "null_count": rows - n, "min": lo, "max": hi}.get(stat)
             if kind == "text":
                 row.append(None if value is None else str(value))

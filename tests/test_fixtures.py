@@ -241,6 +241,39 @@ def test_exact_quantiles_high_cardinality(spark):
             assert got[(c, q)] == float(vals[profile.nearest_rank(len(vals), q)]), (c, q)
 
 
+def test_exact_quantiles_of_many_rows_and_hot_values(spark):
+    """Brackets that hold more values than a sketch gives back, one value with a third of the rows, NaN and infinities."""
+    import random
+
+    r = random.Random(6)
+    wide = [r.gauss(0, 1) for _ in range(40_000)]
+    rows = [(7 if i % 3 == 0 else r.randrange(50), float("nan") if i % 50 == 1 else float("-inf") if i % 50 == 2 else round(x, 2), x, None if i % 4 else x)
+            for i, x in enumerate(wide)]
+    df = spark.createDataFrame(rows, "a int, b double, c double, d double").repartition(8)
+    qs = [0.0, 0.001, 0.25, 0.5, 0.75, 0.999, 1.0]
+    old, profile._GRID = profile._GRID, 20
+    try:
+        got = profile.exact_quantiles(df, ["a", "b", "c", "d"], qs)
+    finally:
+        profile._GRID = old
+    for k, c in enumerate("abcd"):
+        vals = sorted((x[k] for x in rows if x[k] is not None), key=lambda v: (v != v, v))
+        for q in qs:
+            want = float(vals[profile.nearest_rank(len(vals), q)])
+            assert got[c, q] == want or got[c, q] != got[c, q] and want != want, (c, q)
+    assert set(profile.exact_quantiles(df.limit(0), ["a"], [0.5]).values()) == {None}
+
+
+def test_describe_is_three_jobs(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    seen = []
+    first = DataFrame.first
+    monkeypatch.setattr(DataFrame, "first", lambda self: seen.append(1) or first(self))
+    profile.describe(spark.range(30_000).selectExpr("id % 977 AS a", "rand(3) AS b", "id * id AS c"))
+    assert len(seen) <= 3
+
+
 def test_epoch_micros_ignores_session_zone(spark):
     from gapwise.functions.scalars import epoch_micros
 
