@@ -259,15 +259,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    signed, _ = materialize(signatures(texts), "minhash")
+    signed, signed_at = materialize(signatures(texts), "minhash")
     nodes = (signed.where("node is not null").groupBy("node")
              .agg(F.min("doc_id").alias("first_doc"), F.first("n_shingles").alias("size"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch")))
-    nodes, _ = materialize(nodes, "minhash-nodes")
+    nodes, nodes_at = materialize(nodes, "minhash-nodes")
+    signed, _ = materialize(signed.select("doc_id", "n_shingles", "node"), "minhash-docs")
+    drop_scratch(spark, signed_at)
     rows = nodes.select("node", "size", F.explode("keys").alias("key"))
     members, members_at = _members(rows, "minhash-members")
     wanted = members.select("node").distinct().join(nodes, "node").select("node", F.col("first_doc").alias("doc_id"), "size", "sketch")
     sketches, sketches_at = materialize(wanted, "minhash-sketches")
-    sets, sets_at = materialize(texts.join(sketches.select("node", "doc_id"), "doc_id").select("node", "text")
+    nodes, _ = materialize(nodes.select("node", "first_doc"), "minhash-nodes")
+    drop_scratch(spark, nodes_at)
+    few = joins.sieved(texts, "doc_id", sketches)
+    sets, sets_at = materialize(few.join(sketches.select("node", "doc_id"), "doc_id").select("node", "text")
                                 .mapInArrow(_sets, "node long, shingles array<long>"), "minhash-sets")
     roots = _linked(members, sets, sketches)
     unsettled, unsettled_at = _mixed(members, roots)

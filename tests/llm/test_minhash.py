@@ -146,12 +146,12 @@ def test_one_group_of_near_copies(spark, monkeypatch):
     """A group in which all texts are alike: few pairs a text, in several tasks, and all its links."""
     seen = []
     verified = minhash._verified
-    monkeypatch.setattr(minhash, "STAR", 50)
+    monkeypatch.setattr(minhash, "STAR", 20)
     monkeypatch.setattr(minhash, "_verified", lambda pairs, *a: seen.append(pairs.count()) or verified(pairs, *a))
     r = random.Random(12)
     base = [f"w{r.randrange(3000)}" for _ in range(120)]
     rows = []
-    for i in range(1500):
+    for i in range(500):
         text = list(base)
         for k in range(r.randrange(3)):
             text[r.randrange(120)] = f"n{i}x{k}"
@@ -182,3 +182,13 @@ def test_columns_of_any_name_stay(spark):
                                  "doc_id long, text string, _id int, kept string, rows int")
     got = minhash.deduplicated(docs)
     assert got.columns == docs.columns and sorted(map(tuple, got.collect())) == [(1, "a b c d e f", 7, "x", 1), (3, None, 9, "z", 3)]
+
+
+def test_a_sieve_keeps_what_a_join_keeps(spark):
+    from gapwise.llm import joins
+
+    rows = spark.createDataFrame([(i if i % 9 else None, f"t{i}", i) for i in range(5000)], "doc_id long, text string, sieve_1 int").drop("sieve_1")
+    ids = spark.createDataFrame([(i,) for i in range(0, 5000, 7)] + [(-5,)], "doc_id long")
+    got = joins.sieved(rows, "doc_id", ids)
+    assert got.join(ids, "doc_id").count() == rows.join(ids, "doc_id").count() and got.count() < 800
+    assert joins.sieved(rows, "doc_id", ids.limit(0)).count() == 0
