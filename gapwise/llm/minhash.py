@@ -8,9 +8,10 @@ shingle sets are one node from then on. In every bucket of several components on
 node is the centre of a star: first the one with most company in its buckets, then
 one drawn by a hash of the node and the round alone, so that buckets of the same
 texts agree on it. Pairs of a centre and a member are verified on the full shingle sets,
-unless a sketch of long sets rules them out, and each pair once. Rounds go on until one
-links nothing. What still shares a bucket with another component is joined exactly,
-on the rarest shingles of each text.
+unless a sketch of long sets rules them out, and each pair once. Rounds go on while at
+least one in a hundred of their pairs is a link. What still shares a bucket with
+another component is joined exactly, on the rarest shingles of each text, which finds
+all at once what further rounds would find one by one.
 """
 
 from __future__ import annotations
@@ -37,6 +38,7 @@ ROWS = 4
 STAR = 256                 # members that are compared with their centre in one task, about
 SKETCHED = 256             # shingles of a set that its sketch stands for; smaller ones are always compared
 ALIKE = 64                 # of 128 bytes that sketches of linked sets share: 96 are expected at 75 %, with a deviation of 5
+WORTH = 100                # pairs of a round for each link that it must find to be followed by another
 HOT = 1000                 # rows of a shingle that are joined in one task, about
 
 @cache
@@ -168,7 +170,7 @@ def _rooted(members: DataFrame, roots: DataFrame | None) -> DataFrame:
 
 
 def _linked(members: DataFrame, sets: DataFrame, sketches: DataFrame) -> DataFrame | None:
-    """(node, root) of all nodes that rounds of stars link; None without a link."""
+    """(node, root) of all nodes that rounds of stars link; None without a link. :func:`_settled` finds the links that they leave."""
     spark, turn, roots, tried, folders = members.sparkSession, 0, None, None, []
     while True:
         pool = _rooted(members, roots)
@@ -181,12 +183,12 @@ def _linked(members: DataFrame, sets: DataFrame, sketches: DataFrame) -> DataFra
             pairs = pairs.join(tried, ["node", "centre"], "left_anti")
         pairs, pairs_at = materialize(pairs, "minhash-pairs")
         found, at = materialize(_verified(pairs, sets, sketches), "minhash-links")
-        more = found.limit(1).count()
-        if more:
+        links = found.count()
+        if links:
             roots = _joined(roots, found)
         drop_scratch(spark, at)
         folders.append(pairs_at)
-        if not more:
+        if WORTH * links <= pairs.count():
             drop_scratch(spark, *folders)
             return roots
         both = pairs.union(pairs.select("centre", "node"))
