@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from gapwise.llm.words import slices
 
 SAMPLE_DOCS = 400          # labelled documents read for each language, about
-SAMPLE_CHARS = 2000        # of one labelled document, so that no text fills a dictionary
+SAMPLE_CHARS = 2000        # of one labelled document, from a hashed place, so that no text fills a dictionary
 DICT_BYTES = 200_000
 PIECE = 1024               # characters compressed at once
 LEVEL = 7
@@ -30,8 +30,9 @@ def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     """A dictionary for each language from a bounded sample of the labelled rows.
 
     About SAMPLE_DOCS rows of each language are drawn by a hash of their id; of
-    each at most SAMPLE_CHARS characters are used and a language keeps
-    DICT_BYTES bytes. Rows with a null language, null text or no letter teach nothing.
+    each SAMPLE_CHARS characters from a place that the id's hash names are used (all of a
+    shorter text) and a language keeps DICT_BYTES bytes. Rows with a null language,
+    null text or no letter in what was drawn teach nothing.
     """
     rows = labelled.select(F.xxhash64(id_col).alias("h"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(
         F.col("lang").isNotNull() & F.col("text").isNotNull())
@@ -40,8 +41,10 @@ def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
         return {}
     most = 1 << 30
     share = F.create_map(*[x for lang, n in counts.items() for x in (F.lit(lang), F.lit(min(most, most * SAMPLE_DOCS // n)))])
-    drawn = (rows.where(F.pmod("h", F.lit(most)) < share[F.col("lang")]).where(F.col("text").rlike(_HAS_LETTER))
-             .select("lang", "h", F.lower(F.substring("text", 1, SAMPLE_CHARS)).alias("text")).collect())
+    place = F.pmod(F.xxhash64("h", F.lit(1)), F.greatest(F.lit(1), F.length("text") - SAMPLE_CHARS + 1)).cast("int") + 1
+    drawn = (rows.where(F.pmod("h", F.lit(most)) < share[F.col("lang")])
+             .select("lang", "h", F.lower(F.substring("text", place, F.lit(SAMPLE_CHARS))).alias("text")).where(F.col("text").rlike(_HAS_LETTER))
+             .collect())
     out: dict[str, list[bytes]] = {}
     size: dict[str, int] = {}
     for lang, _, text in sorted(set(map(tuple, drawn)), key=lambda r: (r[0], r[1])):

@@ -1,5 +1,6 @@
 """Spaced-seed decontamination against its SQL form and planted passages."""
 
+import itertools
 import random
 
 from conftest import SF_SMALL
@@ -54,3 +55,60 @@ def test_same_rows_by_shuffle(spark, monkeypatch):
 def test_no_python_in_the_plan(spark):
     plan = op7_decontaminate(spark, SF_SMALL)._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def brute(docs, items):
+    """(doc, item) -> (most equal words of a window, first such place) over all alignments."""
+    out = {}
+    for d, text in docs:
+        x = (text or "").lower().split()
+        for i, item in items:
+            y = (item or "").lower().split()
+            size = min(13, len(y))
+            for shift in range(-len(y) + 1, len(x)):
+                eq = [0 <= j + shift < len(x) and x[j + shift] == w for j, w in enumerate(y)]
+                for a in range(len(eq) - size + 1) if y else ():
+                    m = sum(eq[a: a + size])
+                    if m * 13 >= 10 * size and (-m, shift + a) < out.get((d, i), (0, 0)):
+                        out[d, i] = (-m, shift + a)
+    return {k: (-m, at) for k, (m, at) in out.items()}
+
+
+def test_a_mask_fits_between_any_three_replaced_words():
+    for gone in itertools.combinations(range(13), 3):
+        assert any(all(m[p] == "0" or a + p not in gone for p in range(len(m))) for m in decontaminate.MASKS for a in range(14 - len(m)))
+
+
+def test_no_passage_is_missed(spark):
+    r = random.Random(21)
+    item = [f"p{i}" for i in range(13)]
+    docs, n = [], 0
+    for gone in itertools.combinations(range(13), 3):
+        docs.append((n, " ".join(noise(5) + [f"z{k}" if k in gone else w for k, w in enumerate(item)] + noise(4))))
+        n += 1
+    docs += [(n, " ".join(item[:10])), (n + 1, " ".join(item[2:])), (n + 2, " ".join(item[:9]))]
+    items = [(1, " ".join(item))]
+    got = {(x["doc_id"], x["item_id"]): (x["matched"], x["doc_start"]) for x in decontaminate.leaks(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == brute(docs, items) and len(got) == 286 + 2
+
+
+def test_short_items_and_random_texts(spark):
+    r = random.Random(22)
+    vocab = [f"v{i}" for i in range(9)]
+    items = [(k, " ".join(r.choice(vocab) for _ in range(k))) for k in range(0, 16)] + [(20, " ".join(vocab[:5] * 4))]
+    docs = [(k, " ".join(r.choice(vocab) for _ in range(r.randrange(0, 40)))) for k in range(60)]
+    for k, (i, text) in enumerate(items):
+        words = text.split()
+        if words:
+            words[r.randrange(len(words))] = "x"
+        docs += [(100 + k, f"a {text} b"), (200 + k, " ".join(words))]
+    got = {(x["doc_id"], x["item_id"]): (x["matched"], x["doc_start"]) for x in decontaminate.leaks(
+        spark.createDataFrame(docs, "doc_id long, text string").repartition(3), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == brute(docs, items)
+
+
+def test_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, " ".join(ITEM), 1, 2), (2, "x", 3, 4)], "doc_id long, text string, _leaked int, here int")
+    got = decontaminate.clean(docs, spark.createDataFrame([(1, " ".join(ITEM))], "item_id long, text string"))
+    assert list(map(tuple, got.collect())) == [(2, "x", 3, 4)]

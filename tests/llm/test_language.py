@@ -38,3 +38,33 @@ def test_whole_text_counts():
 
     coder = [zstd.ZstdCompressor(level=1)]
     assert language.sizes("ab" * 3000, coder)[0] > language.sizes("ab" * 500, coder)[0]
+
+
+def test_matches_plain_compression(spark):
+    """The documented rule with a compressor for every piece: the smallest total of 1,024-character pieces wins."""
+    import zstandard as zstd
+
+    docs = spark.read.parquet(f"{SF_ORACLE}/documents.parquet").where("doc_id < 120")
+    known = language.learn(docs)
+    dicts = {lang: zstd.ZstdCompressionDict(raw, dict_type=zstd.DICT_TYPE_RAWCONTENT) for lang, raw in known.items()}
+
+    def total(text, lang):
+        pieces = [text[i:i + 1024] for i in range(0, len(text), 1024)]
+        return sum(len(zstd.ZstdCompressor(level=7, dict_data=dicts[lang], write_content_size=False, write_checksum=False,
+                                          write_dict_id=False).compress(p.encode())) for p in pieces)
+    got = {r["doc_id"]: (r["lang_pred"], r["margin"]) for r in language.predict(docs, known).collect()}
+    for r in docs.collect():
+        text = (r["text"] or "").lower()
+        if not any(c.isalpha() for c in text):
+            assert got[r["doc_id"]][0] == "und"
+            continue
+        sizes = {lang: total(text, lang) for lang in known}
+        lang, margin = got[r["doc_id"]]
+        assert lang == min(sizes, key=sizes.get) or margin < 0.002 and sizes[lang] <= 1.002 * min(sizes.values())
+
+
+def test_windows_are_drawn_from_whole_texts(spark):
+    text = "aaaa " * 1000 + "zzzz " * 1000
+    docs = spark.createDataFrame([(k, f"{k} {text}", "xx") for k in range(60)], "doc_id long, text string, lang string")
+    raw = language.learn(docs)["xx"]
+    assert b"aaaa" in raw and b"zzzz" in raw
