@@ -237,12 +237,13 @@ WITH w(d, id, ws) AS (
   SELECT true, doc_id, list_filter(regexp_split_to_array(lower(text), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') FROM documents
   UNION ALL
   SELECT false, item_id, list_filter(regexp_split_to_array(lower(text), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') FROM benchmark),
-t AS (SELECT d, id, ws, len(ws) AS n, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM w),
-h AS (SELECT x.id AS doc_id, y.id AS item_id, x.i - y.i AS shift, any_value(x.ws) AS xs, any_value(y.ws) AS ys
-  FROM t x JOIN t y USING (word) WHERE x.d AND NOT y.d GROUP BY ALL HAVING count(*) * 13 >= 10 * least(13, any_value(y.n))),
+t AS (SELECT d, id, len(ws) AS n, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM w),
+h AS (SELECT x.id AS doc_id, y.id AS item_id, x.i - y.i AS shift FROM t x JOIN t y USING (word)
+  WHERE x.d AND NOT y.d GROUP BY ALL HAVING count(*) * 13 >= 10 * least(13, any_value(y.n))),
 e AS (
-  SELECT doc_id, item_id, shift, least(13, len(ys)) AS size,
-    list_transform(range(1, len(ys) + 1), lambda j: CASE WHEN j + shift >= 1 AND xs[j + shift] = ys[j] THEN 1 ELSE 0 END) AS eq FROM h),
+  SELECT h.doc_id, h.item_id, shift, least(13, len(y.ws)) AS size,
+    list_transform(range(1, len(y.ws) + 1), lambda j: CASE WHEN j + shift >= 1 AND x.ws[j + shift] = y.ws[j] THEN 1 ELSE 0 END) AS eq
+  FROM h JOIN w x ON x.d AND x.id = h.doc_id JOIN w y ON NOT y.d AND y.id = h.item_id),
 v AS (
   SELECT doc_id, item_id, size, shift, a, list_sum(eq[a:a + size - 1]) AS matched
   FROM (SELECT *, unnest(range(1, len(eq) - size + 2)) AS a FROM e)),
