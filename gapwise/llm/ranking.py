@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gapwise.llm.words import U64, slices, text_buffers, word_hashes
+from gapwise.llm.words import slices, text_buffers, word_hashes
 from gapwise.runtime import materialize
 
 BLOCK = 128
