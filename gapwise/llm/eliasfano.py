@@ -5,12 +5,11 @@ from __future__ import annotations
 import numpy as np
 
 U64 = np.uint64
-_ONES = np.array([bin(b).count("1") for b in range(256)], np.uint8)
 _NTH = np.zeros((256, 9), np.uint8)                     # position of a byte's k-th set bit
 for _b in range(256):
     for _k, _p in enumerate(p for p in range(8) if _b >> p & 1):
         _NTH[_b, _k] = _p
-_BLOCK = 128                                            # bits between two counts of zeros
+_NONE, _ALL = U64(0), U64(2 ** 64 - 1)
 
 
 def _pad(raw: bytes) -> bytes:
@@ -18,7 +17,7 @@ def _pad(raw: bytes) -> bytes:
 
 
 def encode(values: np.ndarray) -> bytes:
-    """Bytes of a non-decreasing uint64 array: header, low bits, high bits in unary, counts of zeros by block."""
+    """Bytes of a non-decreasing uint64 array: header, low bits, high bits in unary, ones and zeros before each 64 of them."""
     n = len(values)
     base = int(values[0]) if n else 0
     v = values - U64(base)
@@ -33,13 +32,20 @@ def encode(values: np.ndarray) -> bytes:
         over = shift + U64(bits) > U64(64)
         np.add.at(low, word[over] + 1, part[over] >> (U64(64) - shift[over]))
     size = n + (span >> bits) + 1
-    high = np.zeros(-(-size // _BLOCK) * _BLOCK, bool)
+    high = np.zeros(-(-size // 64) * 64, bool)
     if n:
         high[(v >> U64(bits)).astype(np.int64) + np.arange(n)] = True
-    packed = np.packbits(high, bitorder="little")
-    zeros = np.concatenate(([0], np.cumsum(_BLOCK - high.reshape(-1, _BLOCK).sum(1))[:-1])).astype(np.uint64)
-    head = np.array([n, bits, base, span, len(low) * 8, len(packed)], U64)
-    return head.tobytes() + low.tobytes() + _pad(packed.tobytes()) + zeros.tobytes()
+    packed = np.packbits(high, bitorder="little").view(U64)
+    ones = np.concatenate(([0], np.cumsum(np.bitwise_count(packed), dtype=np.int64)[:-1]))
+    zeros = np.arange(len(packed)) * 64 - ones
+    kind = _kind(len(packed))
+    head = np.array([n, bits, base, span, len(low), len(packed)], U64)
+    return (head.tobytes() + low.tobytes() + packed.tobytes()
+            + _pad(ones.astype(kind).tobytes()) + _pad(zeros.astype(kind).tobytes()))
+
+
+def _kind(words: int) -> type:
+    return np.uint32 if words < 1 << 26 else np.uint64
 
 
 class EliasFano:
@@ -48,26 +54,31 @@ class EliasFano:
     def __init__(self, buffer: np.ndarray, at: int = 0):
         head = buffer[at: at + 48].view(U64)
         self.n, self.bits, self.base, self.span = (int(x) for x in head[:4])
-        low_size, high_size = int(head[4]), int(head[5])
-        at += 48
-        self.low = buffer[at: at + low_size]
-        at += low_size
-        self.high = buffer[at: at + high_size].reshape(-1, _BLOCK // 8)
-        at += high_size + -high_size % 8
-        blocks = high_size * 8 // _BLOCK
-        self.zeros = buffer[at: at + 8 * blocks].view(U64).astype(np.int64)
-        self.ones = np.arange(blocks) * _BLOCK - self.zeros
-        self.end = at + 8 * blocks
-
-    def _select(self, k: np.ndarray, counts: np.ndarray, flip: int) -> np.ndarray:
-        block = np.searchsorted(counts, k, side="right") - 1
-        rest = k - counts[block]
-        rows = self.high[block] ^ np.uint8(flip)
-        sums = np.cumsum(_ONES[rows], axis=1, dtype=np.int64)
-        byte = (sums <= rest[:, None]).sum(1)
-        i = np.arange(len(k))
-        rest -= np.where(byte > 0, sums[i, np.maximum(byte - 1, 0)], 0)
-        return block * _BLOCK + byte * 8 + _NTH[rows[i, byte], rest]
+        low, words = int(head[4]), int(head[5])
+        kind = np.dtype(_kind(words))
+        self.low = buffer[at + 48: at + 48 + 8 * low]
+        at += 48 + 8 * low
+        self.high = buffer[at: at + 8 * words].view(U64)
+        at += 8 * words
+        size = words * kind.itemsize
+        self.ones = buffer[at: at + size].view(kind)
+        at += size + -size % 8
+        self.zeros = buffer[at: at + size].view(kind)
+        self.end = at + size + -size % 8
+
+    def _select(self, k: np.ndarray, counts: np.ndarray, flip: np.uint64) -> np.ndarray:
+        """Position of the k-th one, or of the k-th zero where all bits are flipped."""
+        word = np.searchsorted(counts, k.astype(counts.dtype), side="right") - 1
+        rest = k - counts[word].astype(np.int64)
+        bits, at = self.high[word] ^ flip, word << 6
+        for half in (32, 16, 8):
+            lower = bits & U64((1 << half) - 1)
+            ones = np.bitwise_count(lower)
+            up = rest >= ones
+            rest -= ones * up
+            bits = np.where(up, bits >> U64(half), lower)
+            at += half * up
+        return at + _NTH[bits.astype(np.intp) & 255, rest]
 
     def _low(self, i: np.ndarray) -> np.ndarray:
         if not self.bits:
@@ -79,7 +90,7 @@ class EliasFano:
     def get(self, i: np.ndarray) -> np.ndarray:
         """Values by index."""
         i = np.asarray(i, np.int64)
-        high = self._select(i, self.ones, 0) - i
+        high = self._select(i, self.ones, _NONE) - i
         return (high.astype(U64) << U64(self.bits) | self._low(i)) + U64(self.base)
 
     def successor(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -94,10 +105,10 @@ class EliasFano:
         some = np.flatnonzero(~below & (x <= U64(self.span)))
         x = x[some]
         bucket, low = (x >> U64(self.bits)).astype(np.int64), x & U64((1 << self.bits) - 1)
-        end = self._select(bucket, self.zeros, 255) - bucket
+        end = self._select(bucket, self.zeros, _ALL) - bucket
         begin = np.zeros(len(some), np.int64)
         later = np.flatnonzero(bucket)
-        begin[later] = self._select(bucket[later] - 1, self.zeros, 255) + 1 - bucket[later]
+        begin[later] = self._select(bucket[later] - 1, self.zeros, _ALL) + 1 - bucket[later]
         lo, hi = begin, end.copy()
         while True:
             open_ = np.flatnonzero(lo < hi)

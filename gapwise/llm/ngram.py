@@ -1,12 +1,14 @@
 """Language model of words in an Elias-Fano n-gram trie.
 
 Level one holds every training word with its count; a word's id is its place
-there. On the levels above a node is its context's place one level below and its
-own word's id, so keys ascend over the whole level and compress to a few bits, and
-a context's children are found by a successor search relative to the context. The
-probabilities are interpolated absolute discounting, quantised to one byte.
-Every level is cut into key ranges; a range is a file that the tasks which count
-the next level, and those that score, map into memory.
+there. On the levels above, a context's place one level below leads to a pointer,
+and the words between it and the next pointer are the context's children. Their ids
+are kept as distances from the last value of the context before, so the whole level
+ascends and compresses to a few bits, and a child is found by a successor search
+relative to the context. Probabilities are interpolated absolute discounting, their
+logarithms quantised to two bytes, as is what discounting leaves of each context,
+which is read by place. Every level is cut into key ranges; a range is a file that
+the tasks which count the next level, and those that score, map into memory.
 """
 
 from __future__ import annotations
@@ -23,11 +25,11 @@ from gapwise.llm.eliasfano import EliasFano, encode
 from gapwise.llm.words import U64, mix, slices, text_buffers, word_hashes
 from gapwise.runtime import drop_scratch, materialize, scratch_dir
 
-HEAD_BITS = 14             # of a word in codes of a small vocabulary; learn() takes as many as its words need
 DISCOUNT = 0.75
 LEAST = 2                  # occurrences of a kept longer n-gram
 SHARD_WORDS = 2_000_000    # keys in a file, about
 END = int(mix(np.array([0x656E64], U64))[0] >> U64(1))
+GRID = 4000                # steps of a quantised log10, whose 65,536 codes reach down to 1e-16
 _PENDING = 3_000_000       # n-grams that a counting task holds before it sums them up
 
 
@@ -64,33 +66,19 @@ def _summed(of: Callable[[pa.RecordBatch], np.ndarray]):
     return run
 
 
-def _grams(heads: np.ndarray, order: int):
-    """Codes of the n-grams of frequent words in a batch's texts, each text opened by END."""
-    def of(batch: pa.RecordBatch) -> np.ndarray:
-        ids, keep = _opened(*_tokens(batch, 0), heads)
-        code, good = np.zeros(len(ids), np.int64), keep.copy()
-        for back in range(order - 1, -1, -1):
-            part = np.full(len(ids), -1, np.int64)
-            part[back:] = ids[: len(ids) - back]
-            good &= part >= 0
-            code = code << HEAD_BITS | np.maximum(part, 0)
-        for back in range(1, order - 1):                     # no n-gram reaches into the text before
-            good[back:] &= keep[: len(ids) - back]
-        return code[good]
-    return of
+def distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct values and each value's place among them; hashed, so that only distinct values are sorted."""
+    coded = pa.array(x).dictionary_encode()
+    values = coded.dictionary.to_numpy()
+    order = np.argsort(values)
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return values[order], rank[coded.indices.to_numpy()]
 
 
-def _opened(tokens: np.ndarray, bounds: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of the tokens (-1: not frequent) with an opening END for each text, and which are tokens of a text."""
-    n = len(bounds) - 1
-    keep = np.ones(len(tokens) + n, bool)
-    keep[bounds[:-1] + np.arange(n)] = False
-    words = np.full(len(keep), END, np.int64)
-    words[keep] = tokens
-    at = np.searchsorted(heads, words)
-    at[at == len(heads)] = 0
-    ids = np.where(heads[at] == words, at, -1) if len(heads) else np.full(len(words), -1)
-    return ids, keep
+def _quantised(p: np.ndarray) -> bytes:
+    """Codes of -log10 of probabilities."""
+    return np.clip(np.rint(np.log10(p) * -GRID), 0, 65535).astype(np.uint16).tobytes()
 
 
 def _counted(texts: DataFrame, of: Callable[[pa.RecordBatch], np.ndarray], name: str) -> tuple[DataFrame, str]:
@@ -123,24 +111,22 @@ def _word_file(key: np.ndarray, n: np.ndarray) -> list[bytes]:
 
 
 def _rest_file(id: np.ndarray, rest: np.ndarray) -> list[bytes]:
-    return [encode(id.astype(U64)), rest.astype(np.float64).tobytes()]
-
-
-def _trie_file(order: int, bits: int = HEAD_BITS):
-    """Levels of a range of n-grams: keys and pointers of each level, then the codes of the last."""
-    def build(code: np.ndarray, *codes: np.ndarray) -> list[bytes]:
-        out, place = [], np.zeros(len(code), np.int64)
-        for k in range(order):
-            prefix = code >> bits * (order - 1 - k)
-            new = np.concatenate(([True], prefix[1:] != prefix[:-1]))
-            own = prefix & ((1 << bits) - 1) if k else prefix
-            key = place << bits | own if k else own
-            out.append(encode(key[new].astype(U64)))
-            parents = place[new]
-            out.append(encode(np.searchsorted(parents, np.arange(parents[-1] + 2)).astype(U64)))
-            place = np.cumsum(new) - 1
-        return out + [c.astype(np.uint8).tobytes() for c in codes]
-    return build
+    """Codes of all places between the first and the last; a context without children leaves one."""
+    dense = np.ones(id[-1] - id[0] + 1)
+    dense[id - id[0]] = rest
+    return [_quantised(dense)]
+
+
+def _level_file(context: np.ndarray, word: np.ndarray, p: np.ndarray, n: np.ndarray | None = None) -> list[bytes]:
+    """A range of n-grams, ascending by context and word: pointers by context, children, codes and, if given, counts."""
+    new = np.flatnonzero(np.concatenate(([True], context[1:] != context[:-1])))
+    last = np.concatenate((word[new[1:] - 1], word[-1:])).astype(U64) + U64(1)     # children count from one
+    before = np.cumsum(last, dtype=U64) - last
+    size = np.diff(np.concatenate((new, [len(context)])))
+    pointers = np.searchsorted(context, np.arange(context[0], context[-1] + 2))
+    return [np.array([context[0]], np.int64).tobytes(), encode(pointers.astype(U64)),
+            encode(np.repeat(before, size) + word.astype(U64) + U64(1)), _quantised(p),
+            b"" if n is None else n.astype(np.int64).tobytes()]
 
 
 class Words:
@@ -170,38 +156,44 @@ class Words:
 
 
 class Rests:
-    """What discounting leaves of each context in a range; one of the others."""
+    """What discounting leaves of each context in a range, as log10; zero of the others."""
 
-    def __init__(self, path: str):
-        ids, self.rest = mapped.read(path)
-        self.ids, self.rest = EliasFano(ids), self.rest.view(np.float64)
+    def __init__(self, path: str, first: int):
+        self.codes, self.first = mapped.read(path)[0].view(np.uint16), first
 
-    def taken(self, id: np.ndarray) -> np.ndarray:
-        at, found = self.ids.successor(id)
-        out = np.zeros(len(id))
-        out[found] = 1 - self.rest[at[found]]
-        return out
+    def find(self, id: np.ndarray) -> np.ndarray:
+        return self.codes[id - self.first] / -GRID
 
 
-class Trie:
-    """The levels of a range of n-grams; ``first`` is the place of its first one in the whole level."""
+class Level:
+    """A range of n-grams; ``first`` is the place of its first one in the whole level."""
 
-    def __init__(self, path: str, order: int, bits: int = HEAD_BITS, first: int = 0):
-        parts = mapped.read(path)
-        self.levels = [(EliasFano(parts[2 * k]), EliasFano(parts[2 * k + 1])) for k in range(order)]
-        self.codes, self.bits, self.first = parts[2 * order:], bits, first
+    def __init__(self, path: str, first: int = 0):
+        start, pointers, children, codes, counts = mapped.read(path)
+        self.start, self.first = int(start.view(np.int64)[0]), first
+        self.pointers, self.children = EliasFano(pointers), EliasFano(children)
+        self.codes, self.counts = codes.view(np.uint16), counts.view(np.int64)
+
+    def _before(self, at: np.ndarray) -> np.ndarray:
+        """Last value of the contexts before those whose children begin at ``at``."""
+        out = np.zeros(len(at), np.int64)
+        later = np.flatnonzero(at)
+        out[later] = self.children.get(at[later] - 1).astype(np.int64)
+        return out
+
+    def find(self, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place in the file of each n-gram, and whether it is there; contexts ascend and lie in the file's range."""
+        new = np.concatenate(([True], context[1:] != context[:-1]))
+        which = np.cumsum(new) - 1
+        own = context[new] - self.start
+        lo, hi = (self.pointers.get(own + k).astype(np.int64) for k in (0, 1))
+        at, equal = self.children.successor(self._before(lo)[which] + word + 1)
+        return at, equal & (at >= lo[which]) & (at < hi[which])
 
-    def find(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place of each n-gram in the file's last level, and whether it is there."""
-        order = len(self.levels)
-        place, found = np.zeros(len(code), np.int64), np.ones(len(code), bool)
-        for k, (keys, pointers) in enumerate(self.levels):
-            part = code >> self.bits * (order - 1 - k)
-            at, equal = keys.successor(place << self.bits | part & ((1 << self.bits) - 1) if k else part)
-            context, back = np.unique(place, return_inverse=True)
-            found &= equal & (at < pointers.get(context + 1)[back].astype(np.int64))
-            place = np.where(found, at, 0)
-        return place, found
+    def word(self, at: np.ndarray) -> np.ndarray:
+        """Last words of the n-grams at these places of the file."""
+        own = self.pointers.successor(at + 1)[0] - 1
+        return self.children.get(at).astype(np.int64) - self._before(self.pointers.get(own).astype(np.int64)) - 1
 
 
 def _lookup(files: list[tuple[int, int, object]], key: np.ndarray, width: int,
@@ -216,25 +208,19 @@ def _lookup(files: list[tuple[int, int, object]], key: np.ndarray, width: int,
     return out
 
 
-def _codebook(rows: DataFrame, column: str) -> np.ndarray:
-    """256 values that split a column's log10 evenly."""
-    got = rows.agg(F.percentile_approx(F.log10(column), [i / 255 for i in range(256)], 10000).alias("q")).first()["q"]
-    return np.array(got if got else [0.0] * 256, float)
-
-
 def _ranked(files: list[tuple[int, int, object]], place: np.ndarray, of: Callable[[object, np.ndarray], np.ndarray]) -> np.ndarray:
     """Values by place in a whole level: ``of`` gets a file and places in it."""
-    out = np.zeros(len(place), np.int64)
-    if len(files):
-        which = np.searchsorted([f.first for _, _, f in files], place, side="right") - 1
-        for k in np.unique(which):
-            some = which == k
-            out[some] = of(files[k][2], place[some] - files[k][2].first)
-    return out
+    unique, back = distinct(place)
+    out = np.zeros(len(unique), np.int64)
+    cuts = np.searchsorted(unique, [f.first for _, _, f in files])
+    for (_, _, file), a, b in zip(files, cuts, [*cuts[1:], len(unique)]):
+        if b > a:
+            out[a:b] = of(file, unique[a:b] - file.first)
+    return out[back]
 
 
 class Model:
-    """What counting and scoring need: totals, bits of a word's id, code books and the files of each level.
+    """What counting and scoring need: totals, bits of a word's id and the files of each level.
 
     ``words``, ``pairs`` and ``triples`` are the levels, ``rest1`` and ``rest2`` what is left of contexts of one and two words.
     """
@@ -243,7 +229,6 @@ class Model:
         self.total, self.kinds, self.bits = total, kinds, max(1, kinds.bit_length())
         if 2 * self.bits > 62:
             raise ValueError(f"{kinds} words: codes of two have no room in a long")
-        self.books: list[np.ndarray] = [np.zeros(256)] * 2
         self.words, self.pairs, self.triples, self.rest1, self.rest2 = [], [], [], [], []
 
     def opened(self) -> Opened:
@@ -256,12 +241,12 @@ class Opened:
     def __init__(self, model: Model):
         self.model, self.bits = model, model.bits
         self.words = [(lo, hi, Words(p, at)) for lo, hi, at, p in model.words]
-        self.pairs, self.triples = ([(lo, hi, Trie(p, 2, model.bits, at)) for lo, hi, at, p in fs] for fs in (model.pairs, model.triples))
-        self.rest1, self.rest2 = ([(lo, hi, Rests(p)) for lo, hi, _, p in fs] for fs in (model.rest1, model.rest2))
+        self.pairs, self.triples = ([(lo, hi, Level(p, at)) for lo, hi, at, p in fs] for fs in (model.pairs, model.triples))
+        self.rest1, self.rest2 = ([(lo, hi, Rests(p, lo)) for lo, hi, _, p in fs] for fs in (model.rest1, model.rest2))
 
     def rest(self, files: list, place: np.ndarray) -> np.ndarray:
-        unique, back = np.unique(place, return_inverse=True)
-        return 1 - _lookup(files, unique, 1, lambda f, k: [f.taken(k)], float)[0][back]
+        """log10 of what discounting leaves of contexts, by ascending place."""
+        return _lookup(files, place, 1, lambda f, k: [f.find(k)], float)[0]
 
     def unit(self, count: np.ndarray) -> np.ndarray:
         return (count + 0.5) / (self.model.total + 0.5 * (self.model.kinds + 1))
@@ -269,28 +254,39 @@ class Opened:
     def count(self, id: np.ndarray) -> np.ndarray:
         return _ranked(self.words, id, lambda f, at: f.at(at))
 
-    def found(self, level: list, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Whether each code is in a level, its place there and its probability's code."""
-        def one(file: Trie, key: np.ndarray) -> list[np.ndarray]:
-            at, found = file.find(key)
-            return [found, np.where(found, at + file.first, 0), np.where(found, file.codes[0][at], 0)]
+    def found(self, level: list, code: np.ndarray, rest: list = ()) -> tuple[np.ndarray, ...]:
+        """Whether each code is in a level, its place there, its log10 probability and what it leaves as a context."""
+        mask = (1 << self.bits) - 1
+
+        def one(file: Level, key: np.ndarray) -> list[np.ndarray]:
+            at, found = file.find(key >> self.bits, key & mask)
+            at = np.where(found, at, 0)
+            return [found, (at + file.first) * found, file.codes[at] * found]
 
-        unique, back = np.unique(code, return_inverse=True)
-        found, place, prob = (x[back] for x in _lookup(level, unique, 3, one))
-        return found > 0, place, prob
+        unique, back = distinct(code)
+        found, place, prob = _lookup(level, unique, 3, one)
+        found = found > 0
+        left = np.zeros(len(unique))
+        if rest:
+            left[found] = self.rest(rest, place[found])
+        return found[back], place[back], (prob / -GRID)[back], left[back]
 
     def read(self, batch: pa.RecordBatch, column: int) -> tuple[np.ndarray, ...]:
-        """Bounds, counts, ids (opened, -1: no longer n-gram can be kept) and which are tokens of a text."""
+        """Bounds, counts, ids (opened, -1: no longer n-gram can be kept), which are tokens of a text, and log10 of
+        what each id leaves as a context."""
         tokens, bounds = _tokens(batch, column)
-        unique, place = np.unique(tokens, return_inverse=True)
+        unique, place = distinct(tokens)
         count, id = _lookup(self.words, unique, 2, lambda f, k: f.find(k))
-        end = np.searchsorted(unique, END)
+        some = np.flatnonzero(count >= LEAST)
+        left = np.zeros(len(unique))
+        left[some] = self.rest(self.rest1, id[some])
         id = np.where(count >= LEAST, id, -1)
+        end = np.searchsorted(unique, END)
         keep = np.ones(len(tokens) + len(bounds) - 1, bool)
         keep[bounds[:-1] + np.arange(len(bounds) - 1)] = False
-        ids = np.full(len(keep), id[end] if len(unique) else -1, np.int64)
-        ids[keep] = id[place]
-        return bounds, count[place], ids, keep
+        spots = np.full(len(keep), end, np.int64)
+        spots[keep] = place
+        return bounds, count[place], id[spots], keep, left[spots]
 
     def pair(self, ids: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions that end two words with ids in one text, and the codes of these two."""
@@ -312,28 +308,17 @@ def _codes(model: Model, order: int):
         if not opened:
             opened.append(model.opened())
         m = opened[0]
-        _, _, ids, keep = m.read(batch, 0)
+        _, _, ids, keep, _ = m.read(batch, 0)
         spots, code = m.pair(ids, keep)
         if order == 2:
             return code
         held, place = np.zeros(len(ids), bool), np.zeros(len(ids), np.int64)
-        held[spots], place[spots], _ = m.found(m.pairs, code)
+        held[spots], place[spots], _, _ = m.found(m.pairs, code)
         spots, code = m.triple(ids, keep, held, place)
         return code[held[spots]]           # the last two words are kept as well, or the three occur too seldom
     return of
 
 
-def _weighed(rows: DataFrame, model: Model, of: Callable[[Opened, np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
-    """(key, n, p) of rows of (key, n); ``of`` gives p."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        opened = model.opened()
-        for batch in batches:
-            key, n = batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(float)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(of(opened, key, n), pa.float64())],
-                                             names=["key", "n", "p"])
-    return rows.select("key", "n").mapInArrow(run, "key long, n long, p double")
-
-
 def _shares(rows: DataFrame, model: Model, count: Callable[[Opened, np.ndarray], np.ndarray]) -> DataFrame:
     """(key, p) of the contexts of rows of (key, n): p is what discounting leaves; ``count`` gives a context's occurrences."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -366,43 +351,37 @@ def learn(texts: DataFrame, text_col: str = "text") -> tuple[Model, str]:
     drop_scratch(spark, words_at)
 
     def level(order: int, weigh: Callable[[Opened, np.ndarray, np.ndarray], np.ndarray],
-              count: Callable[[Opened, np.ndarray], np.ndarray]) -> tuple[list, list, int]:
-        """Files of a level and of what it leaves of its contexts, and its number of n-grams."""
+              count: Callable[[Opened, np.ndarray], np.ndarray]) -> tuple[list, int]:
+        """Files of a level and its number of n-grams; files of what it leaves of its contexts are written before."""
         all_, all_at = _counted(texts, _codes(model, order), f"lm-{order}")
         kept, kept_at = materialize(all_.where(F.col("n") >= LEAST), f"lm-{order}-kept")
         drop_scratch(spark, all_at)
         rest, rest_at = materialize(_shares(kept, model, count), f"lm-{order}-rest")
         rests = _written(rest, shards(rest.count()), "key", ["key", "p"], folder, f"rest{order}", _rest_file)
         setattr(model, f"rest{order - 1}", rests)
-        full, full_at = materialize(_weighed(kept, model, weigh), f"lm-{order}-full")
-        book = model.books[order - 2] = _codebook(full, "p")
-        build = _trie_file(2, bits)
-
-        def coded(key: np.ndarray, n: np.ndarray, p: np.ndarray) -> list[bytes]:
-            code = np.searchsorted((book[1:] + book[:-1]) / 2, np.log10(p))
-            counts = [n.astype(np.int64).tobytes()] if order == 2 else []
-            return build(key, code) + counts
-        rows = full.count()
-        files = _written(full, shards(rows), "key", ["key", "n", "p"], folder, f"order{order}", coded)
-        drop_scratch(spark, kept_at, rest_at, full_at)
+
+        def coded(key: np.ndarray, n: np.ndarray) -> list[bytes]:
+            return _level_file(key >> bits, key & mask, weigh(model.opened(), key, n.astype(float)), n if order == 2 else None)
+        rows = kept.count()
+        files = _written(kept, shards(rows), "key", ["key", "n"], folder, f"order{order}", coded)
+        drop_scratch(spark, kept_at, rest_at)
         return files, rows
 
     def two(m: Opened, key: np.ndarray, n: np.ndarray) -> np.ndarray:
         v, w = key >> bits, key & mask
-        return (n - DISCOUNT) / m.count(v) + m.rest(m.rest1, v) * m.unit(m.count(w))
+        return (n - DISCOUNT) / m.count(v) + 10 ** m.rest(m.rest1, v) * m.unit(m.count(w))
 
     model.pairs, kept = level(2, two, lambda m, v: m.count(v))
     if kept.bit_length() + bits > 63:
         raise ValueError(f"{kept} pairs of {model.kinds} words: codes of three have no room in a long")
 
     def occurrences(m: Opened, uv: np.ndarray) -> np.ndarray:
-        return _ranked(m.pairs, uv, lambda f, at: f.codes[1].view(np.int64)[at])
+        return _ranked(m.pairs, uv, lambda f, at: f.counts[at])
 
     def three(m: Opened, key: np.ndarray, n: np.ndarray) -> np.ndarray:
         uv, w = key >> bits, key & mask
-        v = _ranked(m.pairs, uv, lambda f, at: f.levels[1][0].get(at).astype(np.int64) & mask)
-        lower = 10 ** m.model.books[0][m.found(m.pairs, v << bits | w)[2]]
-        return (n - DISCOUNT) / occurrences(m, uv) + m.rest(m.rest2, uv) * lower
+        v = _ranked(m.pairs, uv, lambda f, at: f.word(at))
+        return (n - DISCOUNT) / occurrences(m, uv) + 10 ** (m.rest(m.rest2, uv) + m.found(m.pairs, v << bits | w)[2])
 
     model.triples, _ = level(3, three, occurrences)
     return model, folder
@@ -410,25 +389,21 @@ def learn(texts: DataFrame, text_col: str = "text") -> tuple[Model, str]:
 
 def _score(batch: pa.RecordBatch, m: Opened) -> tuple[np.ndarray, ...]:
     """(tokens, known tokens, base score, model score) of each text."""
-    bounds, count, ids, keep = m.read(batch, 1)
+    bounds, count, ids, keep, left = m.read(batch, 1)
     base = np.log10(m.unit(count))
     n = len(ids)
     score = np.zeros(n)
     score[keep] = base
-    before = np.concatenate(([-1], ids[:-1]))
-    before[~keep] = -1
-    has = np.flatnonzero(before >= 0)
-    score[has] += np.log10(m.rest(m.rest1, before[has]))
+    score[1:] += left[:-1] * keep[1:]
     spots, code = m.pair(ids, keep)
-    held, place = np.zeros(n, bool), np.zeros(n, np.int64)   # positions that end a kept pair
-    found, at, prob = m.found(m.pairs, code)
-    held[spots], place[spots] = found, at
-    score[spots[found]] = m.model.books[0][prob[found]]
-    longer = np.flatnonzero(held[:-1] & keep[1:]) + 1
-    score[longer] += np.log10(m.rest(m.rest2, place[longer - 1]))
+    held, place, after = np.zeros(n, bool), np.zeros(n, np.int64), np.zeros(n)   # positions that end a kept pair
+    found, place[spots], prob, after[spots] = m.found(m.pairs, code, m.rest2)
+    held[spots] = found
+    score[spots[found]] = prob[found]
+    score[1:] += after[:-1] * keep[1:]
     spots, code = m.triple(ids, keep, held, place)
-    found, _, prob = m.found(m.triples, code)
-    score[spots[found]] = m.model.books[1][prob[found]]
+    found, _, prob, _ = m.found(m.triples, code)
+    score[spots[found]] = prob[found]
 
     def per_text(x: np.ndarray) -> np.ndarray:
         return np.add.reduceat(x, bounds[:-1]) if len(x) else np.zeros(0)
