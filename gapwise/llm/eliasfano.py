@@ -56,7 +56,7 @@ class EliasFano:
         self.n, self.bits, self.base, self.span = (int(x) for x in head[:4])
         low, words = int(head[4]), int(head[5])
         kind = np.dtype(_kind(words))
-        self.low = buffer[at + 48: at + 48 + 8 * low]
+        self.low = buffer[at + 48: at + 48 + 8 * low].view(U64)
         at += 48 + 8 * low
         self.high = buffer[at: at + 8 * words].view(U64)
         at += 8 * words
@@ -69,23 +69,24 @@ class EliasFano:
     def _select(self, k: np.ndarray, counts: np.ndarray, flip: np.uint64) -> np.ndarray:
         """Position of the k-th one, or of the k-th zero where all bits are flipped."""
         word = np.searchsorted(counts, k.astype(counts.dtype), side="right") - 1
-        rest = k - counts[word].astype(np.int64)
-        bits, at = self.high[word] ^ flip, word << 6
+        rest = (k - counts[word].astype(np.int64)).astype(np.uint8)
+        bits, inside = self.high[word] ^ flip, np.zeros(len(k), np.uint8)
         for half in (32, 16, 8):
             lower = bits & U64((1 << half) - 1)
             ones = np.bitwise_count(lower)
             up = rest >= ones
             rest -= ones * up
             bits = np.where(up, bits >> U64(half), lower)
-            at += half * up
-        return at + _NTH[bits.astype(np.intp) & 255, rest]
+            inside += np.uint8(half) * up
+        return (word << 6) + (inside + _NTH[bits.astype(np.intp), rest])
 
     def _low(self, i: np.ndarray) -> np.ndarray:
         if not self.bits:
             return np.zeros(len(i), U64)
         bit = i * self.bits
-        raw = self.low[(bit >> 3)[:, None] + np.arange(8)]
-        return (np.ascontiguousarray(raw).view(U64)[:, 0] >> (bit & 7).astype(U64)) & U64((1 << self.bits) - 1)
+        word, shift = bit >> 6, (bit & 63).astype(U64)
+        raw = self.low[word] >> shift | self.low[word + 1] << U64(1) << U64(63) - shift
+        return raw & U64((1 << self.bits) - 1)
 
     def get(self, i: np.ndarray) -> np.ndarray:
         """Values by index."""

@@ -34,13 +34,13 @@ def read(uri: str) -> list[np.ndarray]:
     """The sections of a file as arrays over its memory map; a remote file is first copied to an unnamed local one."""
     system, path = _system(uri)
     if isinstance(system, fs.LocalFileSystem):
-        buf = np.memmap(path, np.uint8, "r")
+        buf = np.memmap(path, np.uint8, "r").view(np.ndarray)
     else:
         with tempfile.TemporaryFile() as local, system.open_input_stream(path) as remote:
             shutil.copyfileobj(remote, local)
             local.flush()
             os.fsync(local.fileno())
-            buf = np.memmap(local, np.uint8, "r")
+            buf = np.memmap(local, np.uint8, "r").view(np.ndarray)
     count = int(buf[:8].view(np.uint64)[0])
     sizes = buf[8: 8 + 8 * count].view(np.uint64).astype(np.int64)
     out, at = [], 8 + 8 * count
