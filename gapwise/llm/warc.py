@@ -11,6 +11,8 @@ import base64
 import hashlib
 import zlib
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,9 +27,8 @@ _SCHEMA = ("record_id string, type string, concurrent_to string, refers_to strin
            "fields map<string,string>, payload_bytes long, payload_digest string, payload binary")
 
 
-def base32_sha1(text: Column) -> Column:
-    """Upper-case base32 of a string's SHA-1: 160 bits are 32 letters, five hex digits are four of them."""
-    hexed = F.sha1(F.encode(text, "UTF-8"))
+def base32(hexed: Column) -> Column:
+    """Upper-case base32 of 160 bits in hex: 32 letters, five hex digits are four of them."""
     letters = F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
     parts = []
     for at in range(0, 40, 5):
@@ -42,10 +43,16 @@ def _id(kind: str, *cols: str) -> Column:
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *cut), F.lit(">"))
 
 
-def _record(headers: list[tuple[str, Column]], block: Column) -> Column:
+def _numbered(own: str, digit: int) -> Column:
+    """An id with another first digit."""
+    return F.concat(F.lit(f"<urn:uuid:{digit}"), F.substring(own, 12, 1000))
+
+
+def _record(headers: list[tuple[str, Column]], *block: Column) -> Column:
+    """A record of a block given in parts, which are joined once."""
     lines = [F.concat(F.lit(f"\r\n{k}: "), v) for k, v in headers]
     return F.concat(F.lit("WARC/1.1"), *[F.coalesce(x, F.lit("")) for x in lines],
-                    F.lit("\r\nContent-Length: "), F.octet_length(block).cast("string"), F.lit(SEPARATOR), block)
+                    F.lit("\r\nContent-Length: "), reduce(add, map(F.octet_length, block)).cast("string"), F.lit(SEPARATOR), *block)
 
 
 def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
@@ -61,13 +68,13 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     """
     src = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
                        F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html"))
-    src = src.withColumn("digest", base32_sha1(F.col("html"))).withColumn("bytes", F.octet_length("html"))
-    groups = src.groupBy("digest").agg(F.max("page_id").alias("stored"), F.sum(F.col("bytes").cast("long")).alias("total"),
-                                       F.count("*").alias("n"))
+    src = src.withColumn("sha1", F.sha1(F.encode("html", "UTF-8"))).withColumn("bytes", F.octet_length("html"))
+    groups = src.groupBy("sha1").agg(F.max("page_id").alias("stored"), F.sum(F.col("bytes").cast("long")).alias("total"),
+                                     F.count("*").alias("n")).withColumn("digest", base32(F.col("sha1")))
     groups, _ = materialize(groups, "warc-digests")
     size = groups.agg(F.sum("total"), F.sum("n")).first()
     per_file = max(1, int(FILE_BYTES / ((size[0] or 0) / max(size[1] or 0, 1) + 1500))) * 3
-    rows = src.join(groups.select("digest", "stored"), "digest")
+    rows = src.join(groups.select("sha1", "digest", "stored"), "sha1")      # a payload's digest is spelt once
     revisit = (F.col("bytes") >= least_bytes) & ~F.col("page_id").eqNullSafe(F.col("stored"))
     uri = F.col("url")
     for code in [*range(33), 127]:
@@ -86,7 +93,7 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     host = F.regexp_extract("uri", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)
     target = F.regexp_extract("uri", r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^#]*)", 1)
     common = [("WARC-Date", when), ("WARC-Target-URI", F.col("uri"))]
-    request = _record([("WARC-Type", F.lit("request")), ("WARC-Record-ID", F.regexp_replace("own", "uuid:.", "uuid:0")),
+    request = _record([("WARC-Type", F.lit("request")), ("WARC-Record-ID", _numbered("own", 0)),
                        ("WARC-Concurrent-To", F.col("own")), *common,
                        ("Content-Type", F.lit("application/http;msgtype=request"))],
                       F.concat(F.lit("GET "), F.coalesce(target, F.lit("/")), F.lit(" HTTP/1.1\r\nHost: "),
@@ -97,8 +104,8 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
                         ("WARC-Profile", F.when(F.col("revisit"), F.lit(_PROFILE))),
                         ("WARC-Refers-To", F.when(F.col("revisit"), F.col("stored_id"))),
                         ("Content-Type", F.lit("application/http;msgtype=response"))],
-                       F.when(F.col("revisit"), http).otherwise(F.concat(http, F.col("html"))))
-    metadata = _record([("WARC-Type", F.lit("metadata")), ("WARC-Record-ID", F.regexp_replace("own", "uuid:.", "uuid:1")),
+                       http, F.when(F.col("revisit"), F.lit("")).otherwise(F.col("html")))
+    metadata = _record([("WARC-Type", F.lit("metadata")), ("WARC-Record-ID", _numbered("own", 1)),
                         ("WARC-Concurrent-To", F.col("own")), *common, ("Content-Type", F.lit("application/warc-fields"))],
                        F.coalesce(F.concat(F.lit("page-id: "), F.col("page_id").cast("string"), F.lit("\r\n")), F.lit("")))
     (rows.select(F.explode(F.array(request, response, metadata)).alias("value"))

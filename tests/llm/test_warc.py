@@ -73,3 +73,18 @@ def test_reader_takes_one_gzip_member_for_each_record_and_reports_damage():
     assert [h["warc-type"] for h, _ in warc.records(b"".join(records), "x")] == ["response", "metadata"]
     with pytest.raises(ValueError):
         list(warc.records(records[0][:-8], "x"))
+
+
+def test_digests_are_spelt_once_for_a_payload(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    spelt = []
+    plain = warc.base32
+    monkeypatch.setattr(warc, "base32", lambda hexed: spelt.append(hexed) or plain(hexed))
+    pages = spark.createDataFrame([(i, "http://a.example", "é" * (i % 2)) for i in range(6)], "page_id long, url string, html string")
+    path = scratch_dir(spark, "warc-test")
+    warc.write_archives(pages, path)
+    assert "sha1" in str(spelt[0]) and len(spelt) == 1
+    rows = [tuple(r) for r in warc.page_captures(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()]
+    assert sorted(rows) == expected([(i, "é" * (i % 2)) for i in range(6)])
+    assert spark.range(1).select(plain(F.sha1(F.lit(b"x")))).first()[0] == base64.b32encode(hashlib.sha1(b"x").digest()).decode()
