@@ -6,8 +6,11 @@ All hashes are 64 bits and depend on the word's bytes only.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import hashlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 
 U64 = np.uint64
-_BLOCK = 1 << 20          # bytes hashed at once
+_BLOCK = 1 << 16          # bytes hashed at once, which also bounds the tables of powers that every worker holds
 _LONG = 1 << 16           # longer words are hashed one by one
 
 _IS_SPACE = np.zeros(256, bool)
@@ -66,6 +69,18 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, "2000")
 
 
+@cache
+def _c_library() -> ctypes.CDLL:
+    return ctypes.CDLL(None)
+
+
+def trim() -> None:
+    """Give memory that is free back to the system, where the allocators can; else a worker keeps its peak while other tasks run."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError):        # not glibc
+        _c_library().malloc_trim(0)
+
+
 def slices(batch: pa.RecordBatch, text: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Consecutive parts of a batch of about ``most`` bytes of text (one row at least)."""
     _, bounds = text_buffers(batch.column(text))
@@ -74,7 +89,7 @@ def slices(batch: pa.RecordBatch, text: int, most: int = 4 << 20) -> Iterator[pa
         to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + most, side="right")) - 1)
         yield batch.slice(at, to - at)
         at = to
-    pa.default_memory_pool().release_unused()
+        trim()
 
 
 def word_hashes(buf: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -1,12 +1,16 @@
 """Word and shingle hashes agree with plain Python on which words and shingles are equal."""
 
+import ctypes
 import re
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from gapwise.llm import words
 from gapwise.llm.words import shingle_sets, slices, text_buffers, word_hashes
 
 TEXT = st.lists(st.text(alphabet="aAbBé \t\n\x0b\x0c\r\x1c\xa0", max_size=30), max_size=6)
@@ -56,3 +60,29 @@ def test_slices_cover_all_rows():
     batch = pa.RecordBatch.from_arrays([pa.array(range(5)), pa.array(["a" * 10, None, "b" * 100, "", "c"])], ["i", "t"])
     parts = list(slices(batch, 1, 20))
     assert [i for p in parts for i in p.column(0).to_pylist()] == list(range(5))
+
+
+def _held() -> float:
+    """MB of this process that no file backs."""
+    return sum(map(int, re.findall(r"RssAnon:\s+(\d+)", Path("/proc/self/status").read_text()))) / 1024
+
+
+@pytest.mark.skipif(not hasattr(ctypes.CDLL(None), "malloc_trim"), reason="not glibc")
+def test_a_worker_gives_back_the_memory_of_a_batch():
+    """A worker lives on between tasks: what it keeps adds to the memory of each later operator."""
+    before = _held()
+    texts = [bytes([k % 251]) * 4000 for k in range(50_000)]
+    some = texts[::100]                                  # pieces in between and at the end that are still in use
+    del texts
+    batch = pa.RecordBatch.from_arrays([pa.array(["a b", None, "c"])], names=["text"])
+    assert [b.num_rows for b in words.slices(batch, 0)] == [3]
+    assert _held() - before < 60 and len(some) == 500
+    assert words._POW.nbytes + words._INV.nbytes < 4 << 20
+
+
+def test_hashes_do_not_depend_on_the_block(monkeypatch):
+    texts = pa.array(["one two  three " * 400, "", None, "x" * 300 + " y", "two"])
+    whole, first = words.word_hashes(*words.text_buffers(texts))
+    monkeypatch.setattr(words, "_BLOCK", 64)
+    parts, at = words.word_hashes(*words.text_buffers(texts))
+    assert (whole == parts).all() and (first == at).all() and len(set(whole.tolist())) == 5
