@@ -9,7 +9,9 @@ Pieces then take the places of their length by their rank among equal lengths.
 
 from __future__ import annotations
 
+import codecs
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -36,7 +38,11 @@ _SALT_ROWS = 20_000
 _MARKS = b"!#$%&*+,-./:;=?"
 # The byte-level alphabet of the tokenizer: printable bytes stand for themselves, the others are counted from 256.
 _PLAIN = {*range(33, 127), *range(161, 173), *range(174, 256)}
-_ALPHABET = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PLAIN)}
+_OTHERS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PLAIN)}
+_ALPHABET = "".join(chr(_OTHERS.get(b, b)) for b in range(256))
+_DOTTED = "\u0130".encode()                                      # its small form is two characters
+_FAR = re.compile("[\u0130\u0250-\U0010ffff]").search
+_PACKERS = [struct.Struct(f"<{n}I").pack for n in range(32)]
 
 
 class WordEncoder:
@@ -57,19 +63,21 @@ class WordEncoder:
         normaliser only folds their case; marks that end a word after an ASCII
         letter or digit never merge with it. All else goes through the whole tokenizer.
         """
-        u = w.decode()
-        if u.isalpha() and max(u) < "\u0250" and "\u0130" not in u:
-            return self._packed(self.model.tokenize(u.lower().encode().decode("latin-1").translate(_ALPHABET)))
+        if w.isalpha():                                          # of bytes: ASCII letters only, which stand for themselves
+            return self._packed([t.id for t in self.model.tokenize(w.lower().decode())])
         stem = w.rstrip(_MARKS)
-        if b"<" not in w and "\u0130" not in u and 0 < len(stem) < len(w) and (
+        if 0 < len(stem) < len(w) and b"<" not in w and _DOTTED not in w and (
                 stem[-1:].isalnum() or stem.decode()[-1].isalpha()):
             return self.ids(stem) + self.ids(w[len(stem):])
-        ids = self.tokenizer.encode(u, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
+        u = w.decode()
+        if u.isalpha() and not _FAR(u):
+            spelling, _ = codecs.charmap_decode(u.lower().encode(), "strict", _ALPHABET)
+            return self._packed([t.id for t in self.model.tokenize(spelling)])
+        return self._packed(self.tokenizer.encode(u, add_special_tokens=False).ids)
 
     @staticmethod
-    def _packed(tokens: list) -> bytes:
-        return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+    def _packed(ids: list[int]) -> bytes:
+        return _PACKERS[len(ids)](*ids) if len(ids) < len(_PACKERS) else struct.pack(f"<{len(ids)}I", *ids)
 
     def ids(self, w: bytes) -> bytes:
         code = self.known.get(w)

@@ -1,6 +1,7 @@
 """Packing: token ids as whole texts give them, gapless places, few sequences."""
 
 import random
+import sys
 import zlib
 from itertools import combinations as choose
 from math import ceil
@@ -27,6 +28,24 @@ def test_ids_are_those_of_the_whole_text(text):
     assert got == TOK.encode(text, add_special_tokens=False).ids + [packing.END_ID]
 
 
+LETTERS = "".join(c for c in map(chr, range(0x260)) if c.isalpha())
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=LETTERS, min_size=1, max_size=12), st.sampled_from(["", ".", "!?", "<", "|", "7", "7,"]))
+def test_letters_of_all_alphabets_used_alone(word, end):
+    got = np.frombuffer(packing.WordEncoder.text(packing.encoder(), (word + end).encode()), "<u4").tolist()
+    assert got == TOK.encode(word + end, add_special_tokens=False).ids + [packing.END_ID]
+
+
+def test_a_new_word_of_letters_takes_few_steps():
+    own, calls = packing.encoder(), []
+    sys.setprofile(lambda frame, event, arg: calls.append(arg) if event == "c_call" else None)
+    own.word(b"lesquequeeau")
+    sys.setprofile(None)
+    assert len(calls) <= 9
+
+
 def test_cache_overflow_changes_nothing(monkeypatch):
     monkeypatch.setattr(packing, "_CACHED_WORDS", 5)
     text = "one two three four five six seven one two " + "x" * 200
