@@ -80,6 +80,15 @@ class EliasFano:
             inside += np.uint8(half) * up
         return (word << 6) + (inside + _NTH[bits.astype(np.intp), rest])
 
+    def _after(self, at: np.ndarray, flip: np.uint64) -> np.ndarray:
+        """How many bits from each position on are alike before the first one that is set, after all bits are flipped by ``flip``; 64: none of 64 is."""
+        word, shift = at >> 6, (at & 63).astype(U64)
+        bits = (self.high[word] ^ flip) >> shift
+        rest = np.flatnonzero((bits == 0) & (word + 1 < len(self.high)))       # none up to the word's end
+        more = self.high[word[rest] + 1] ^ flip
+        bits[rest] = more << U64(1) << U64(63) - shift[rest]
+        return np.bitwise_count((bits & -bits) - U64(1)).astype(np.int64)
+
     def _low(self, i: np.ndarray) -> np.ndarray:
         if not self.bits:
             return np.zeros(len(i), U64)
@@ -94,6 +103,15 @@ class EliasFano:
         high = self._select(i, self.ones, _NONE) - i
         return (high.astype(U64) << U64(self.bits) | self._low(i)) + U64(self.base)
 
+    def pair(self, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Values by index, and those that follow them."""
+        at = self._select(i, self.ones, _NONE)
+        gap = self._after(at + 1, _NONE)
+        far = np.flatnonzero(gap == 64)
+        after = at + 1 + gap
+        after[far] = self._select(i[far] + 1, self.ones, _NONE)
+        return tuple(((p - k).astype(U64) << U64(self.bits) | self._low(k)) + U64(self.base) for p, k in ((at, i), (after, i + 1)))
+
     def successor(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Index of the first value at or above each query, and whether it equals the query."""
         q = np.asarray(q, U64)
@@ -106,10 +124,13 @@ class EliasFano:
         some = np.flatnonzero(~below & (x <= U64(self.span)))
         x = x[some]
         bucket, low = (x >> U64(self.bits)).astype(np.int64), x & U64((1 << self.bits) - 1)
-        end = self._select(bucket, self.zeros, _ALL) - bucket
         begin = np.zeros(len(some), np.int64)
         later = np.flatnonzero(bucket)
         begin[later] = self._select(bucket[later] - 1, self.zeros, _ALL) + 1 - bucket[later]
+        size = self._after(begin + bucket, _ALL)
+        many = np.flatnonzero(size == 64)
+        size[many] = self._select(bucket[many], self.zeros, _ALL) - bucket[many] - begin[many]
+        end = begin + size
         lo, hi = begin, end.copy()
         while True:
             open_ = np.flatnonzero(lo < hi)

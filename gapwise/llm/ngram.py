@@ -81,9 +81,9 @@ def _quantised(p: np.ndarray) -> bytes:
     return np.clip(np.rint(np.log10(p) * -GRID), 0, 65535).astype(np.uint16).tobytes()
 
 
-def _counted(texts: DataFrame, of: Callable[[pa.RecordBatch], np.ndarray], name: str) -> tuple[DataFrame, str]:
+def _counted(texts: DataFrame, of: Callable[[pa.RecordBatch], np.ndarray], name: str, least: int = 1) -> tuple[DataFrame, str]:
     counts = texts.mapInArrow(_summed(of), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    return materialize(counts, name)
+    return materialize(counts.where(F.col("n") >= least), name)
 
 
 def _written(rows: DataFrame, shards: int, key: str, columns: list[str], folder: str, name: str,
@@ -186,7 +186,7 @@ class Level:
         new = np.concatenate(([True], context[1:] != context[:-1]))
         which = np.cumsum(new) - 1
         own = context[new] - self.start
-        lo, hi = (self.pointers.get(own + k).astype(np.int64) for k in (0, 1))
+        lo, hi = (x.astype(np.int64) for x in self.pointers.pair(own))
         at, equal = self.children.successor(self._before(lo)[which] + word + 1)
         return at, equal & (at >= lo[which]) & (at < hi[which])
 
@@ -353,9 +353,7 @@ def learn(texts: DataFrame, text_col: str = "text") -> tuple[Model, str]:
     def level(order: int, weigh: Callable[[Opened, np.ndarray, np.ndarray], np.ndarray],
               count: Callable[[Opened, np.ndarray], np.ndarray]) -> tuple[list, int]:
         """Files of a level and its number of n-grams; files of what it leaves of its contexts are written before."""
-        all_, all_at = _counted(texts, _codes(model, order), f"lm-{order}")
-        kept, kept_at = materialize(all_.where(F.col("n") >= LEAST), f"lm-{order}-kept")
-        drop_scratch(spark, all_at)
+        kept, kept_at = _counted(texts, _codes(model, order), f"lm-{order}", LEAST)
         rest, rest_at = materialize(_shares(kept, model, count), f"lm-{order}-rest")
         rests = _written(rest, shards(rest.count()), "key", ["key", "p"], folder, f"rest{order}", _rest_file)
         setattr(model, f"rest{order - 1}", rests)

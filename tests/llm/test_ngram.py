@@ -11,8 +11,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from gapwise.llm import ngram
+from gapwise.llm.ngram import _written
 from gapwise.llm.eliasfano import EliasFano, encode
-from gapwise.runtime import drop_scratch
+from gapwise.runtime import drop_scratch, materialize
 from test_words import plain_words
 
 U64 = np.uint64
@@ -30,6 +31,33 @@ def test_elias_fano_search(values, queries):
     assert (at == np.searchsorted(v, q)).all() and (equal == np.isin(q, v)).all()
 
 
+@pytest.mark.parametrize("values", [[0, 0, 5], [0] * 300 + [1 << 40] * 200, [*range(100), 1 << 30, (1 << 30) + 1], [7] * 65 + [8] * 64 + [1 << 62]])
+def test_elias_fano_neighbours_and_long_runs(values):
+    v = np.array(values, U64)
+    ef = EliasFano(np.frombuffer(encode(v), np.uint8))
+    one, two = ef.pair(np.arange(len(v) - 1))
+    assert (one == v[:-1]).all() and (two == v[1:]).all()
+    q = np.unique(np.concatenate((v, v + U64(1))))
+    at, equal = ef.successor(q)
+    assert (at == np.searchsorted(v, q)).all() and (equal == np.isin(q, v)).all()
+
+
+def test_ngrams_that_are_not_kept_are_not_written(spark, monkeypatch):
+    written = {}
+
+    def watched(df, name):
+        out = written[name], _ = materialize(df, name)
+        return out
+    monkeypatch.setattr(ngram, "materialize", watched)
+    counted = []
+    monkeypatch.setattr(ngram, "_written", lambda rows, *rest: counted.append(rows.count()) or _written(rows, *rest))
+    texts = spark.createDataFrame([("a b c d",), ("a b c e",), ("f g",)], "text string")
+    _, folder = ngram.learn(texts)
+    drop_scratch(spark, folder)
+    assert counted == [8, 3, 3, 2, 2]          # words; contexts and pairs that occur twice; the same of three
+    assert not [name for name in written if name.endswith("-kept")]
+
+
 class Plain:
     """Interpolated absolute discounting over dictionaries, unquantised."""
 
