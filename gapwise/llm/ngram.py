@@ -30,7 +30,11 @@ LEAST = 2                  # occurrences of a kept longer n-gram
 SHARD_WORDS = 2_000_000    # keys in a file, about
 END = int(mix(np.array([0x656E64], U64))[0] >> U64(1))
 GRID = 4000                # steps of a quantised log10, whose 65,536 codes reach down to 1e-16
+PART_KEYS = 500_000        # n-grams that are summed up at once, at most on average
 _PENDING = 3_000_000       # n-grams that a counting task holds before it sums them up
+_SENT = 500_000            # of them in a batch, about
+_SCATTER = U64(0x9E3779B97F4A7C15)                  # keys times this are spread evenly over 64 bits ...
+_GATHER = U64(pow(int(_SCATTER), -1, 1 << 64))      # ... and come back
 
 
 def _tokens(batch: pa.RecordBatch, column: int) -> tuple[np.ndarray, np.ndarray]:
@@ -46,11 +50,24 @@ def _tokens(batch: pa.RecordBatch, column: int) -> tuple[np.ndarray, np.ndarray]
     return out, bounds
 
 
-def _summed(of: Callable[[pa.RecordBatch], np.ndarray]):
-    """Counting task: distinct keys of its texts and how often they occur."""
-    def rows(keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-        for at in range(0, len(keys), 500_000):
-            yield pa.RecordBatch.from_arrays([pa.array(keys[at:at + 500_000]), pa.array(n[at:at + 500_000])], names=["key", "n"])
+def _summed(of: Callable[[pa.RecordBatch], np.ndarray], parts: int):
+    """Counting task: distinct keys of its texts and how often they occur, a row for each part of the range of scattered keys."""
+    edges = np.array([-(-(i << 64) // parts) for i in range(parts)], U64)
+
+    def rows(keys: np.ndarray) -> Iterator[pa.RecordBatch]:
+        keys, n = np.unique(keys.astype(U64) * _SCATTER, return_counts=True)
+        cuts, part = [*np.searchsorted(keys, edges), len(keys)], 0
+        while part < parts:
+            row, size = [], 0
+            while part < parts and size < _SENT:
+                for a in range(cuts[part], cuts[part + 1], _SENT):
+                    to = min(a + _SENT, cuts[part + 1])
+                    row.append((part, keys[a:to].tobytes(), n[a:to].tobytes()))
+                    size += to - a
+                part += 1
+            if row:
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*row), (pa.int32(), pa.binary(), pa.binary()))],
+                                                 names=["part", "keys", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -59,21 +76,35 @@ def _summed(of: Callable[[pa.RecordBatch], np.ndarray]):
                 held.append(of(batch))
                 size += len(held[-1])
                 if size > _PENDING:
-                    yield from rows(*np.unique(np.concatenate(held), return_counts=True))
+                    yield from rows(np.concatenate(held))
                     held, size = [], 0
         if held:
-            yield from rows(*np.unique(np.concatenate(held), return_counts=True))
+            yield from rows(np.concatenate(held))
+    return run
+
+
+def _totals(least: int):
+    """Sums of a part's counts by key; of those, the keys that occur ``least`` times."""
+    def run(part: pa.Table) -> pa.Table:
+        keys, n = (np.concatenate([np.frombuffer(x.as_buffer(), t) for x in part.column(c)]) for c, t in (("keys", U64), ("n", np.int64)))
+        order = np.argsort(keys)
+        keys = keys[order]
+        new = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+        n = np.add.reduceat(n[order], new)
+        some = n >= least
+        return pa.table({"key": (keys[new[some]] * _GATHER).astype(np.int64), "n": n[some]})
     return run
 
 
 def distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct values and each value's place among them; hashed, so that only distinct values are sorted."""
-    coded = pa.array(x).dictionary_encode()
-    values = coded.dictionary.to_numpy()
-    order = np.argsort(values)
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(len(order))
-    return values[order], rank[coded.indices.to_numpy()]
+    """Sorted distinct values and each value's place among them."""
+    order = np.argsort(x)
+    ascending = x[order]
+    new = np.ones(len(x), bool)
+    np.not_equal(ascending[1:], ascending[:-1], out=new[1:])
+    rank = np.empty(len(x), np.int64)
+    rank[order] = np.cumsum(new) - 1
+    return ascending[new], rank
 
 
 def _quantised(p: np.ndarray) -> bytes:
@@ -81,9 +112,14 @@ def _quantised(p: np.ndarray) -> bytes:
     return np.clip(np.rint(np.log10(p) * -GRID), 0, 65535).astype(np.uint16).tobytes()
 
 
-def _counted(texts: DataFrame, of: Callable[[pa.RecordBatch], np.ndarray], name: str, least: int = 1) -> tuple[DataFrame, str]:
-    counts = texts.mapInArrow(_summed(of), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    return materialize(counts.where(F.col("n") >= least), name)
+def _counted(texts: DataFrame, of: Callable[[pa.RecordBatch], np.ndarray], name: str, total: int = 0, least: int = 1) -> tuple[DataFrame, str]:
+    """(key, n) of the keys that occur ``least`` times; ``total``: how many there are with repeats, at most.
+
+    Tasks send sorted keys and counts as bytes, a row for each part of the keys, and a part is summed up at once.
+    """
+    parts = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // PART_KEYS + 1)
+    counts = texts.mapInArrow(_summed(of, parts), "part int, keys binary, n binary")
+    return materialize(counts.groupBy("part").applyInArrow(_totals(least), "key long, n long"), name)
 
 
 def _written(rows: DataFrame, shards: int, key: str, columns: list[str], folder: str, name: str,
@@ -353,7 +389,7 @@ def learn(texts: DataFrame, text_col: str = "text") -> tuple[Model, str]:
     def level(order: int, weigh: Callable[[Opened, np.ndarray, np.ndarray], np.ndarray],
               count: Callable[[Opened, np.ndarray], np.ndarray]) -> tuple[list, int]:
         """Files of a level and its number of n-grams; files of what it leaves of its contexts are written before."""
-        kept, kept_at = _counted(texts, _codes(model, order), f"lm-{order}", LEAST)
+        kept, kept_at = _counted(texts, _codes(model, order), f"lm-{order}", model.total, LEAST)
         rest, rest_at = materialize(_shares(kept, model, count), f"lm-{order}-rest")
         rests = _written(rest, shards(rest.count()), "key", ["key", "p"], folder, f"rest{order}", _rest_file)
         setattr(model, f"rest{order - 1}", rests)

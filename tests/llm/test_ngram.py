@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -198,3 +199,19 @@ def test_ngrams_of_rare_words(spark):
     assert got["base_score"] < -12
     assert got["score"] > math.log10(9 / 209) + sum(map(math.log10, plain.values())) + math.log10(8.25 / 9) - 0.3
     drop_scratch(spark, folder)
+
+
+@pytest.mark.parametrize("parts", [1, 3, 64])
+def test_counting_tasks_send_blocks(monkeypatch, parts):
+    # A row holds all of a part's keys, not one, and a part's rows sum up to what was counted.
+    monkeypatch.setattr(ngram, "_SENT", 400)
+    keys = np.random.default_rng(5).integers(0, 2 ** 62, 3000) >> np.random.default_rng(6).integers(0, 60, 3000)
+    batch = pa.RecordBatch.from_arrays([pa.array([""] * 3)], ["text"])
+    sent = pa.Table.from_batches([b for _ in range(2) for b in ngram._summed(lambda _: keys, parts)(iter([batch]))])
+    assert len(sent) <= 2 * (parts + len(keys) // 400 + 1)
+    for least in (2, 4):
+        got = {}
+        for part in set(sent["part"].to_pylist()):
+            own = ngram._totals(least)(sent.filter(pa.compute.equal(sent["part"], part)))
+            got.update(zip(own["key"].to_pylist(), own["n"].to_pylist()))
+        assert got == {k: 2 * n for k, n in collections.Counter(keys.tolist()).items() if 2 * n >= least}
