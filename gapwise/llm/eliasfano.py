@@ -116,31 +116,35 @@ class EliasFano:
         """Index of the first value at or above each query, and whether it equals the query."""
         q = np.asarray(q, U64)
         at, equal = np.zeros(len(q), np.int64), np.zeros(len(q), bool)
-        if not self.n:
+        if not self.n or not len(q):
             return at, equal
-        below = q < U64(self.base)
-        x = np.where(below, U64(0), q - U64(self.base))
-        at[x > U64(self.span)] = self.n
-        some = np.flatnonzero(~below & (x <= U64(self.span)))
-        x = x[some]
+        x = q - U64(self.base)                                       # those below the base wrap around
+        inside = (q >= U64(self.base)) & (x <= U64(self.span))
+        if inside.all():
+            return self._within(x)
+        at[q > U64(self.base)] = self.n
+        some = np.flatnonzero(inside)
+        at[some], equal[some] = self._within(x[some])
+        return at, equal
+
+    def _within(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """:meth:`successor` of distances from the base that are not beyond the last value's."""
         bucket, low = (x >> U64(self.bits)).astype(np.int64), x & U64((1 << self.bits) - 1)
-        begin = np.zeros(len(some), np.int64)
-        later = np.flatnonzero(bucket)
-        begin[later] = self._select(bucket[later] - 1, self.zeros, _ALL) + 1 - bucket[later]
+        begin = self._select(np.maximum(bucket - 1, 0), self.zeros, _ALL) + 1 - bucket
+        begin[bucket == 0] = 0
         size = self._after(begin + bucket, _ALL)
         many = np.flatnonzero(size == 64)
         size[many] = self._select(bucket[many], self.zeros, _ALL) - bucket[many] - begin[many]
-        end = begin + size
-        lo, hi = begin, end.copy()
-        while True:
-            open_ = np.flatnonzero(lo < hi)
-            if not len(open_):
+        at, equal = begin, np.zeros(len(x), bool)
+        some = np.flatnonzero(size)
+        first, left, low = begin[some], size[some], low[some]
+        while True:                              # the sought one is among the ``left`` ones from ``first`` on, or follows them
+            more = np.flatnonzero(left > 1)
+            if not len(more):
                 break
-            mid = (lo[open_] + hi[open_]) >> 1
-            less = self._low(mid) < low[open_]
-            lo[open_[less]] = mid[less] + 1
-            hi[open_[~less]] = mid[~less]
-        at[some] = lo
-        inside = np.flatnonzero(lo < end)
-        equal[some[inside]] = self._low(lo[inside]) == low[inside]
+            half, from_ = left[more] >> 1, first[more]
+            first[more] = from_ + half * (self._low(from_ + half - 1) < low[more])
+            left[more] -= half
+        found = self._low(first)
+        at[some], equal[some] = first + (found < low), found == low
         return at, equal

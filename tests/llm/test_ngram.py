@@ -215,3 +215,15 @@ def test_counting_tasks_send_blocks(monkeypatch, parts):
             own = ngram._totals(least)(sent.filter(pa.compute.equal(sent["part"], part)))
             got.update(zip(own["key"].to_pylist(), own["n"].to_pylist()))
         assert got == {k: 2 * n for k, n in collections.Counter(keys.tolist()).items() if 2 * n >= least}
+
+
+def test_a_search_reads_a_lone_value_once(monkeypatch):
+    read = []
+    low = EliasFano._low
+    monkeypatch.setattr(EliasFano, "_low", lambda self, i: read.append(len(i)) or low(self, i))
+    v = np.arange(500, dtype=U64) * U64(1000) + U64(70)
+    ef = EliasFano(np.frombuffer(encode(v), np.uint8))
+    q = np.concatenate((v, [U64(0), U64(69), U64(10 ** 9), U64(2 ** 64 - 1)]))
+    at, equal = ef.successor(q)
+    assert at.tolist() == [*range(500), 0, 0, 500, 500] and equal.tolist() == [True] * 500 + [False] * 4
+    assert sum(read) == len(v)
